@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from matchloom.llm import fingerprints, licenses, line_dedup, mixing, token_io
+from matchloom.llm import fingerprints, html_extract, lattice, licenses, line_dedup, mixing, ngram_join, packing, token_io, toxicity
 from matchloom.llm.common import Scratch, table
 
 
@@ -15,11 +15,23 @@ def op1_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.edited_pairs(table(spark, sf_dir, "documents"))
 
 
+def op2_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_extract.extract(table(spark, sf_dir, "pages").select("page_id", "url", "html"))
+
+
 def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return line_dedup.dedup_lines(docs, Scratch(spark, "op3"))
 
 
+def op4_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lattice.near_vectors(table(spark, sf_dir, "embeddings"), Scratch(spark, "op4"))
+
+
+def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"), Scratch(spark, "op5"))
+
+
 def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "source", mixing.word_count(F.col("text")).alias("words"))
     mixed = mixing.mix(docs, F.col("words"))
@@ -37,6 +49,15 @@ def op8_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_io.with_crc(token_io.read_tokens(spark, folder))
 
 
+def op9_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.components(table(spark, sf_dir, "documents"), Scratch(spark, "op9"))
+
+
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return toxicity.score(docs, toxicity.fit(docs, table(spark, sf_dir, "labels"))).drop("text")
+
+
 LINE_HASH = "(('0x' || substr(md5(line), 1, 12))::BIGINT % 2147483647)"
 LINE_DEDUP = f"""
 WITH lines AS (SELECT doc_id, text, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS i FROM documents WHERE text IS NOT NULL),
@@ -62,9 +83,14 @@ SELECT z.doc_id, z.size, g.source_size, round(g.target, 6) AS target, coalesce(t
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_fingerprints": op1_fingerprints,
+    "op2_html_extraction": op2_html_extraction,
     "op3_line_dedup": op3_line_dedup,
+    "op4_embedding_near_dedup": op4_embedding_near_dedup,
+    "op5_best_fit_packing": op5_best_fit_packing,
     "op6_mixing": op6_mixing,
     "op7_license_scans": op7_license_scans,
     "op8_token_output": op8_token_output,
+    "op9_ngram_join": op9_ngram_join,
+    "op10_toxicity": op10_toxicity,
 }
 ORACLES: dict[str, str] = {"op3_line_dedup": LINE_DEDUP, "op6_mixing": MIXING, "op7_license_scans": licenses.oracle()}
