@@ -10,6 +10,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from matchloom.session import ship
+
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 SPACE = "[\\x20\\x09-\\x0D]+"
 
@@ -46,6 +48,7 @@ class Scratch:
     """
 
     def __init__(self, spark: SparkSession, name: str):
+        ship(spark)
         base = spark.conf.get("spark.checkpoint.dir", None)
         if not base:
             base = "file://" + tempfile.mkdtemp(prefix="matchloom-")

@@ -19,6 +19,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from matchloom.session import ship
+
 # fixed values: frequent function words of English, German, French and Spanish
 STOP_WORDS = frozenset(
     """a an and are as at be been but by can could did do for from had has have he her his i if in into is it its more no not of on or our she so
@@ -201,6 +203,7 @@ def extract(pages: DataFrame, column: str = "html") -> DataFrame:
     Null and empty pages have the text ''. A page is read as a whole, however long. Broken markup
     is read as far as it goes. An empty table gives an empty result.
     """
+    ship(pages.sparkSession)
     names = [c for c in pages.columns if c not in (column, "text", "n_chars")]
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in pages.schema if f.name in names)
 

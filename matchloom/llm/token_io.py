@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 
 from matchloom.llm.common import partitions
 from matchloom.llm.tokenizing import END, tokenizer, vocabulary
+from matchloom.session import ship
 
 #: Parquet settings: row groups of 32 MB, pages of 64 KB with their own statistics
 LAYOUT = {
@@ -62,6 +63,7 @@ def write_tokens(docs: DataFrame, folder: str, path: str | None = None, text: st
     fixed order of their texts. An empty table gives empty files. A text is encoded as a whole.
     """
     spark = docs.sparkSession
+    ship(spark)
     encode_sorted(docs, path or vocabulary(), text).write.options(**LAYOUT).parquet(f"{folder}/tokens")
     rows = spark.read.schema(SCHEMA).parquet(f"{folder}/tokens")
     sums = rows.groupBy("file").agg(F.sum("n_tokens").alias("n"))
@@ -78,6 +80,7 @@ def read_tokens(spark: SparkSession, folder: str) -> DataFrame:
 
 def with_crc(rows: DataFrame, column: str = "tokens", out: str = "ids_crc32") -> DataFrame:
     """rows without ``column`` but with the CRC-32 of its ids as little-endian unsigned 32-bit integers."""
+    ship(rows.sparkSession)
     names = [c for c in rows.columns if c not in (column, out)]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -23,6 +23,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from matchloom.session import ship
+
 
 SAMPLE, LEAST_ROWS, STEPS, PENALTY, REJECT = 4000, 4, 300, 2e-4, 0.5
 BEGINNINGS = (4, 5, 6)
@@ -110,6 +112,7 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, label: str = "
     labels needs doc_id and ``label`` (0, 1; rows with a null are ignored). Ids without a document
     and documents without text are no use and are left out. Without labels the model rejects nothing.
     """
+    ship(docs.sparkSession)
     known = labels.where(F.col(label).isin(0, 1) & F.col("doc_id").isNotNull()).select("doc_id", F.col(label).cast("int").alias("label"))
     known = known.groupBy("doc_id").agg(F.max("label").alias("label")).withColumn("turn", F.xxhash64("doc_id"))
     chosen = [known.where(F.col("label") == v).orderBy("turn", "doc_id").limit(sample) for v in (0, 1)]
@@ -132,6 +135,7 @@ def score(docs: DataFrame, model: Severity, reject: float = REJECT) -> DataFrame
     than not; toxic: p_toxic >= ``reject``. Every row stays; null and empty texts have no words and
     get what the thresholds alone say, which is clean. Columns of those four names are replaced.
     """
+    ship(docs.sparkSession)
     names = [c for c in docs.columns if c not in ("severity", "p_toxic", "grade", "toxic")]
     shared = docs.sparkSession.sparkContext.broadcast(model)  # as large as the sample's vocabulary at most
     at = names.index("text")
