@@ -3,14 +3,17 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Iterable
+from array import array
+from collections.abc import Iterator
+from itertools import islice
 
+import numpy as np
 import public_tokenizers
 
 SPLIT = re.compile(r"[ \n\t]+")
-#: what a word can end with: signs that the tokenizer keeps together, after a letter of a-z
-TAIL = re.compile(r"([a-z])([.,;:!?#%&*$|()\"-]+)\Z")
-CACHED = 400_000
+#: signs that a word can end with; after a letter, the tokenizer keeps a run of them together
+SIGNS = ".,;:!?#%&*$|()\"-"
+CACHED, AT_ONCE = 800_000, 500
 END = 1
 
 
@@ -32,43 +35,51 @@ class WordTokenizer:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
+        ends = [i for w, i in self.tokenizer.get_vocab().items() if w.endswith("</w>")]
+        self.ends_word = np.zeros(self.tokenizer.get_vocab_size() + 1, bool)
+        self.ends_word[ends] = True
         self.known: dict[str, bytes] = {"": b""}
 
-    def _encode(self, pieces: list[str]) -> Iterable[bytes]:
-        import numpy as np
-
-        for e in self.tokenizer.encode_batch_fast(pieces, add_special_tokens=False):
-            yield np.array(e.ids, "<u4").tobytes()
+    def _encode(self, pieces: list[str]) -> Iterator[tuple[str, bytes]]:
+        """Ids of each piece. Words of letters go together, as each ends with an id that says so."""
+        letters, others = [], []
+        for w in pieces:
+            (letters if w.isalpha() else others).append(w)
+        for a in range(0, len(letters), AT_ONCE):
+            part = letters[a : a + AT_ONCE]
+            ids = np.array(self.tokenizer.encode_batch_fast([" ".join(part)], add_special_tokens=False)[0].ids, "<u4")
+            stops = (4 * (np.flatnonzero(self.ends_word[ids]) + 1)).tolist()
+            if len(stops) != len(part):  # letters that come apart in their normal form
+                others += part
+                continue
+            body = ids.tobytes()
+            yield from zip(part, [body[x:y] for x, y in zip([0, *stops], stops)])
+        for w, e in zip(others, self.tokenizer.encode_batch_fast(others, add_special_tokens=False) if others else []):
+            yield w, array("I", e.ids).tobytes()
 
     def _learn(self, new: set[str]) -> None:
-        known = self.known
-        if len(known) > CACHED:
-            self.known = known = dict(list(known.items())[: CACHED // 2])
-            known.setdefault("", b"")
-        parts = {}
+        known, parts = self.known, []
         for w in new:
-            m = TAIL.search(w)
-            parts[w] = (w[: m.start(2)], m[2]) if m else (w,)
-        ask = list({p for ps in parts.values() for p in ps if p not in known})
-        known.update(zip(ask, self._encode(ask)))
-        for w, ps in parts.items():
-            if len(ps) == 2:
-                known[w] = known[ps[0]] + known[ps[1]]
+            core = w.rstrip(SIGNS)
+            # beyond these letters, a lower case or a normal form can end in a mark, which signs stick to
+            tail = w[len(core) :] if core and core[-1].isalpha() and core[-1] <= "ſ" and core[-1] != "İ" else ""
+            core = w[: len(w) - len(tail)]
+            parts.append((w, core.lower() if core.isascii() else core, tail))
+        known.update(self._encode(list({p for _, *ps in parts for p in ps}.difference(known))))
+        known.update((w, known[core] + known[tail]) for w, core, tail in parts)
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """The ids of each text as bytes, in groups of texts so that memory stays bounded."""
         out: list[bytes] = []
         for a in range(0, len(texts), 64):
             pieces = [SPLIT.split(t) if "\t" in t else t.replace("\n", " ").split(" ") for t in (x or "" for x in texts[a : a + 64])]
-            known = self.known
-            new = set().union(*pieces).difference(known)
+            new = set().union(*pieces).difference(self.known)
             if new:
+                if len(self.known) > CACHED:
+                    self.known = dict(islice(self.known.items(), CACHED // 2))
+                    new = set().union(*pieces).difference(self.known)
                 self._learn(new)
-                known = self.known
-                missing = set().union(*pieces).difference(known) if len(known) <= CACHED // 2 + 2 * len(new) + 2 else ()
-                if missing:
-                    self._learn(missing)
-            out += [b"".join(map(known.__getitem__, p)) for p in pieces]
+            out += [b"".join(map(self.known.__getitem__, p)) for p in pieces]
         return out
 
 
