@@ -1,14 +1,16 @@
 """Severity of toxic text by cumulative-link ordinal regression.
 
 The model has one weight for each sparse feature, shared by all grades, and one threshold for each
-step from a grade to the next: P(grade > k) = sigmoid(score - threshold_k). A document's score is the sum over its distinct
-words of the weights of the word and of its beginnings, so inflected and compound forms
-of a known word count too. The expected severity is the sum of P(grade > k) over the thresholds.
+step from a grade to the next: P(grade > k) = sigmoid(score - threshold_k). A document's score is the sum of
+the weights of its features: its distinct words and their beginnings, so that inflected and
+compound forms of a known word count too. The expected severity is the sum of P(grade > k) over the thresholds.
+
+Weights are not negative and thresholds are at least ``FLOOR``, so a text without known words is clean.
 
 It is fitted on a bounded sample of labelled rows (``SAMPLE`` of each label at most, by the hash of
 their ids) by proximal gradient steps, which set the weights of uninformative features to zero.
-Labels say 0 or 1. The grades 1 and 2 of the labelled toxic rows are told apart by how dense words
-that only toxic rows have are in them, below or above their median.
+Labels say 0 or 1. The grades 1 and 2 of the labelled toxic rows are told apart by how many
+different words they have that only toxic rows have, up to or above the median.
 """
 
 from __future__ import annotations
@@ -26,7 +28,7 @@ from pyspark.sql import functions as F
 from matchloom.session import ship
 
 
-SAMPLE, LEAST_ROWS, STEPS, PENALTY, REJECT = 4000, 4, 300, 2e-4, 0.5
+SAMPLE, LEAST_ROWS, STEPS, PENALTY, SCREEN, RATIO, REJECT, FLOOR = 4000, 4, 600, 1e-4, 1e-2, 3.0, 0.5, 1.0
 BEGINNINGS = (4, 5, 6)
 WORD = re.compile(r"[^\W\d_]+")
 
@@ -55,44 +57,48 @@ def train(rows: list[tuple[set[str], int]], grades: int) -> Severity:
     """Fit to (distinct words, grade from 0 to grades - 1). Without two different grades: grade 0 for all."""
     if len({g for _, g in rows}) < 2:
         return Severity(tuple([500.0] * (grades - 1)), {})
-    held = Counter()
-    for words, _ in rows:
-        held.update({f for w in words for f in features(w)})
-    names = sorted(f for f, n in held.items() if n >= min(LEAST_ROWS, max(1, len(rows) // 8)))
+    grade = np.array([g for _, g in rows])
+    # rows of a rare grade weigh more, so that clean and toxic rows count alike
+    weigh = np.where(grade > 0, 0.5 / max(1, (grade > 0).sum()), 0.5 / max(1, (grade == 0).sum()))
+    held, toxic, clean = Counter(), Counter(), Counter()
+    for (words, g), w in zip(rows, weigh):
+        found = {f for v in words for f in features(v)}
+        held.update(found)
+        for f in found:
+            (toxic if g else clean)[f] += w
+    # features that toxic rows do not have by far more often than clean ones are left out
+    names = sorted(f for f, n in held.items() if n >= min(LEAST_ROWS, max(1, len(rows) // 8)) and toxic[f] > SCREEN + RATIO * clean[f])
     index = {f: k for k, f in enumerate(names)}
-    cols, vals, starts = [], [], [0]
+    cols, starts = [], [0]
     for words, _ in rows:
-        counts = Counter(index[f] for w in words for f in features(w) if f in index)
-        cols += counts.keys()
-        vals += counts.values()
+        cols += sorted({index[f] for w in words for f in features(w) if f in index})
         starts.append(len(cols))
-    cols, vals = np.array(cols, np.int64), np.log1p(np.array(vals, float)) / np.log(2)
+    cols, x = np.array(cols, np.int64), np.ones(len(cols))
     row_of = np.repeat(np.arange(len(rows)), np.diff(starts))
-    grade = np.array([g for _, g in rows])
     above = (grade[:, None] > np.arange(grades - 1)[None, :]).astype(float)
-    # rows of a rare grade weigh more, so that all count alike
-    share = np.bincount(grade, minlength=grades)[grade]
-    weigh = (1 / share / len(set(grade.tolist())))[:, None]
-    scale = np.sqrt(np.bincount(cols, weights=vals * vals, minlength=len(names)) / len(rows)) + 0.05
-    x = vals / scale[cols]
-    w, t = np.zeros(len(names)), np.log((1 - above.mean(axis=0) + 1e-3) / (above.mean(axis=0) + 1e-3))
-    z, s, momentum, rate = w.copy(), t.copy(), 1.0, 1.0
-    energy = np.bincount(row_of, weights=x * x, minlength=len(rows))
-    rate = 4.0 / (float((energy * weigh[:, 0]).sum()) * (grades - 1) + 1)
+    weigh = weigh[:, None]
+    w, t = np.zeros(len(names)), np.full(grades - 1, FLOOR)
+    z, s, momentum = w.copy(), t.copy(), 1.0
+    v = np.ones(len(names))
+    for _ in range(20):  # the steepest direction
+        size = np.linalg.norm(v)
+        v = v / (size or 1.0)
+        v = np.bincount(cols, weights=x * (np.bincount(row_of, weights=x * v[cols], minlength=len(rows)) * weigh[:, 0])[row_of], minlength=len(names))
+    rate = 4.0 / ((1.1 * np.linalg.norm(v) + 1.0) * (grades - 1))
     for _ in range(STEPS):
         score = np.bincount(row_of, weights=x * z[cols], minlength=len(rows))
         p = 1 / (1 + np.exp(np.clip(s[None, :] - score[:, None], -500, 500)))
         slope = (p - above) * weigh
         pull = np.bincount(cols, weights=x * slope.sum(axis=1)[row_of], minlength=len(names))
         new = z - rate * pull
-        new = np.sign(new) * np.maximum(np.abs(new) - rate * PENALTY, 0)
-        new_t = np.maximum.accumulate(s + rate * slope.sum(axis=0))
+        new = np.maximum(new - rate * PENALTY, 0)  # words can only add to the severity
+        new_t = np.maximum.accumulate(np.maximum(s + rate * slope.sum(axis=0), FLOOR))
         ahead = (1 + np.sqrt(1 + 4 * momentum * momentum)) / 2
         z = new + (momentum - 1) / ahead * (new - w)
         s = np.maximum.accumulate(new_t + (momentum - 1) / ahead * (new_t - t))
         w, t, momentum = new, new_t, ahead
     kept = np.flatnonzero(w)
-    return Severity(tuple(float(v) for v in t), {names[k]: float(w[k] / scale[k]) for k in kept})
+    return Severity(tuple(float(v) for v in t), {names[k]: float(w[k]) for k in kept})
 
 
 def graded(rows: list[tuple[set[str], int]]) -> list[tuple[set[str], int]]:
@@ -101,9 +107,9 @@ def graded(rows: list[tuple[set[str], int]]) -> list[tuple[set[str], int]]:
     for words, label in rows:
         (toxic if label else clean).update(words)
     telling = {w for w, n in toxic.items() if n >= LEAST_ROWS and not clean[w]}
-    density = [len(words & telling) / max(1, len(words)) for words, label in rows if label]
-    middle = float(np.median(density)) if density else 0.0
-    return [(words, 0 if not label else 2 if len(words & telling) / max(1, len(words)) > middle else 1) for words, label in rows]
+    known = [len(words & telling) for words, label in rows if label]
+    middle = float(np.median(known)) if known else 0.0
+    return [(words, 0 if not label else 2 if len(words & telling) > middle else 1) for words, label in rows]
 
 
 def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, label: str = "toxic") -> Severity:
@@ -145,14 +151,13 @@ def score(docs: DataFrame, model: Severity, reject: float = REJECT) -> DataFrame
         weights = m.weights
 
         def total(words: set[str]) -> float:
-            counts: Counter = Counter()
+            found = set()
             for w in words:
                 hits = cache.get(w)
                 if hits is None:
                     hits = cache[w] = tuple(f for f in features(w) if f in weights)
-                if hits:
-                    counts.update(hits)
-            return sum(weights[f] * np.log1p(n) / np.log(2) for f, n in sorted(counts.items()))
+                found.update(hits)
+            return sum(weights[f] for f in sorted(found))
 
         for batch in batches:
             scores = []
