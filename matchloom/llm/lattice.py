@@ -77,35 +77,37 @@ def unit_rows(vectors: np.ndarray) -> np.ndarray:
 
 
 def deal(vectors: DataFrame) -> DataFrame:
-    """(tab, cell, probe, node, copies, vector): each vector in its own cell (probe 0) and in those it probes."""
+    """(tab, cell, probe, node): each vector in its own cell (probe 0) and in those it probes; the vector stays behind."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = ["tab", "cell", "probe", "node", "copies", "vector"]
         for batch in batches:
             for a in range(0, batch.num_rows, 1000):
                 part = batch.slice(a, 1000)
-                lists = part.column(2)
-                wide = np.asarray(lists.flatten()).reshape(part.num_rows, -1)
-                unit = unit_rows(wide)
+                unit = unit_rows(np.asarray(part.column(1).flatten()).reshape(part.num_rows, -1))
+                node = part.column(0).to_numpy()
                 for t in range(TABLES):
                     c = cells(unit, t)
-                    rows = np.repeat(np.arange(len(c)), c.shape[1])
-                    take = pa.array(rows)
                     probe = np.tile(np.arange(c.shape[1]) > 0, len(c)).astype(np.int32)
-                    yield pa.RecordBatch.from_arrays([pa.array(np.full(len(rows), t, np.int32)), pa.array(c.ravel()), pa.array(probe), part.column(0).take(take), part.column(1).take(take), lists.take(take)], names=names)
+                    yield pa.RecordBatch.from_arrays([pa.array(np.full(c.size, t, np.int32)), pa.array(c.ravel()), pa.array(probe), pa.array(np.repeat(node, c.shape[1]))], names=["tab", "cell", "probe", "node"])
 
-    return vectors.select("node", "copies", "vector").mapInArrow(run, "tab int, cell long, probe int, node long, copies long, vector array<double>")
+    return vectors.select("node", "vector").mapInArrow(run, "tab int, cell long, probe int, node long")
 
 
-def links(dealt: DataFrame, limit: float = LIMIT) -> DataFrame:
-    """(node, n, root): links of ``node`` counted in some block, and a vector that it is linked with there."""
+def links(vectors: DataFrame, scratch: Scratch, name: str, limit: float = LIMIT) -> DataFrame:
+    """(node, n, root): links of ``node`` counted in some block, and a vector that it is linked with there.
+
+    Cells are dealt out by ids; only where several vectors meet, one of which lives there, do the vectors follow.
+    """
     key = ["tab", "cell"]
+    dealt = scratch.save(deal(vectors), f"cells-{name}")
     counts = dealt.groupBy(*key).agg(F.sum((F.col("probe") == 0).cast("int")).alias("own"), F.count("*").alias("n")).where("own > 0 and n > 1")
     blocks = counts.select(*key, F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks"))
-    placed = dealt.join(blocks, key).withColumn("mine", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+    placed = scratch.save(dealt.join(blocks, key), f"met-{name}").withColumn("mine", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+    scratch.drop(f"cells-{name}")
     # every pair of blocks once: block k is the first of (k, j) and the second of (j, k)
     other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
-    paired = placed.withColumn("other", other).select(*key, "probe", "node", "copies", "vector", F.least("mine", "other").alias("b0"), F.greatest("mine", "other").alias("b1"), (F.col("mine") > F.col("other")).cast("int").alias("side"))
+    paired = placed.withColumn("other", other).select(*key, "probe", "node", F.least("mine", "other").alias("b0"), F.greatest("mine", "other").alias("b1"), (F.col("mine") > F.col("other")).cast("int").alias("side"))
+    paired = paired.join(vectors.select("node", "copies", "vector"), "node")
     task = [*key, "b0", "b1"]
     dealt_out = paired.repartition(*task).sortWithinPartitions(*task, "node", "probe")
 
@@ -192,7 +194,7 @@ def near_vectors(vectors: DataFrame, scratch: Scratch, limit: float = LIMIT, vec
     dims = [r[0] for r in same.select(F.size("vector")).distinct().collect()]  # lengths of vectors, one as a rule
     found = None
     for d in dims:
-        part = links(deal(same.where(F.size("vector") == d)), limit)
+        part = links(same.where(F.size("vector") == d), scratch, str(d), limit)
         found = part if found is None else found.unionByName(part)
     named = lambda c: F.nullif(F.col(c), F.lit(least))
     if found is None:
