@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator, Sequence
@@ -62,6 +63,11 @@ class Scratch:
         df.write.options(**options).parquet(self.path(name))
         return self.spark.read.schema(df.schema).parquet(self.path(name))
 
+    def release(self) -> None:
+        """Let go of the shuffle files of finished queries; Spark deletes them as the driver collects garbage."""
+        gc.collect()
+        self.spark.sparkContext._jvm.System.gc()
+
     def drop(self, *names: str) -> None:
         """Delete tables that no later plan reads."""
         jvm = self.spark.sparkContext._jvm

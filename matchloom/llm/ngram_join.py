@@ -30,18 +30,20 @@ from matchloom.llm.common import Scratch, groups
 from matchloom.llm.components import connected_components
 
 SHINGLE, COUNTERS, BLOCK, FAN = 5, 1 << 19, 4096, 128
-FILTER_BITS = 1 << 23
+FILTER_BITS = 1 << 25
 LEAST = -(1 << 63)
-_WORDS: dict[bytes, int] = {}
+#: any odd number; a shingle is hashed as a number with its bytes as digits
+MULTIPLIER, WORDS_AT_ONCE = 0x9E3779B97F4A7C15, 100_000
+_POWERS: tuple[np.ndarray, np.ndarray] = (np.zeros(0, np.uint64), np.zeros(0, np.uint64))
 
 
-def _word_hashes(words: list[bytes]) -> np.ndarray:
-    known = _WORDS
-    if len(known) > 400_000:
-        known.clear()
-    for w in set(words).difference(known):
-        known[w] = xxhash.xxh3_64_intdigest(w)
-    return np.fromiter(map(known.__getitem__, words), np.uint64, len(words))
+def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """The powers of a fixed odd number and of its inverse, modulo 2^64, for n places at least."""
+    global _POWERS
+    if len(_POWERS[0]) < n:
+        size = max(n, 1 << 16)
+        _POWERS = tuple(np.cumprod(np.concatenate([np.ones(1, np.uint64), np.full(size - 1, x, np.uint64)])) for x in (MULTIPLIER, pow(MULTIPLIER, -1, 1 << 64)))
+    return _POWERS
 
 
 def _mix(x: np.ndarray) -> np.ndarray:
@@ -55,12 +57,23 @@ def shingle_set(text: str | None) -> np.ndarray:
     words = (text or "").encode("utf-8", "surrogatepass").lower().split()
     if not words:
         return np.zeros(0, np.uint64)
-    h = _word_hashes(words)
-    n = min(SHINGLE, len(h))
-    out = np.full(len(h) - n + 1, n, np.uint64)
-    for k in range(n):
-        out = out * np.uint64(0x9E3779B97F4A7C15) + h[k : len(h) - n + 1 + k]
-    return np.unique(_mix(out))
+    if len(words) <= WORDS_AT_ONCE:
+        return np.unique(_shingles(words))
+    parts = [_shingles(words[a : a + WORDS_AT_ONCE + SHINGLE - 1]) for a in range(0, len(words) - SHINGLE + 1, WORDS_AT_ONCE)]
+    return np.unique(np.concatenate(parts))
+
+
+def _shingles(words: list[bytes]) -> np.ndarray:
+    line = b" ".join(words)
+    n = min(SHINGLE, len(words))
+    power, inverse = _powers(len(line) + 1)
+    digits = np.frombuffer(line, np.uint8)
+    gaps = np.flatnonzero(digits == 32)
+    sums = np.zeros(len(line) + 1, np.uint64)
+    np.cumsum(digits * power[: len(line)], out=sums[1:])
+    start = np.concatenate([[0], gaps + 1])[: len(words) - n + 1]
+    end = np.concatenate([gaps, [len(line)]])[n - 1 :]
+    return _mix((sums[end] - sums[start]) * inverse[start] + (end - start).astype(np.uint64))
 
 
 def set_id(s: np.ndarray) -> int:
@@ -149,7 +162,7 @@ def prefixes(docs: DataFrame, common) -> DataFrame:
 
 
 def ordered_sets(docs: DataFrame, common, wanted) -> DataFrame:
-    """(node, tokens) of the documents whose doc_id may be wanted: common shingles first."""
+    """(node, tokens) of the documents whose doc_id may be wanted: common shingles first; some more do no harm."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         order, bits = common.value, wanted.value
@@ -160,11 +173,11 @@ def ordered_sets(docs: DataFrame, common, wanted) -> DataFrame:
                 h = xxhash.xxh3_64_intdigest(str(i).encode()) % FILTER_BITS
                 if bits[h >> 3] >> (h & 7) & 1:
                     s = shingle_set(text)
-                    rows.append((i, set_id(s), in_order(s, order)[::-1].view(np.int64)))
+                    rows.append((set_id(s), in_order(s, order)[::-1].view(np.int64)))
             if rows:
-                yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows], pa.int64()), pa.array([r[2] for r in rows], pa.list_(pa.int64()))], names=["doc_id", "node", "tokens"])
+                yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows], pa.list_(pa.int64()))], names=["node", "tokens"])
 
-    return docs.mapInArrow(run, "doc_id long, node long, tokens array<long>")
+    return docs.mapInArrow(run, "node long, tokens array<long>")
 
 
 def trie_links(center: np.ndarray, sets: list[np.ndarray]) -> np.ndarray:
@@ -209,11 +222,10 @@ def trie_links(center: np.ndarray, sets: list[np.ndarray]) -> np.ndarray:
 def verify(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """pairs (center, node) that link; a center's many sets are verified in blocks of their own."""
     fans = pairs.groupBy("center").agg(F.ceil(F.count("*") / FAN).cast("int").alias("fan"))
-    salted = pairs.join(fans, "center").select("center", "node", F.pmod(F.xxhash64("node"), F.col("fan")).cast("int").alias("salt"))
-    members = salted.join(sets, "node").select("center", "salt", "node", "tokens", F.lit(1).alias("is_member"))
-    heads = fans.withColumn("salt", F.explode(F.sequence(F.lit(0), F.col("fan") - 1))).join(sets.withColumnRenamed("node", "center"), "center")
-    heads = heads.select("center", "salt", F.col("center").alias("node"), "tokens", F.lit(0).alias("is_member"))
-    both = heads.unionByName(members).repartition("center", "salt").sortWithinPartitions("center", "salt", "is_member")
+    members = pairs.join(fans, "center").select("center", "node", F.pmod(F.xxhash64("node"), F.col("fan")).cast("int").alias("salt"), F.lit(1).alias("is_member"))
+    heads = fans.select("center", F.col("center").alias("node"), F.explode(F.sequence(F.lit(0), F.col("fan") - 1)).alias("salt"), F.lit(0).alias("is_member"))
+    both = heads.unionByName(members).join(sets, "node").select("center", "salt", "node", "tokens", "is_member")
+    both = both.repartition("center", "salt").sortWithinPartitions("center", "salt", "is_member")
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for g in groups(batches, ["center", "salt"]):
@@ -254,13 +266,20 @@ def components(docs: DataFrame, scratch: Scratch) -> DataFrame:
     scratch.drop("posts")
     heads = posts.alias("c").where("node = center").select("token", F.col("n"), F.col("at"), "center")
     star = posts.where("node <> center").alias("y").join(heads.alias("x"), "token").where(_meets("x", "y")).select("x.center", "y.node").distinct()
-    # whose sets are needed: a filter of fixed size over the documents that stand for their sets
-    wanted_ids = posts.select("node").distinct().join(nodes, "node").select("first")
-    wanted = spark.sparkContext.broadcast(_filter(wanted_ids))
-    reps = wanted_ids.withColumnRenamed("first", "doc_id").distinct()
-    sets = scratch.save(ordered_sets(docs, common, wanted).join(reps, "doc_id", "left_semi").select("node", "tokens"), "sets")
+    scratch.release()
     done = scratch.save(star, "pairs-0")
-    links = scratch.save(verify(done, sets), "links-0")
+
+    def verified(pairs: DataFrame, step: int) -> DataFrame:
+        """Links among pairs; only the sets that meet are built, found by a filter of fixed size."""
+        ends = pairs.select(F.col("center").alias("node")).unionByName(pairs.select("node")).distinct()
+        wanted = spark.sparkContext.broadcast(_filter(ends.join(nodes, "node").select("first")))
+        sets = scratch.save(ordered_sets(docs, common, wanted), f"sets-{step}")
+        links = scratch.save(verify(pairs, sets), f"links-{step}")
+        scratch.drop(f"sets-{step}")
+        scratch.release()
+        return links
+
+    links = verified(done, 0)
     cap, step = 1, 0
     while True:
         joined = scratch.save(connected_components(links.select(F.col("center").alias("a"), F.col("node").alias("b")), scratch, f"cc-{step}"), f"joined-{step}")
@@ -269,20 +288,21 @@ def components(docs: DataFrame, scratch: Scratch) -> DataFrame:
         lost = lost.join(split, "token", "left_semi")
         step += 1
         lost = scratch.save(lost, f"lost-{step}")
-        # the next centers: the first ``cap`` sets of each component that a shingle leads to
-        turn = Window.partitionBy("token", "component").orderBy("node")
-        ranked = lost.withColumn("turn", F.row_number().over(turn))
+        # the next centers: the first ``cap`` sets that a shingle leads to, those of its largest component first
+        size = Window.partitionBy("token", "component")
+        turn = Window.partitionBy("token").orderBy(F.desc("size"), "component", "node")
+        ranked = lost.withColumn("size", F.count("*").over(size)).withColumn("turn", F.row_number().over(turn))
         heads = ranked.where(F.col("turn") <= cap)
         more = lost.alias("y").join(heads.alias("x"), "token").where("x.component <> y.component").where(_meets("x", "y"))
-        more = more.select(F.least("x.node", "y.node").alias("center"), F.greatest("x.node", "y.node").alias("node")).distinct()
-        more = scratch.save(more.join(done, ["center", "node"], "left_anti"), f"pairs-{step}")
+        more = more.groupBy(F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b")).agg(F.min("x.node").alias("center"))
+        more = more.join(done.select(F.least("center", "node").alias("a"), F.greatest("center", "node").alias("b")), ["a", "b"], "left_anti")
+        more = scratch.save(more.select("center", F.when(F.col("center") == F.col("a"), F.col("b")).otherwise(F.col("a")).alias("node")), f"pairs-{step}")
         left, longest = more.count(), (ranked.agg(F.max("turn")).first()[0] or 0)
         if not left and longest <= cap:
             break
         if left:
-            fresh = scratch.save(verify(more, sets), f"links-{step}")
-            links, done = links.unionByName(fresh), done.unionByName(more)
-        cap *= 8
+            links, done = links.unionByName(verified(more, step)), done.unionByName(more)
+        cap *= 4
     joined = nodes.join(joined, "node", "left").withColumn("component", F.coalesce("component", "node"))
     least = joined.groupBy("component").agg(F.min("first").alias("component_id"))
     named = joined.join(least, "component").select("node", "component_id")
