@@ -22,6 +22,7 @@ from matchloom.operators import blocking as bl
 from matchloom.operators import evaluate as ev
 from matchloom.operators import features as ft
 from matchloom.operators import tfidf as tf
+from matchloom.plans.stages import block_features
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -269,7 +270,7 @@ def tfidf_weights(spark, sf):
 @query("gated_candidates")
 def gated_candidates(spark, sf):
     s1, others = sides(spark, sf)
-    return tf.gated_top_k(s1, others, exact(spark, sf), FEW)
+    return block_features(s1, others, FEW).found
 
 
 # addresses of customers

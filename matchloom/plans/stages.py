@@ -58,7 +58,9 @@ def block(s1: DataFrame, s2: DataFrame, s3: DataFrame, config: Config = Config()
 
 
 def block_features(s1: DataFrame, others: dict[str, DataFrame], config: Config = Config()) -> Blocking:
-    found = gated_top_k(s1, others, all_exact_blocks(s1, others, config), config)
+    # keys and candidates are each read by many joins; kept in memory and on disk, they are made once
+    s1, others = s1.persist(), {pair: sx.persist() for pair, sx in others.items()}
+    found = gated_top_k(s1, others, all_exact_blocks(s1, others, config).persist(), config)
     return Blocking(s1, found, distinct_candidates(found, with_strategy=config.mode == "v1"))
 
 
