@@ -61,7 +61,7 @@ def test_recall_bounds(spark):
 def test_gating_in_turn(spark):
     s1, others = plans.sides(spark, SF)
     config = Config(tfidf_top_k=3, tfidf_gate=2)
-    found = tfidf.gated_top_k(s1, others, plans.exact(spark, SF), config)
+    found = stages.block_features(s1, others, config).found
     per = found.where("strategy = 'tfidf_char_topk'").groupBy("source1_entity_id", "source_pair").count().collect()
     assert per and max(r["count"] for r in per) <= 3
     # who got enough from the first pair isn't searched in the second
@@ -157,7 +157,7 @@ def test_whole_pipeline(spark):
     s1 = records(spark, "a", [("राम मार्केटिंग Pvt/Ltd", "12 Main Street, Pune, MH 411001"), ("Acme Inc", "1 Hill Road, Pune, India"), (None, None)])
     s2 = records(spark, "b", [("Acme Incorporated", "1 Hill Road, Pune"), ("Other Co", "9 Elm Ave, Delhi")])
     s3 = records(spark, "c", [("rAma mArkeTiMga private limited", "12 Main Street, Pune, MH 411001")])
-    made = [stages.normalize(stages.romanize(s)) for s in (s1, s2, s3)]
+    made = [stages.normalize(stages.romanize(s)).persist() for s in (s1, s2, s3)]
     assert len(made[0].columns) == 8 + 6 + 27
     result = stages.block(*made)
     found = {(r.source1_entity_id, r.candidate_entity_id) for r in result.unique.collect()}
@@ -166,5 +166,9 @@ def test_whole_pipeline(spark):
     told = stages.evaluate(result, truth, made[1], made[2])
     assert {r.recall for r in told["recall"].where("strategy = 'ALL_UNION'").collect()} == {1.0}
     assert told["coverage"].first().entities == 3
-    old = stages.block(*made, Config(mode="v1"))
-    assert "strategy" in old.unique.columns
+
+
+def test_earlier_rules(spark):
+    s1, others = plans.sides(spark, SF, Config(mode="v1"))
+    found = blocking.all_exact_blocks(s1, others, Config(mode="v1", block_cap=5))
+    assert "strategy" in blocking.distinct_candidates(found, with_strategy=True).columns
