@@ -34,11 +34,25 @@ def exact_block_semi(s1: DataFrame, sx: DataFrame, pair: str, key: str, strategy
     return left.join(right, "key").select("source1_entity_id", "candidate_entity_id", F.lit(pair).alias("source_pair"), F.lit(strategy).alias("strategy"))
 
 
+def _stacked(side: DataFrame, name: str) -> DataFrame:
+    """(``name``, strategy, key), a row for each key that is not empty."""
+    keys = F.explode(F.array(*[F.struct(F.lit(s).alias("strategy"), F.col(k).alias("key")) for s, k in STRATEGIES.items()])).alias("k")
+    return side.select(F.col("entity_id").alias(name), keys).select(name, "k.strategy", "k.key").where("key <> ''")
+
+
 def all_exact_blocks(s1: DataFrame, others: dict[str, DataFrame], config: Config = Config()) -> DataFrame:
-    """Every strategy on every pair, as one table."""
-    block = exact_block if config.mode == "v2" else exact_block_semi
-    parts = [block(s1, sx, pair, key, strategy, config.block_cap) for pair, sx in others.items() for strategy, key in STRATEGIES.items()]
-    return reduce(DataFrame.unionByName, parts)
+    """Every strategy on every pair, as one table.
+
+    Keys of all strategies stand below each other, so that one aggregation of either side and one
+    join serve them all, whatever the number of strategies and pairs.
+    """
+    left = _stacked(s1, "source1_entity_id")
+    right = reduce(DataFrame.unionByName, [_stacked(sx, "candidate_entity_id").withColumn("source_pair", F.lit(pair)) for pair, sx in others.items()])
+    small = lambda side, *by: side.groupBy(*by).agg(F.count("*").alias("n")).where(F.col("n") <= config.block_cap).select(*by)
+    keys = small(left, "strategy", "key").join(small(right, "source_pair", "strategy", "key"), ["strategy", "key"])
+    met = right.join(keys, ["source_pair", "strategy", "key"], "left_semi")
+    kept = left.join(keys.select("strategy", "key"), ["strategy", "key"], "left_semi")
+    return kept.join(met, ["strategy", "key"]).select("source1_entity_id", "candidate_entity_id", "source_pair", "strategy")
 
 
 def distinct_candidates(found: DataFrame, with_strategy: bool = False) -> DataFrame:
