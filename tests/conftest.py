@@ -10,6 +10,6 @@ sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
 def spark():
     from matchloom.session import local_session
 
-    session = local_session("2", "4g", 2)
+    session = local_session("4", "6g", 2)
     session.sparkContext.setLogLevel("ERROR")
     yield session

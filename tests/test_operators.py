@@ -159,7 +159,9 @@ def test_whole_pipeline(spark):
     s3 = records(spark, "c", [("rAma mArkeTiMga private limited", "12 Main Street, Pune, MH 411001")])
     made = [stages.normalize(stages.romanize(s)).persist() for s in (s1, s2, s3)]
     assert len(made[0].columns) == 8 + 6 + 27
-    result = stages.block(*made)
+    one, two, three = (features.feature_table(m).persist() for m in made)
+    exact = blocking.all_exact_blocks(one, {"s1_s2": two, "s1_s3": three}).persist()
+    result = stages.Blocking(one, exact, blocking.distinct_candidates(exact))
     found = {(r.source1_entity_id, r.candidate_entity_id) for r in result.unique.collect()}
     assert {("a1", "b0"), ("a0", "c0")} <= found and not any(a == "a2" for a, _ in found)
     truth = spark.createDataFrame([("a1", "b0"), ("a0", "c0")], "source1_entity_id string, matched_entity_ids string")
