@@ -33,6 +33,7 @@ def test_fingerprints_against_exact_likeness(spark, docs):
     assert len(rows) == len(TEXTS)
     ordered = sorted(TEXTS, key=lambda r: (r[0] is not None, r[0] or 0, r[1] or ""))
     by_sha = {}
+    r_text = lambda r: next(t or "" for i, t, _ in TEXTS if i == r.doc_id)
     for k, (doc_id, text, _) in enumerate(ordered):
         text, after = text or "", ordered[(k + 1) % len(ordered)][1] or ""
         part = len(text) // 4
@@ -42,7 +43,9 @@ def test_fingerprints_against_exact_likeness(spark, docs):
         by_sha[doc_id, hashlib.sha256(edited.encode()).hexdigest()] = (len(text), near(a, b), near(a, c))
     for r in rows:
         n, edited, after = by_sha[r.doc_id, r.edited_sha256]
-        assert r.n_chars == n and abs(r.near_edited - edited) < 0.15 and abs(r.near_next - after) < 0.15
+        # a few shingles fill all bins, so the spread is that of as many draws as there are shingles
+        few = 4 * (0.25 / min(fingerprints.BINS, max(1, len(sets(r_text(r)))))) ** 0.5
+        assert r.n_chars == n and abs(r.near_edited - edited) < few and abs(r.near_next - after) < few
     assert fingerprints.edited_pairs(docs.limit(0)).collect() == []
     alone = fingerprints.edited_pairs(docs.where("doc_id = 1")).first()
     assert alone.near_next == 1.0
@@ -114,7 +117,7 @@ def test_mixing(spark, docs):
 def test_license_scan(spark, docs):
     out = {(r.doc_id, (r.text or "")[:3]): r for r in licenses.scan(docs.withColumn("score", F.lit("clash"))).collect()}
     r = out[7, "All"]
-    assert (r.n_base, r.first_word, r.last_word, r.base_labels) == (3, 0, 8, "cc-by,gpl,reserved") and r.score == 1.0
+    assert (r.n_base, r.first_word, r.last_word, r.base_labels) == (3, 0, 9, "cc-by,gpl,reserved") and r.score == 1.0
     assert out[2, ""].n_words == 0 and out[2, ""].first_word is None and out[3, ""].labels == ""
     assert out[8, "wor"].n_words == 30_000
     edge = spark.createDataFrame([(1, "BY cc by"), (2, "license public general"), (3, "apache license"), (4, "cc by cc by"), (5, "Key K cc by")], "doc_id long, text string")
