@@ -13,7 +13,7 @@ import public_tokenizers
 SPLIT = re.compile(r"[ \n\t]+")
 #: signs that a word can end with; after a letter, the tokenizer keeps a run of them together
 SIGNS = ".,;:!?#%&*$|()\"-"
-CACHED, AT_ONCE = 800_000, 500
+CACHED, AT_ONCE = 400_000, 500
 END = 1
 
 
