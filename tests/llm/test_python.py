@@ -233,10 +233,11 @@ def test_pipeline_stages(spark, tmp_path):
     import corpus_pipeline
     from matchloom.llm import mixing
 
-    rows = [(k, t, "en", f"s{k % 3}", len(t)) for k, t, _ in labelled(120, 2)] + [(500, labelled(120, 2)[1][1], "en", "s1", 1), (501, None, None, None, None)]
+    made = labelled(120, 2)
+    rows = [(k, t, "en", f"s{k % 3}", len(t)) for k, t, _ in made] + [(500, made[1][1], "en", "s1", 1), (501, None, None, None, None)]
     docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
     docs.write.parquet(str(tmp_path / "documents.parquet"))
-    spark.createDataFrame([(k, y) for k, _, y in labelled(120, 2)], "doc_id long, toxic int").write.parquet(str(tmp_path / "labels.parquet"))
+    spark.createDataFrame([(k, y) for k, _, y in made], "doc_id long, toxic int").write.parquet(str(tmp_path / "labels.parquet"))
     kept, scratch = docs, Scratch(spark, "t")
     for k, (name, stage) in enumerate(corpus_pipeline.STAGES):
         before = kept.collect()
@@ -245,7 +246,7 @@ def test_pipeline_stages(spark, tmp_path):
         if name != "best_fit_packing":
             assert kept.columns == docs.columns
         if name == "toxicity":
-            toxic = {k for k, _, y in labelled(120, 2) if y}
+            toxic = {k for k, _, y in made if y}
             assert {r.doc_id for r in before} - {r.doc_id for r in after} == toxic
         if name == "line_dedup":
             assert len(after) == len(before)
