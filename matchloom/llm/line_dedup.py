@@ -1,10 +1,13 @@
-"""Line dedup by content-defined chunks of lines.
-
-A text's lines are hashed; a rolling hash over the last two line hashes ends a chunk wherever it
-is 0 modulo ``SPREAD``. A boundary thus depends on the lines beside it alone and moves along when
-lines are put in before it. Chunks of several lines are grouped over the corpus by their hash and
-then by their bytes; every place of a repeated chunk but its first (the least doc_id, the first
-place there) is removed. Chunks of one line stay.
+"""Line dedup by repeated passages, cut to their edges.
+
+A passage is a run of two lines with words or more, or one line of more than ``LONG`` words. A
+window begins at every line with words and ends at the next one, so the windows that two texts
+share cover every passage that both have from its first line to its last, whatever stands beside
+it; a long line is a window too. Windows are grouped over the corpus by their hashes and then by
+their bytes. Lines of a window that an earlier document has, or that ended earlier in the same
+text, are removed. Places are those of the texts as given, so a line of a window's first place may
+go with another window; every line that goes has a copy that stays at an earlier place. Shorter
+lines that repeat alone stay.
 """
 
 from __future__ import annotations
@@ -12,45 +15,42 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from matchloom.llm.common import Scratch, let
-
-SPREAD, BASE, MODULUS = 4, 1_000_003, 2_147_483_647
-
+from matchloom.llm.common import Scratch, let, words
 
-def line_hash(line: Column) -> Column:
-    return F.conv(F.substring(F.md5(line), 1, 12), 16, 10).cast("long") % MODULUS
+LONG = 50
 
 
-def chunks(text: Column) -> Column:
-    """array of the texts of the chunks, in order; joined by \\n they are the text again."""
+def windows(text: Column) -> Column:
+    """array of (begin, end, body): the lines that a window begins and ends at, and its text."""
 
-    def cut(lines: Column, hashes: Column) -> Column:
-        last = F.size(lines) - 1
-        ends = F.filter(
-            F.sequence(F.lit(0), last),
-            lambda i: (i == last) | ((F.coalesce(F.get(hashes, i - 1), F.lit(0)) * BASE + F.get(hashes, i)) % MODULUS % SPREAD == 0),
-        )
-        return let(ends, lambda e: F.transform(e, lambda end, k: let(F.when(k == 0, 0).otherwise(F.get(e, k - 1) + 1), lambda begin: F.slice(lines, begin + 1, end - begin + 1))))
+    def spans(lines: Column, full: Column) -> Column:
+        span = lambda begin, end: F.struct(begin.alias("begin"), end.alias("end"))
+        pairs = F.filter(F.transform(full, lambda i, k: span(i, F.get(full, k + 1))), lambda x: x["end"].isNotNull())
+        # a line of n words has 2n - 1 characters at least
+        large = F.filter(full, lambda i: (F.char_length(F.get(lines, i)) > 2 * LONG) & (F.size(words(F.get(lines, i))) > LONG))
+        found = F.concat(pairs, F.transform(large, lambda i: span(i, i)))
+        body = lambda x: F.array_join(F.slice(lines, x["begin"] + 1, x["end"] - x["begin"] + 1), "\n")
+        return F.transform(found, lambda x: F.struct(x["begin"].alias("begin"), x["end"].alias("end"), body(x).alias("body")))
 
-    lines = F.split(text, "\n")
-    return let(lines, lambda a: let(F.transform(a, line_hash), lambda h: cut(a, h)))
+    full = lambda lines: F.filter(F.sequence(F.lit(0), F.size(lines) - 1), lambda i: ~_blank(F.get(lines, i)))
+    return let(F.split(text, "\n"), lambda lines: let(full(lines), lambda f: spans(lines, f)))
 
 
 def dedup_lines(docs: DataFrame, scratch: Scratch) -> DataFrame:
-    """docs with repeated chunks cut out of ``text``, and n_removed, the lines removed.
+    """docs with repeated passages cut out of ``text``, and n_removed, the lines removed.
 
     Only ``text`` changes; every row stays, also one whose text becomes ''. Other columns stay,
     but for one named n_removed, which is replaced. Null texts stay null with 0 removed. Rows are
     told apart by doc_id: repeated rows with the same doc_id and text keep or lose the same lines;
-    a null doc_id counts as the least. Chunks without any word are not looked up, as nothing of use
-    would go with them. An empty table gives an empty result.
+    a null doc_id counts as the least. Blank lines go only between lines of a passage. An empty
+    table gives an empty result.
     """
     keep = [c for c in docs.columns if c != "n_removed"]
     doc = F.coalesce("doc_id", F.lit(-(1 << 63)))
-    bodies = F.transform(F.filter(chunks(F.col("text")), lambda c: F.size(c) > 1), lambda c: F.array_join(c, "\n"))
-    several = docs.select(doc.alias("doc"), F.explode(F.array_distinct(bodies)).alias("body")).where(~_blank(F.col("body")))
+    bodies = F.transform(windows(F.col("text")), lambda x: x["body"])
+    several = docs.select(doc.alias("doc"), F.explode(F.array_distinct(bodies)).alias("body"))
     several = several.select("doc", *[h.alias(f"h{i}") for i, h in enumerate(_marks(F.col("body")))], "body")
-    # grouping by the body beside its marks is the comparison of bytes; equal chunks meet in each task first
+    # grouping by the body beside its marks is the comparison of bytes; equal windows meet in each task first
     same = several.groupBy("h0", "h1", "body").agg(F.min("doc").alias("first"), F.max("doc").alias("last"))
     # marks that two different bodies share (never seen) name no body, so nothing is removed by them
     found = same.groupBy("h0", "h1").agg(F.count("*").alias("n"), F.min("first").alias("first"), F.max("last").alias("last")).where("n = 1 and first < last")
@@ -58,21 +58,25 @@ def dedup_lines(docs: DataFrame, scratch: Scratch) -> DataFrame:
     hits = several.select("doc", "h0", "h1").join(found, ["h0", "h1"]).where("doc > first")
     lost = hits.groupBy("doc").agg(F.collect_set(F.struct("h0", "h1")).alias("lost"))
     rows = docs.withColumn("_doc", doc).join(lost.withColumnRenamed("doc", "_doc"), "_doc", "left")
-
-    def kept(parts: Column) -> Column:
-        def stays(x: Column, i: Column) -> Column:
-            gone = F.coalesce(F.array_contains(F.col("lost"), F.struct(*[h.alias(f"h{k}") for k, h in enumerate(_marks(x["body"]))])), F.lit(False))
-            # within its own document only the first place of a chunk stays
-            return (x["n"] == 1) | _blank(x["body"]) | (~gone & (F.array_position(F.col("_parts"), x) == i + 1))
-
-        return F.filter(parts, stays)
-
-    parts = F.transform(chunks(F.col("text")), lambda c: F.struct(F.size(c).alias("n"), F.array_join(c, "\n").alias("body")))
-    rows = rows.withColumn("_parts", parts)
-    rows = rows.withColumn("_kept", F.when(F.size("_parts") > 0, kept(F.col("_parts"))))
-    text = F.array_join(F.transform("_kept", lambda x: x["body"]), "\n")
-    lines = lambda a: F.aggregate(a, F.lit(0), lambda n, x: n + x["n"])
-    removed = F.coalesce(lines("_parts") - lines("_kept"), F.lit(0)).cast("long")
+    rows = rows.withColumn("_lines", F.split("text", "\n")).withColumn("_windows", windows(F.col("text")))
+    rows = rows.withColumn("_bodies", F.transform("_windows", lambda x: x["body"])).withColumn("_lost0", F.transform("lost", lambda x: x["h0"]))
+
+    def elsewhere(x: Column) -> Column:
+        h0, h1 = _marks(x["body"])
+        return F.array_contains("_lost0", h0) & F.array_contains("lost", F.struct(h0.alias("h0"), h1.alias("h1")))
+
+    def before(x: Column) -> Column:
+        """Whether the first place of x in its own text ends before x."""
+        return F.get(F.col("_windows"), (F.array_position("_bodies", x["body"]) - 1).cast("int"))["end"] < x["begin"]
+
+    # most texts repeat no window of their own, which a set of marks tells
+    twice = F.size(F.array_distinct(F.transform("_bodies", lambda b: _marks(b)[0]))) < F.size("_bodies")
+    none = F.filter("_windows", lambda x: F.lit(False))
+    gone = F.concat(F.when(F.col("lost").isNotNull(), F.filter("_windows", elsewhere)).otherwise(none), F.when(twice, F.filter("_windows", before)).otherwise(none))
+    rows = rows.withColumn("_gone", F.array_distinct(F.flatten(F.transform(gone, lambda x: F.sequence(x["begin"], x["end"])))))
+    rows = rows.withColumn("_kept", F.filter("_lines", lambda line, i: ~F.array_contains("_gone", i)))
+    text = F.array_join("_kept", "\n")
+    removed = F.when(F.col("text").isNotNull(), F.size("_lines") - F.size("_kept")).otherwise(0).cast("long")
     return rows.select(*[(text.alias("text") if c == "text" else F.col(c)) for c in keep], removed.alias("n_removed"))
 
 

@@ -20,7 +20,7 @@ def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without the chunks of lines that an earlier one has; n_chars is that of what is left."""
+    """Documents without the passages that an earlier one has; n_chars is that of what is left."""
     out = lines.dedup_lines(docs, Scratch(spark, "lines")).drop("n_removed")
     return out.withColumn("n_chars", F.coalesce(F.char_length("text").cast("long"), F.lit(0))).select(*docs.columns)
 

@@ -77,6 +77,38 @@ def test_line_dedup(spark):
     assert line_dedup.dedup_lines(df.limit(0), Scratch(spark, "t")).collect() == []
 
 
+def brute_lines(texts):
+    """Texts by id without the lines of runs of two or more, or of over 50 words, that came before."""
+    seen, out = {}, {}
+    for k in sorted(texts):
+        lines = texts[k].split("\n")
+        full = [i for i, line in enumerate(lines) if line.strip(" \t\r\n")]
+        spans = list(zip(full, full[1:])) + [(i, i) for i in full if len(lines[i].split()) > 50]
+        gone = set()
+        for a, b in spans:
+            first = seen.setdefault(tuple(lines[a : b + 1]), (k, b))
+            if first[0] < k or first[1] < a:
+                gone |= set(range(a, b + 1))
+        out[k] = ("\n".join(line for i, line in enumerate(lines) if i not in gone), len(gone))
+    return out
+
+
+def test_line_dedup_to_the_edges(spark):
+    own = lambda k: "\n".join(f"line {i} of {k} alone" for i in range(3))
+    texts, whole = {}, {}
+    for k in range(60):
+        n = 2 + k % 5
+        passage = "\n".join(f"passage {k} has line {i}" for i in range(n)) if k % 6 else f"passage {k} " + " ".join(f"word{i}" for i in range(50))
+        texts[2 * k], texts[2 * k + 1] = f"{own(2 * k)}\n{passage}\n{own(2000 + k)}", f"{own(2 * k + 1)}\n{passage}\n{own(1000 + k)}"
+        whole[2 * k + 1] = f"{own(2 * k + 1)}\n{own(1000 + k)}"
+    texts |= {500: "one\nwith a neighbour\n\nand another", 501: "one\nelse\n\nwith a neighbour\n\nand another\n\nend", 502: "again\nagain\nagain\nagain\nagain", 503: "one"}
+    df = spark.createDataFrame(list(texts.items()), "doc_id long, text string").repartition(3)
+    out = {r.doc_id: (r.text, r.n_removed) for r in line_dedup.dedup_lines(df, Scratch(spark, "t")).collect()}
+    assert all(out[k][0] == text for k, text in whole.items()) and all(out[k][0] == texts[k] for k in range(0, 120, 2))
+    assert out[501] == ("one\nelse\n\n\nend", 3) and out[502][0] == "again\nagain" and out[503][0] == "one"
+    assert out == brute_lines(texts)
+
+
 def brute_mix(docs, weights=(5, 2, 1)):
     sizes = {}
     for _, text, source in docs:
