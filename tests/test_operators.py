@@ -174,3 +174,21 @@ def test_earlier_rules(spark):
     s1, others = plans.sides(spark, SF, Config(mode="v1"))
     found = blocking.all_exact_blocks(s1, others, Config(mode="v1", block_cap=5))
     assert "strategy" in blocking.distinct_candidates(found, with_strategy=True).columns
+
+
+def test_knn_meets_every_label(spark):
+    rows = spark.read.parquet(f"{SF}/embeddings.parquet").collect()
+    vectors = {r.vec_id: [float(x) for x in r.embedding] for r in rows}
+    labels = {r.vec_id: r.label for r in rows}
+    dot = lambda a, b: sum(x * y for x, y in zip(a, b))
+    norm = {k: dot(v, v) ** 0.5 for k, v in vectors.items()}
+    out = {}
+    for r in plans.knn_cosine_embeddings(spark, SF).orderBy("source1_entity_id", "rank").collect():
+        out.setdefault(r.source1_entity_id, []).append((r.candidate_entity_id, r.similarity))
+    assert set(out) == {k for k in vectors if k % 100 == 0}
+    for q, near in out.items():
+        all_ = {k: dot(vectors[q], v) / (norm[q] * norm[k]) for k, v in vectors.items() if k != q}
+        assert len({k for k, _ in near}) == 15 and q not in dict(near)
+        assert all(abs(all_[k] - sim) < 2e-6 for k, sim in near)
+        assert all(abs(a - b) < 2e-6 for a, b in zip(sorted(all_.values(), reverse=True), [sim for _, sim in near]))
+    assert any(labels[k] != labels[q] for q, near in out.items() for k, _ in near)
