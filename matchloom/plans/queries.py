@@ -28,9 +28,6 @@ Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 ORACLES: dict[str, str] = {}
 V1, V2 = Config(mode="v1"), Config()
-#: buckets of equal country and prefix are small here, so the text search needs few neighbours to be tested
-FEW = Config(tfidf_top_k=5)
-FEW_V1 = Config(mode="v1", tfidf_top_k=5)
 
 
 def query(name: str, sql: str | None = None):
@@ -252,25 +249,30 @@ SELECT q AS source1_entity_id, c AS candidate_entity_id, 's1_s2' AS source_pair,
 
 def _nearest(config: Config, spark: SparkSession, sf: str) -> DataFrame:
     s1, others = sides(spark, sf)
-    return tf.top_k(s1, others["s1_s2"], "s1_s2", config)
+    parts = [tf.top_k(s1, sx, pair, config) for pair, sx in others.items()]
+    return parts[0].unionByName(parts[1])
 
 
-query("tfidf_topk_v2", _tfidf_sql(True, True, 5))(partial(_nearest, FEW))
-query("tfidf_topk_v1", _tfidf_sql(False, False, 5))(partial(_nearest, FEW_V1))
+query("tfidf_topk_v2", _tfidf_sql(True, True, 5))(partial(_nearest, V2))
+query("tfidf_topk_v1", _tfidf_sql(False, False, 5))(partial(_nearest, V1))
 
 
 @query("tfidf_weights", _tfidf_sql(True, False, 5).split("\nmet AS")[0].rstrip(",") + " SELECT country_key, tfidf_prefix2, entity_id, gram, round(weight, 7) AS weight FROM w WHERE src = 1")
 def tfidf_weights(spark, sf):
     _, others = sides(spark, sf)
-    corpus = others["s1_s2"]
-    counts = tf.term_counts(corpus, V2)
-    return tf.weights(counts, tf.inverse_frequencies(corpus, counts, V2), V2).withColumn("weight", F.round("weight", 7))
+
+    def of(corpus: DataFrame) -> DataFrame:
+        counts = tf.term_counts(corpus, V2)
+        return tf.weights(counts, tf.inverse_frequencies(corpus, counts, V2), V2).withColumn("weight", F.round("weight", 7))
+
+    parts = [of(sx) for sx in others.values()]
+    return parts[0].unionByName(parts[1])
 
 
 @query("gated_candidates")
 def gated_candidates(spark, sf):
     s1, others = sides(spark, sf)
-    return block_features(s1, others, FEW).found
+    return block_features(s1, others, V2).found
 
 
 # addresses of customers

@@ -1,4 +1,6 @@
 import io
+import math
+from collections import Counter, defaultdict
 
 import pytest
 from pyspark.sql import functions as F
@@ -192,3 +194,52 @@ def test_knn_meets_every_label(spark):
         assert all(abs(all_[k] - sim) < 2e-6 for k, sim in near)
         assert all(abs(a - b) < 2e-6 for a, b in zip(sorted(all_.values(), reverse=True), [sim for _, sim in near]))
     assert any(labels[k] != labels[q] for q, near in out.items() for k, _ in near)
+
+
+def brute_tfidf(queries, corpus, sublinear):
+    """The weights of the corpus, and similarities by query of all candidates of its bucket."""
+    grams = lambda t: Counter(t[i : i + n] for n in (3, 4, 5) for i in range(len(t) - n + 1))
+    buckets = defaultdict(list)
+    for r in corpus:
+        if r.roman_name_key_base:
+            buckets[r.country_key, r.tfidf_prefix2].append((r.entity_id, grams(r.roman_name_key_base)))
+    weights, sims = {}, {}
+    for bucket, rows in buckets.items():
+        df = Counter(g for _, counts in rows for g in counts)
+        idf = {g: math.log((1 + len(rows)) / (1 + n)) + 1 for g, n in df.items()}
+
+        def vector(counts):
+            raw = {g: ((1 + math.log(n)) if sublinear else n) * idf[g] for g, n in counts.items() if g in idf}
+            norm = math.sqrt(sum(x * x for x in raw.values()))
+            return {g: x / norm for g, x in raw.items()}
+
+        vectors = {k: vector(counts) for k, counts in rows}
+        weights |= {(k, g): w for k, v in vectors.items() for g, w in v.items()}
+        for r in queries:
+            if r.roman_name_key_base and idf and (r.country_key, r.tfidf_prefix2) == bucket:
+                q = vector(grams(r.roman_name_key_base))
+                sims[r.entity_id] = {k: sum(w * v.get(g, 0) for g, w in q.items()) for k, v in vectors.items()}
+    return weights, sims
+
+
+def test_text_search_of_both_pairs(spark):
+    sf = "/root/testdata/sf0.01"
+    s1, others = plans.sides(spark, sf)
+    s1, others = s1.collect(), {pair: sx.collect() for pair, sx in others.items()}
+    for mode in ("v1", "v2"):
+        out = defaultdict(list)
+        for r in plans.QUERIES[f"tfidf_topk_{mode}"](spark, sf).orderBy("rank").collect():
+            out[r.source_pair, r.source1_entity_id].append((r.candidate_entity_id, r.similarity))
+        expected = {}
+        for pair, sx in others.items():
+            for q, sims in brute_tfidf(s1, sx, mode == "v2")[1].items():
+                if kept := {k: x for k, x in sims.items() if mode == "v2" or x > 0}:
+                    expected[pair, q] = kept
+        assert set(out) == set(expected) and max(map(len, out.values())) == 15
+        for key, near in out.items():
+            best = sorted(expected[key].values(), reverse=True)[:15]
+            assert len(near) == len(best) == len(dict(near)) and all(abs(a - b) < 1e-8 for a, (_, b) in zip(best, near))
+            assert all(abs(expected[key][k] - x) < 1e-8 for k, x in near)
+    weights = {(r.entity_id, r.gram): r.weight for r in plans.tfidf_weights(spark, sf).collect()}
+    known = {k: w for sx in others.values() for k, w in brute_tfidf([], sx, True)[0].items()}
+    assert set(weights) == set(known) and all(abs(w - known[k]) < 1e-6 for k, w in weights.items())
