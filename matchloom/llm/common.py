@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-import gc
+import atexit
+import shutil
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator, Sequence
+from functools import cache
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -41,19 +43,28 @@ def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+@cache
+def _own_folder() -> str:
+    folder = tempfile.mkdtemp(prefix="matchloom-")
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    return "file://" + folder
+
+
 class Scratch:
     """Tables written to the folder that the whole cluster shares.
 
-    ``spark.checkpoint.dir`` names the folder. Where it is unset (tests on one machine) a
-    temporary folder takes its place. A written table cuts lineage and outlives executors.
+    ``spark.checkpoint.dir`` names the folder. Where it is unset, a session on one machine (tests)
+    gets a temporary folder, and any other session an error. A written table cuts lineage and
+    outlives executors.
     """
 
     def __init__(self, spark: SparkSession, name: str):
         ship(spark)
         base = spark.conf.get("spark.checkpoint.dir", None)
         if not base:
-            base = "file://" + tempfile.mkdtemp(prefix="matchloom-")
-            spark.conf.set("spark.checkpoint.dir", base)
+            if not spark.sparkContext.master.startswith("local"):
+                raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
+            base = _own_folder()
         self.spark, self.base = spark, f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
     def path(self, name: str) -> str:
@@ -63,11 +74,6 @@ class Scratch:
         df.write.options(**options).parquet(self.path(name))
         return self.spark.read.schema(df.schema).parquet(self.path(name))
 
-    def release(self) -> None:
-        """Let go of the shuffle files of finished queries; Spark deletes them as the driver collects garbage."""
-        gc.collect()
-        self.spark.sparkContext._jvm.System.gc()
-
     def drop(self, *names: str) -> None:
         """Delete tables that no later plan reads."""
         jvm = self.spark.sparkContext._jvm

@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 from matchloom.llm.common import Scratch
 
+ROUNDS = 100
+
 
 def connected_components(edges: DataFrame, scratch: Scratch, tag: str) -> DataFrame:
     """(node, component) of every node that has an edge; component is the least node in reach.
@@ -18,18 +20,21 @@ def connected_components(edges: DataFrame, scratch: Scratch, tag: str) -> DataFr
     edges = edges.where("a is not null and b is not null and a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct()
     edges = scratch.save(edges, f"{tag}-0")
     last = None
-    for step in range(1, 100):
+    for step in range(1, ROUNDS):
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy("u").agg(F.min("v").alias("m")).withColumn("m", F.least("u", "m"))
+        # written first, so that the edges of a hub are dealt to several tasks when they meet it
+        least = scratch.save(both.groupBy("u").agg(F.min("v").alias("m")).withColumn("m", F.least("u", "m")), f"{tag}-least-{step}")
         large = both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
         small = large.groupBy("u").agg(F.min("v").alias("m"))
         stars = large.join(small, "u").select(F.when(F.col("v") == F.col("m"), F.col("u")).otherwise(F.col("v")).alias("u"), F.col("m").alias("v"))
         edges = scratch.save(stars.where("u <> v").distinct(), f"{tag}-{step}")
         sums = edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
-        scratch.drop(f"{tag}-{step - 1}")
+        scratch.drop(f"{tag}-{step - 1}", f"{tag}-least-{step}")
         if sums == last:
             break
         last = sums
+    else:
+        raise RuntimeError(f"components have not settled in {ROUNDS} rounds")
     parents = edges.groupBy("u").agg(F.min("v").alias("component")).withColumnRenamed("u", "node")
     roots = edges.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct()
     return parents.unionByName(roots)

@@ -1,12 +1,17 @@
 """N-gram Jaccard join by prefix trees.
 
 A document is the set of its distinct 5-word shingles, as 64-bit hashes. All sets are put in one
-global order, common shingles last; how common one is, a table of 2^19 counters over all documents
-tells. Two sets that are alike enough share one of their rarest shingles (the prefix), so sets are
-led together by these. Sets that meet are verified in tries: the sets that meet one center are laid
-out in the opposite order, common shingles first, as a trie, whose shared branches are compared
-with the center once; a branch is left as soon as the lengths that remain can't reach the overlap
-that is needed.
+global order, common shingles last, by how many different sets have a shingle. Two sets that are
+alike enough share one of their rarest shingles (the prefix), so sets are led together by these.
+Sets that meet are verified in tries: the sets that meet one center are laid out in the opposite
+order, common shingles first, as a trie, whose shared branches are compared with the center once; a
+branch is left as soon as the lengths that remain can't reach the overlap that is needed.
+
+Only shingles that several sets have can lead sets together or count for an overlap. They are found
+by sending packed shingles to buckets of hashes, once. A set with fewer than 0.8 of its shingles
+among them links with nothing; of all other sets, the shared shingles are all that is kept. The
+shingles of crowded cells (a table of 2^19 counters over all documents tells) are not sent: they
+count as shared and come last, in the order of their cells, so no bucket exceeds its share.
 
 Links serve to find components. First every prefix shingle leads its sets to one center only, then
 the links' components are found, and from then on only sets of different components that share a
@@ -17,6 +22,7 @@ Equal sets are one from the start.
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -26,11 +32,14 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from matchloom.llm.common import Scratch, groups
+from matchloom.llm.common import Scratch, groups, partitions
 from matchloom.llm.components import connected_components
 
 SHINGLE, COUNTERS, BLOCK, FAN = 5, 1 << 19, 4096, 128
-FILTER_BITS = 1 << 25
+#: shingles that a task packs at once, and that a bucket is made for; how crowded a cell may be, against the mean
+AT_ONCE, IN_BUCKET, CROWDED, CALM = 1 << 20, 2_000_000, 4, 256
+#: centers of a shingle in the rounds after the first: so many, and as many times more in each
+MORE = 16
 LEAST = -(1 << 63)
 #: any odd number; a shingle is hashed as a number with its bytes as digits
 MULTIPLIER, WORDS_AT_ONCE = 0x9E3779B97F4A7C15, 100_000
@@ -86,6 +95,10 @@ def least_overlap(n: np.ndarray | int, m: np.ndarray | int) -> np.ndarray | int:
     return -(-4 * (n + m) // 9)
 
 
+def cell_of(tokens: np.ndarray) -> np.ndarray:
+    return (tokens >> np.uint64(45)).astype(np.int64)
+
+
 def profile(docs: DataFrame) -> DataFrame:
     """Rows (doc_id, n, node) for documents, and (block, task, counts) for the counters of a task."""
 
@@ -96,29 +109,46 @@ def profile(docs: DataFrame) -> DataFrame:
         names = ["doc_id", "n", "node", "block", "task", "counts"]
         kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.binary()]
         for batch in batches:
-            sets = [shingle_set(text) for text in batch.column(1).to_pylist()]
-            if sets:
-                counts += np.bincount((np.concatenate(sets) >> np.uint64(45)).astype(np.int64), minlength=COUNTERS)
-            sizes, nodes = [len(s) for s in sets], [set_id(s) for s in sets]
+            sizes, nodes, waiting, held = [], [], [], 0
+            for text in batch.column(1).to_pylist():
+                s = shingle_set(text)
+                sizes.append(len(s))
+                nodes.append(set_id(s))
+                waiting.append(cell_of(s))
+                held += len(s)
+                if held > AT_ONCE:
+                    counts += np.bincount(np.concatenate(waiting), minlength=COUNTERS)
+                    waiting, held = [], 0
+            if held:
+                counts += np.bincount(np.concatenate(waiting), minlength=COUNTERS)
             none = [None] * len(sizes)
             yield pa.RecordBatch.from_arrays([batch.column(0), *[pa.array(c, k) for c, k in zip([sizes, nodes, none, none, none], kinds[1:])]], names=names)
         if counts.any():
             blocks = range(COUNTERS // BLOCK)
             none = [None] * len(blocks)
-            body = [counts[b * BLOCK : (b + 1) * BLOCK].astype("<i8").tobytes() for b in blocks]
+            body = [_packed(counts[b * BLOCK : (b + 1) * BLOCK]) for b in blocks]
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip([none, none, none, list(blocks), [task] * len(blocks), body], kinds)], names=names)
 
     return docs.mapInArrow(run, "doc_id long, n long, node long, block int, task int, counts binary")
 
 
+def _packed(counts: np.ndarray) -> bytes:
+    """Byte planes, low bytes first, compressed: a table of few shingles takes little room."""
+    return zlib.compress(counts.astype("<i8").view(np.uint8).reshape(-1, 8).T.tobytes(), 1)
+
+
+def _unpacked(body: bytes) -> np.ndarray:
+    return np.ascontiguousarray(np.frombuffer(zlib.decompress(body), np.uint8).reshape(8, -1).T).view("<i8").ravel()
+
+
 def counters(profiles: DataFrame) -> np.ndarray:
     """The sum of all tasks' counters: ``COUNTERS`` numbers, whatever the corpus."""
 
     def add(rows: pd.DataFrame) -> pd.DataFrame:
         total = np.zeros(BLOCK, "<i8")
         for body in rows["counts"]:
-            total += np.frombuffer(body, "<i8")
-        return pd.DataFrame({"block": [rows["block"].iloc[0]], "task": [rows["task"].iloc[0] // FAN], "counts": [total.tobytes()]})
+            total += _unpacked(body)
+        return pd.DataFrame({"block": [rows["block"].iloc[0]], "task": [rows["task"].iloc[0] // FAN], "counts": [_packed(total)]})
 
     parts = profiles.where("block is not null").select("block", "task", "counts")
     kind = "block int, task int, counts binary"
@@ -126,92 +156,179 @@ def counters(profiles: DataFrame) -> np.ndarray:
     rows = parts.groupBy("block").applyInPandas(add, kind).collect()
     out = np.zeros(COUNTERS, np.int64)
     for r in rows:
-        out[r["block"] * BLOCK : (r["block"] + 1) * BLOCK] = np.frombuffer(r["counts"], "<i8")
-    return np.minimum(out, np.iinfo(np.int32).max).astype(np.int32)
+        out[r["block"] * BLOCK : (r["block"] + 1) * BLOCK] = _unpacked(r["counts"])
+    return out
+
+
+#: in the order of shingles, crowded cells come after all numbers of sets
+LAST = 1 << 30
+SIX = "bucket int, nodes binary, counts binary, tokens binary"
 
 
-def in_order(s: np.ndarray, common: np.ndarray) -> np.ndarray:
-    """The set from its rarest shingle on; ``s`` is sorted, which settles ties."""
-    return s[np.argsort(common[(s >> np.uint64(45)).astype(np.int64)], kind="stable")]
+def dealt(docs: DataFrame, crowded, buckets: int) -> DataFrame:
+    """Shingles by bucket of their high bits: (bucket, nodes, how many of each, 6 low bytes of each).
+
+    The shingles of crowded cells stay with their set: rows with a negative bucket, and all 8 bytes.
+    """
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        full, seen = crowded.value > 0, set()
 
-def prefixes(docs: DataFrame, common) -> DataFrame:
-    """(token, node, n, at): each set's rarest shingles, at least one of which two sets that link share."""
+        def pack(nodes: list[int], sets: list[np.ndarray]) -> pa.RecordBatch:
+            ids, tokens = np.array(nodes, "<i8"), np.concatenate(sets)
+            of = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
+            last = full[cell_of(tokens)]
+            rows = []
+            bucket = ((tokens >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)).astype(np.int32)
+            for mark, pick in ((0, np.flatnonzero(~last)), (1, np.flatnonzero(last))):
+                key = bucket[pick] if not mark else (-1 - of[pick] % (4 * buckets)).astype(np.int32)
+                turn = np.argsort(key, kind="stable")
+                pick, key = pick[turn], key[turn]
+                cuts = np.flatnonzero(np.diff(key, prepend=key[:1] - 1, append=key[-1:] + 1)) if len(key) else []
+                for a, b in zip(cuts, cuts[1:]):
+                    part = of[pick[a:b]]
+                    starts = np.flatnonzero(np.diff(part, prepend=-1))
+                    body = tokens[pick[a:b]].astype("<u8")
+                    body = body.tobytes() if mark else body.view(np.uint8).reshape(-1, 8)[:, :6].tobytes()
+                    rows.append((int(key[a]), ids[part[starts]].tobytes(), np.diff(starts, append=len(part)).astype("<u4").tobytes(), body))
+            return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), (pa.int32(), pa.binary(), pa.binary(), pa.binary()))], names=["bucket", "nodes", "counts", "tokens"])
+
+        nodes, sets, held = [], [], 0
+        for batch in batches:
+            for text in batch.column(0).to_pylist():
+                s = shingle_set(text)
+                i = set_id(s)
+                if not len(s) or i in seen:  # a task's copies need not be sent
+                    continue
+                if len(seen) > 1 << 20:
+                    seen.clear()
+                seen.add(i)
+                nodes.append(i)
+                sets.append(s)
+                held += len(s)
+                if held > AT_ONCE:
+                    yield pack(nodes, sets)
+                    nodes, sets, held = [], [], 0
+        if sets:
+            yield pack(nodes, sets)
+
+    return docs.mapInArrow(run, SIX)
+
+
+def shared(sent: DataFrame, crowded) -> DataFrame:
+    """(node, n_shared, body) from whole buckets: the shingles that several sets have, and how many sets.
+
+    body has the shingles of one set and bucket, as pairs of numbers (place in the global order, shingle).
+    """
+    names = ["node", "n_shared", "body"]
+    kinds = (pa.int64(), pa.int64(), pa.binary())
+
+    def rows_of(node: np.ndarray, token: np.ndarray, place: np.ndarray) -> Iterator[pa.RecordBatch]:
+        """node in runs of equal ones."""
+        pairs = np.stack([place, token], axis=1).astype("<i8")
+        cuts = np.append(np.flatnonzero(np.diff(node, prepend=node[:1] + 1)), len(node)) if len(node) else np.zeros(1, int)
+        for k in range(0, len(cuts) - 1, 50_000):
+            part = cuts[k : k + 50_001]
+            a, b = part[0], part[-1]
+            offsets = (16 * (part - a)).astype(np.int32)
+            body = pa.Array.from_buffers(pa.binary(), len(part) - 1, [None, pa.py_buffer(offsets), pa.py_buffer(pairs[a:b].tobytes())])
+            yield pa.RecordBatch.from_arrays([pa.array(node[part[:-1]], kinds[0]), pa.array(np.diff(part), kinds[1]), body], names=names)
+
+    def several(bucket: int, parts: list[tuple[np.ndarray, np.ndarray]]) -> Iterator[pa.RecordBatch]:
+        node, token = (np.concatenate(x) for x in zip(*parts))
+        sorted_tokens = np.sort(token)
+        twice = np.unique(sorted_tokens[1:][sorted_tokens[1:] == sorted_tokens[:-1]])
+        if not len(twice):
+            return
+        at = np.minimum(np.searchsorted(twice, token), len(twice) - 1)
+        pick = np.flatnonzero(twice[at] == token)
+        node, at = node[pick], at[pick]
+        order = np.lexsort((at, node))
+        node, at = node[order], at[order]
+        new = np.ones(len(node), bool)
+        new[1:] = (node[1:] != node[:-1]) | (at[1:] != at[:-1])  # a set that several tasks sent
+        node, at = node[new], at[new]
+        sets = np.bincount(at, minlength=len(twice))
+        real = sets[at] > 1
+        node, at = node[real], at[real]
+        # six bytes and the bucket name a shingle
+        token = (twice[at] | (np.uint64(bucket & 0x7FFF) << np.uint64(48))).view(np.int64)
+        yield from rows_of(node, token, np.minimum(sets[at], LAST - 1))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        order, seen = common.value, set()
+        cells = crowded.value
+        held, parts = None, []
         for batch in batches:
-            texts = batch.column(0).to_pylist()
-            for a in range(0, len(texts), 512):
-                token, node, size, at = [], [], [], []
-                for text in texts[a : a + 512]:
-                    s = shingle_set(text)
-                    i = set_id(s)
-                    if not len(s) or i in seen:  # a task's copies need not meet
-                        continue
-                    seen.add(i)
-                    p = len(s) - -(-4 * len(s) // 5) + 1  # the other set has 0.8 of this one's shingles at least
-                    token.append(in_order(s, order)[:p].view(np.int64))
-                    node.append(np.full(p, i))
-                    size.append(np.full(p, len(s)))
-                    at.append(np.arange(p))
-                if token:
-                    yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x).astype(k)) for x, k in ((token, np.int64), (node, np.int64), (size, np.int32), (at, np.int32))], names=["token", "node", "n", "at"])
-
-    return docs.mapInArrow(run, "token long, node long, n int, at int")
-
-
-def ordered_sets(docs: DataFrame, common, wanted) -> DataFrame:
-    """(node, tokens) of the documents whose doc_id may be wanted: common shingles first; some more do no harm."""
+            for bucket, nodes, counts, body in zip(*[c.to_pylist() for c in batch.columns]):
+                node = np.repeat(np.frombuffer(nodes, "<i8"), np.frombuffer(counts, "<u4"))
+                if bucket < 0:
+                    token = np.frombuffer(body, "<u8")
+                    yield from rows_of(node, token.view(np.int64), LAST + np.minimum(cells[cell_of(token)], LAST - 1))
+                    continue
+                if bucket != held and parts:
+                    yield from several(held, parts)
+                    parts = []
+                held = bucket
+                wide = np.zeros((len(body) // 6, 8), np.uint8)
+                wide[:, :6] = np.frombuffer(body, np.uint8).reshape(-1, 6)
+                parts.append((node, wide.view("<u8").ravel()))
+        if parts:
+            yield from several(held, parts)
+
+    return sent.mapInArrow(run, "node long, n_shared long, body binary")
+
+
+def laid_out(found: DataFrame) -> DataFrame:
+    """(node, n, tokens, at): a set's shared shingles from the rarest on; ``at`` is the first one's place in the whole set."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        order, bits = common.value, wanted.value
         for batch in batches:
-            texts, ids = batch.column(1).to_pylist(), batch.column(0).to_pylist()
-            rows = []
-            for i, text in zip(ids, texts):
-                h = xxhash.xxh3_64_intdigest(str(i).encode()) % FILTER_BITS
-                if bits[h >> 3] >> (h & 7) & 1:
-                    s = shingle_set(text)
-                    rows.append((set_id(s), in_order(s, order)[::-1].view(np.int64)))
-            if rows:
-                yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows], pa.list_(pa.int64()))], names=["node", "tokens"])
+            out = []
+            for node, n, bodies in zip(*[c.to_pylist() for c in batch.columns]):
+                pairs = np.unique(np.concatenate([np.frombuffer(b, "<i8").reshape(-1, 2) for b in bodies]), axis=0)  # by place, then shingle
+                if len(pairs) >= -(-4 * n // 5):
+                    out.append((node, n, pairs[:, 1], n - len(pairs)))
+            if out:
+                kinds = (pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.int64())
+                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out), kinds)], names=["node", "n", "tokens", "at"])
 
-    return docs.mapInArrow(run, "node long, tokens array<long>")
+    return found.mapInArrow(run, "node long, n long, tokens array<long>, at long")
 
 
-def trie_links(center: np.ndarray, sets: list[np.ndarray]) -> np.ndarray:
+def trie_links(center: np.ndarray, sets: list[np.ndarray], n: int | None = None, sizes: list[int] | None = None) -> np.ndarray:
     """Which of ``sets`` link with ``center``; all are in one order, common shingles first.
 
+    ``n`` and ``sizes`` are those of the whole sets, where shingles that no other set has are left out.
     The sorted sets and the lengths that neighbours share are the trie in depth-first order: what
     a set shares with the one before it has been compared already. ``dead`` is the depth at which
     the branch was left; sets that share it that far are left with it.
     """
     links = np.zeros(len(sets), bool)
     by_value = np.sort(center)
-    n = len(center)
+    most = len(center)
+    n = most if n is None else n
     order = sorted(range(len(sets)), key=lambda i: sets[i][:64].tolist())
     last, hits, dead = np.zeros(0, np.int64), np.zeros(1, np.int64), None
     for i in order:
         s = sets[i]
         m = len(s)
+        need = least_overlap(n, m if sizes is None else sizes[i])
         k = min(len(last), m)
         differ = np.flatnonzero(last[:k] != s[:k])
         shared = int(differ[0]) if len(differ) else k
-        if dead is not None and shared >= dead[0] and dead[1] + min(n - dead[1], m - dead[0]) < least_overlap(n, m):
+        if dead is not None and shared >= dead[0] and dead[1] + min(most - dead[1], m - dead[0]) < need:
             continue  # last stays: the next set is compared with the branch that was left
-        need = least_overlap(n, m)
         shared = min(shared, len(hits) - 1)
         new, depth, dead = [hits[: shared + 1]], shared, None
         got = int(hits[shared])
         while depth < m:
             part = s[depth : depth + 128]
             at = np.searchsorted(by_value, part)
-            inside = by_value[np.minimum(at, n - 1)] == part
+            inside = by_value[np.minimum(at, most - 1)] == part
             new.append(got + np.cumsum(inside))
             got += int(inside.sum())
             depth += len(part)
-            if got + min(n - got, m - depth) < need:
+            if got + min(most - got, m - depth) < need:
                 dead = (depth, got)
                 break
         hits, last = np.concatenate(new), s
@@ -224,14 +341,15 @@ def verify(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     fans = pairs.groupBy("center").agg(F.ceil(F.count("*") / FAN).cast("int").alias("fan"))
     members = pairs.join(fans, "center").select("center", "node", F.pmod(F.xxhash64("node"), F.col("fan")).cast("int").alias("salt"), F.lit(1).alias("is_member"))
     heads = fans.select("center", F.col("center").alias("node"), F.explode(F.sequence(F.lit(0), F.col("fan") - 1)).alias("salt"), F.lit(0).alias("is_member"))
-    both = heads.unionByName(members).join(sets, "node").select("center", "salt", "node", "tokens", "is_member")
+    both = heads.unionByName(members).join(sets, "node").select("center", "salt", "node", "n", "tokens", "is_member")
     both = both.repartition("center", "salt").sortWithinPartitions("center", "salt", "is_member")
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for g in groups(batches, ["center", "salt"]):
-            tokens = [np.asarray(t) for t in g["tokens"]]
+            tokens = [np.asarray(t)[::-1] for t in g["tokens"]]
             if len(tokens) > 1 and g["is_member"].iloc[0] == 0:
-                rows = g.iloc[1:][trie_links(tokens[0], tokens[1:])]
+                n = g["n"].tolist()
+                rows = g.iloc[1:][trie_links(tokens[0], tokens[1:], n[0], n[1:])]
                 yield rows[["center", "node"]]
 
     return both.mapInPandas(run, "center long, node long")
@@ -243,6 +361,65 @@ def _meets(x: str, y: str) -> str:
     return f"least({x}.n - {x}.at, {y}.n - {y}.at) >= {need}"
 
 
+def links(docs: DataFrame, people: DataFrame, common: np.ndarray, scratch: Scratch) -> DataFrame:
+    """(node, component) of the sets that link with others: spanning links of all components, found in rounds."""
+    spark = docs.sparkSession
+    total = int(common.sum())
+    crowded = np.where(common > CROWDED * total / COUNTERS + CALM, common, 0)
+    shared_cells = spark.sparkContext.broadcast(np.minimum(crowded, np.iinfo(np.int32).max).astype(np.int32))
+    count = max(partitions(spark), -(-total // IN_BUCKET))
+    sent = dealt(docs.select("text"), shared_cells, count).withColumn("to", F.pmod("bucket", F.lit(count)))
+    sent = sent.repartitionById(count, F.col("to")).drop("to").sortWithinPartitions("bucket")
+    found = shared(sent, shared_cells).groupBy("node").agg(F.sum("n_shared").alias("n_shared"), F.collect_list("body").alias("bodies"))
+    sizes = people.where("n > 0").groupBy("node").agg(F.max("n").alias("n"))
+    near = found.join(sizes, "node").where("5 * n_shared >= 4 * n").select("node", "n", "bodies")
+    sets = scratch.save(laid_out(near), "sets")
+    # prefix shingles: the other set has 0.8 of this one's shingles at least
+    first = F.slice("tokens", 1, (F.col("n") - F.ceil(4 * F.col("n") / 5) + 1 - F.col("at")).cast("int"))
+    posts = scratch.save(sets.select("node", "n", F.posexplode(first).alias("k", "token"), "at").select("token", "node", "n", (F.col("at") + F.col("k")).alias("at")), "posts-0")
+    # min and max tell one set from several, without gathering a shingle's sets
+    several = posts.groupBy("token").agg(F.min("node").alias("center"), F.max("node").alias("other")).where("center <> other").select("token", "center")
+    posts = scratch.save(posts.join(several, "token"), "posts")
+    scratch.drop("posts-0")
+    heads = posts.where("node = center").select("token", "n", "at", "center")
+    star = posts.where("node <> center").alias("y").join(heads.alias("x"), "token").where(_meets("x", "y")).select("x.center", "y.node").distinct()
+    done = star = scratch.save(star, "pairs-0")
+    posts = posts.drop("center")
+    joined, cap, step = None, MORE, 0
+    while True:
+        linked = scratch.save(verify(star, sets), f"links-{step}")
+        if joined is None:
+            joined = connected_components(linked.select(F.col("center").alias("a"), F.col("node").alias("b")), scratch, f"cc-{step}")
+        else:  # the new links join whole components
+            name = lambda c: linked.join(joined.withColumnRenamed("node", c), c, "left").withColumn(c, F.coalesce("component", c)).drop("component")  # noqa: B023, E731
+            linked = name("center")
+            ends = linked.join(joined.withColumnRenamed("component", "to"), "node", "left").select(F.col("center").alias("a"), F.coalesce("to", "node").alias("b"))
+            moved = scratch.save(connected_components(ends, scratch, f"cc-{step}"), f"moved-{step}")
+            old = joined.join(moved.select(F.col("node").alias("component"), F.col("component").alias("to")), "component", "left").select("node", F.coalesce("to", "component").alias("component"))
+            joined = old.unionByName(moved.join(joined, "node", "left_anti").select("node", "component"))
+        joined = scratch.save(joined, f"joined-{step}")
+        step += 1
+        weight = joined.groupBy("component").agg(F.count("*").alias("size"))
+        known = joined.join(weight, "component")
+        lost = posts.join(known, "node", "left").withColumn("component", F.coalesce("component", "node")).withColumn("size", F.coalesce("size", F.lit(1)))
+        split = lost.groupBy("token").agg(F.min("component").alias("a"), F.max("component").alias("b"), F.count("*").alias("many")).where("a < b")
+        lost = scratch.save(lost.join(split.select("token", "many"), "token"), f"lost-{step}")
+        posts = lost.select("token", "node", "n", "at")  # a shingle whose sets are all joined is done with
+        longest = lost.agg(F.max("many")).first()[0] or 0
+        if longest <= cap // MORE:
+            break
+        # the next centers: the first ``cap`` sets that a shingle leads to, those of large components first
+        turn = F.row_number().over(Window.partitionBy("token").orderBy(F.desc("size"), "component", "node"))
+        heads = lost.withColumn("turn", turn).where(F.col("turn") <= cap)
+        more = lost.alias("y").join(heads.alias("x"), "token").where("x.component <> y.component").where(_meets("x", "y"))
+        more = more.groupBy(F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b")).agg(F.min("x.node").alias("center"))
+        more = more.join(done.select(F.least("center", "node").alias("a"), F.greatest("center", "node").alias("b")), ["a", "b"], "left_anti")
+        star = scratch.save(more.select("center", F.when(F.col("center") == F.col("a"), F.col("b")).otherwise(F.col("a")).alias("node")), f"pairs-{step}")
+        done = done.unionByName(star)
+        cap *= MORE
+    return joined
+
+
 def components(docs: DataFrame, scratch: Scratch) -> DataFrame:
     """(doc_id, n_shingles, component_id) of every row of docs; needs doc_id and text.
 
@@ -251,80 +428,15 @@ def components(docs: DataFrame, scratch: Scratch) -> DataFrame:
     each a row of the result. A null doc_id counts as the least, so a component with one has the
     component_id null. Other columns are ignored. An empty table gives an empty result.
     """
-    spark = docs.sparkSession
     docs = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(LEAST)).alias("doc_id"), "text")
     profiles = scratch.save(profile(docs), "profiles")
-    common = spark.sparkContext.broadcast(counters(profiles))
     people = profiles.where("block is null").select("doc_id", "n", "node")
+    joined = links(docs, people, counters(profiles), scratch)
     nodes = people.where("n > 0").groupBy("node").agg(F.min("doc_id").alias("first"))
-    # prefix shingles that several sets have
-    posts = prefixes(docs.select("text"), common)
-    # min and max tell one set from several, without gathering a shingle's sets
-    posts = scratch.save(posts, "posts")
-    shared = posts.groupBy("token").agg(F.min("node").alias("center"), F.max("node").alias("other")).where("center <> other").select("token", "center")
-    posts = scratch.save(posts.join(shared, "token").distinct(), "shared")
-    scratch.drop("posts")
-    heads = posts.alias("c").where("node = center").select("token", F.col("n"), F.col("at"), "center")
-    star = posts.where("node <> center").alias("y").join(heads.alias("x"), "token").where(_meets("x", "y")).select("x.center", "y.node").distinct()
-    scratch.release()
-    done = scratch.save(star, "pairs-0")
-
-    def verified(pairs: DataFrame, step: int) -> DataFrame:
-        """Links among pairs; only the sets that meet are built, found by a filter of fixed size."""
-        ends = pairs.select(F.col("center").alias("node")).unionByName(pairs.select("node")).distinct()
-        wanted = spark.sparkContext.broadcast(_filter(ends.join(nodes, "node").select("first")))
-        sets = scratch.save(ordered_sets(docs, common, wanted), f"sets-{step}")
-        links = scratch.save(verify(pairs, sets), f"links-{step}")
-        scratch.drop(f"sets-{step}")
-        scratch.release()
-        return links
-
-    links = verified(done, 0)
-    cap, step = 1, 0
-    while True:
-        joined = scratch.save(connected_components(links.select(F.col("center").alias("a"), F.col("node").alias("b")), scratch, f"cc-{step}"), f"joined-{step}")
-        lost = posts.join(joined, "node", "left").withColumn("component", F.coalesce("component", "node")).drop("center")
-        split = lost.groupBy("token").agg(F.min("component").alias("a"), F.max("component").alias("b")).where("a < b").select("token")
-        lost = lost.join(split, "token", "left_semi")
-        step += 1
-        lost = scratch.save(lost, f"lost-{step}")
-        # the next centers: the first ``cap`` sets that a shingle leads to, those of its largest component first
-        size = Window.partitionBy("token", "component")
-        turn = Window.partitionBy("token").orderBy(F.desc("size"), "component", "node")
-        ranked = lost.withColumn("size", F.count("*").over(size)).withColumn("turn", F.row_number().over(turn))
-        heads = ranked.where(F.col("turn") <= cap)
-        more = lost.alias("y").join(heads.alias("x"), "token").where("x.component <> y.component").where(_meets("x", "y"))
-        more = more.groupBy(F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b")).agg(F.min("x.node").alias("center"))
-        more = more.join(done.select(F.least("center", "node").alias("a"), F.greatest("center", "node").alias("b")), ["a", "b"], "left_anti")
-        more = scratch.save(more.select("center", F.when(F.col("center") == F.col("a"), F.col("b")).otherwise(F.col("a")).alias("node")), f"pairs-{step}")
-        left, longest = more.count(), (ranked.agg(F.max("turn")).first()[0] or 0)
-        if not left and longest <= cap:
-            break
-        if left:
-            links, done = links.unionByName(verified(more, step)), done.unionByName(more)
-        cap *= 4
     joined = nodes.join(joined, "node", "left").withColumn("component", F.coalesce("component", "node"))
     least = joined.groupBy("component").agg(F.min("first").alias("component_id"))
-    named = joined.join(least, "component").select("node", "component_id")
+    named = scratch.save(joined.join(least, "component").select("node", "component_id"), "named")
     rows = people.join(named, "node", "left")
-    named = lambda c: F.nullif(c, F.lit(LEAST))
+    given = lambda c: F.nullif(c, F.lit(LEAST))
     own = F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id"))
-    return rows.select(named(F.col("doc_id")).alias("doc_id"), F.col("n").alias("n_shingles"), named(own).alias("component_id"))
-
-
-def _filter(ids: DataFrame) -> bytes:
-    """A bit for each hash of an id, ``FILTER_BITS`` in all; false hits only cost work."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bits = np.zeros(FILTER_BITS // 8, np.uint8)
-        for batch in batches:
-            for i in batch.column(0).to_pylist():
-                h = xxhash.xxh3_64_intdigest(str(i).encode()) % FILTER_BITS
-                bits[h >> 3] |= 1 << (h & 7)
-        at = np.flatnonzero(bits.view("<u8"))
-        yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(bits.view("<i8")[at])], names=["at", "bits"])
-
-    rows = ids.mapInArrow(run, "at long, bits long").groupBy("at").agg(F.bit_or("bits").alias("bits")).toPandas()
-    out = np.zeros(FILTER_BITS // 64, "<i8")
-    out[rows["at"].to_numpy(np.int64)] = rows["bits"].to_numpy(np.int64)
-    return out.tobytes()
+    return rows.select(given(F.col("doc_id")).alias("doc_id"), F.col("n").alias("n_shingles"), given(own).alias("component_id"))
