@@ -29,19 +29,18 @@ def pieces(docs: DataFrame, path: str, capacity: int = CAPACITY, text: str = "te
     """(doc_id, piece, start, length, ids_crc32): each document's ids with the end id, cut at ``capacity``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        t, end = tokenizer(path), np.array([END], "<u4").tobytes()
+        t = tokenizer(path)
+        kinds = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64()]
         for batch in batches:
-            texts, keys = batch.column(1).to_pylist(), batch.column(0).to_pylist()
-            rows = []
-            for a in range(0, len(texts), 256):
-                for key, ids in zip(keys[a : a + 256], t.encode(texts[a : a + 256])):
-                    ids += end
-                    for k, b in enumerate(range(0, len(ids), 4 * capacity)):
-                        part = ids[b : b + 4 * capacity]
-                        rows.append((key, k, b // 4, len(part) // 4, crc32(part)))
-            columns = list(zip(*rows)) or [(), (), (), (), ()]
-            kinds = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64()]
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names=["doc_id", "piece", "start", "length", "ids_crc32"])
+            for a, ids, ends in t.batches(batch.column(1)):
+                body = memoryview(np.insert(ids, ends, END).astype("<u4", copy=False)).cast("B")
+                rows, begin = [], 0
+                for key, end in zip(batch.column(0).slice(a, len(ends)).to_pylist(), (ends + np.arange(1, len(ends) + 1)).tolist()):
+                    for k, b in enumerate(range(begin, end, capacity)):
+                        stop = min(b + capacity, end)
+                        rows.append((key, k, b - begin, stop - b, crc32(body[4 * b : 4 * stop])))
+                    begin = end
+                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names=["doc_id", "piece", "start", "length", "ids_crc32"])
 
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(text).alias("text")).mapInArrow(run, "doc_id long, piece int, start long, length long, ids_crc32 long")
 

@@ -37,19 +37,16 @@ def encode_sorted(docs: DataFrame, path: str, text: str = "text") -> DataFrame:
         from pyspark import TaskContext
 
         file, place, t = TaskContext.get().partitionId(), 0, tokenizer(path)
-        end = np.array([END], "<u4").tobytes()
         for batch in batches:
-            texts = batch.column(1).to_pylist()
-            for a in range(0, len(texts), 256):
-                ids = [x + end for x in t.encode(texts[a : a + 256])]
-                counts = np.array([len(x) // 4 for x in ids], np.int64)
-                offsets = np.concatenate([[0], np.cumsum(counts)]).astype(np.int32)
-                values = pa.array(np.frombuffer(b"".join(ids), "<u4").astype(np.int32))
+            for a, ids, ends in t.batches(batch.column(1)):
+                ids = np.insert(ids, ends, END)
+                ends = ends + np.arange(1, len(ends) + 1)
+                starts = np.concatenate([[0], ends[:-1]])
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.full(len(ids), file, np.int32)), batch.column(0).slice(a, len(ids)), pa.array(place + offsets[:-1].astype(np.int64)), pa.array(counts), pa.ListArray.from_arrays(pa.array(offsets), values)],
+                    [pa.array(np.full(len(ends), file, np.int32)), batch.column(0).slice(a, len(ends)), pa.array(place + starts), pa.array(ends - starts), pa.ListArray.from_arrays(pa.array(np.append(starts, ends[-1]).astype(np.int32)), pa.array(ids.astype(np.int32)))],
                     names=["file", "doc_id", "local_start", "n_tokens", "tokens"],
                 )
-                place += int(counts.sum())
+                place += int(ends[-1])
 
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(text).alias("text"))
     dealt = docs.repartitionByRange(partitions(docs.sparkSession), F.col("doc_id").asc_nulls_first(), F.xxhash64("text")).sortWithinPartitions(F.col("doc_id").asc_nulls_first(), F.xxhash64("text"))

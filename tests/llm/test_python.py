@@ -3,6 +3,7 @@ import zlib
 
 import numpy as np
 import pytest
+import tokenizers
 from pyspark.sql import functions as F
 
 from matchloom.llm import html_extract, lattice, ngram_join, packing, token_io, tokenizing, toxicity
@@ -122,17 +123,20 @@ def test_recall_at_the_limit():
     assert met.mean() >= 0.9
 
 
+FRESH = tokenizers.Tokenizer.from_file(tokenizing.vocabulary())
+
+
 def encode(text):
-    t = tokenizing.tokenizer(tokenizing.vocabulary())
-    return t.tokenizer.encode(text or "", add_special_tokens=False).ids + [1]
+    return FRESH.encode(text or "", add_special_tokens=False).ids + [1]
 
 
-ODD = ["", None, "It's 'twas don't! ü.é,. ½ Ⅷ ﬁne İstanbul, ΣΑΣ. é.", "\t\t a\n\n b ", "Kelvin K. ſ ß ǅ. क़.", "<|endoftext|> x", "word " * 6000]
+ODD = ["", None, "It's 'twas don't! ü.é,. ½ Ⅷ ﬁne İstanbul, ΣΑΣ. é.", "\t\t a\n\n b ", "Kelvin K. ſ ß ǅ. क़.", "<|endoftext|> x", "a<|startoftext|>b <|endoftext|>", "word " * 6000, "A\rB\x0bC\x0cD\x1cE\x85F\xa0G\u2003H", "ſIJÅÿŉ ǅ ªº µ", "x" * 5000, "don't we'll 's" ]
 
 
 def test_tokens_equal_the_library():
     rng = random.Random(1)
-    texts = ODD + ["".join(rng.choice("abZé'.,! \n\t2Σİ́ﬁ<|>") for _ in range(60)) for _ in range(200)]
+    texts = ODD + ["".join(rng.choice("abZéŉſ'.,! \n\t\r2Σİ́ﬁ<|>µªÅ") for _ in range(60)) for _ in range(500)]
+    texts += ["".join(chr(rng.choice([rng.randrange(32, 0x250), rng.randrange(32, 0x3000), rng.randrange(32, 0xD7FF)])) for _ in range(40)) for _ in range(500)]
     got = tokenizing.tokenizer(tokenizing.vocabulary()).encode(texts)
     assert [np.frombuffer(x, "<u4").tolist() for x in got] == [encode(t)[:-1] for t in texts]
 
