@@ -23,6 +23,30 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def unused(df: DataFrame, *stems: str) -> list[str]:
+    """A name for each of ``stems`` that no column of df has, whatever its case."""
+    taken, out = {c.lower() for c in df.columns}, []
+    for stem in stems:
+        while stem.lower() in taken:
+            stem += "_"
+        taken.add(stem.lower())
+        out.append(stem)
+    return out
+
+
+def quoted(*names: str) -> list[Column]:
+    """Columns by their exact names, whatever signs these hold."""
+    return [F.col("`" + n.replace("`", "``") + "`") for n in names]
+
+
+def set_aside(df: DataFrame, *names: str) -> tuple[DataFrame, Callable[[DataFrame], DataFrame]]:
+    """df with its columns of ``names`` under unused names, and what gives them their names back."""
+    clash = [c for c in df.columns if c.lower() in names]
+    away = dict(zip(clash, unused(df, *[f"{c}_given" for c in clash])))
+    back = {v: k for k, v in away.items()}
+    return df.withColumnsRenamed(away), lambda out: out.withColumnsRenamed(back)
+
+
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
     """``body`` of ``value``, which is evaluated once however often ``body`` names it."""
     return F.get(F.transform(F.array(value), body), F.lit(0))

@@ -14,7 +14,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from matchloom.llm.common import SPACE, cut_points, let, partitions, range_of
+from matchloom.llm.common import SPACE, cut_points, let, partitions, range_of, unused
 
 BINS, BITS, SHINGLE, PROBES = 256, 8, 5, 8
 SHIFT = 64 - (BINS - 1).bit_length()
@@ -38,7 +38,7 @@ def with_signature(df: DataFrame, text: str, out: str) -> DataFrame:
     their own, used more than once each, so that splitting and sorting run as generated code.
     """
     none = F.array().cast("array<bigint>")
-    h, s, m = f"_{out}_h", f"_{out}_s", f"_{out}_m"
+    h, s, m = unused(df, "hashes", "shingles", "minima")
     clean = F.btrim(F.lower(F.coalesce(F.col(text), F.lit(""))), F.lit(BLANKS))
     hashes = F.transform(F.split(clean, SPACE), lambda w: F.xxhash64(w))
     several = F.transform(F.sequence(F.lit(0), F.size(h) - SHINGLE), lambda i: F.xxhash64(*[F.get(F.col(h), i + k) for k in range(SHINGLE)]))

@@ -1,13 +1,16 @@
-"""Line dedup by repeated passages, cut to their edges.
-
-A passage is a run of two lines with words or more, or one line of more than ``LONG`` words. A
-window begins at every line with words and ends at the next one, so the windows that two texts
-share cover every passage that both have from its first line to its last, whatever stands beside
-it; a long line is a window too. Windows are grouped over the corpus by their hashes and then by
-their bytes. Lines of a window that an earlier document has, or that ended earlier in the same
-text, are removed. Places are those of the texts as given, so a line of a window's first place may
-go with another window; every line that goes has a copy that stays at an earlier place. Shorter
-lines that repeat alone stay.
+"""Line dedup by content-defined chunks of lines, cut to the edges of repeated passages.
+
+Every line with words is hashed, and a rolling hash of two neighbours runs over the line hashes. A
+boundary stands between two neighbours whose rolling hash occurs nowhere before, in no earlier
+document and at no earlier place of the same text; it depends on these two lines alone, so it does
+not shift with what is put before them. The chunks between boundaries that have two lines or more
+are the passages that stood somewhere before, from their first line to their last. (Boundaries at
+hashes of a fixed remainder would leave the ends of most passages, and short passages as a whole.)
+A line of more than ``LONG`` words is a chunk by itself.
+
+Rolling hashes are counted over the corpus; the texts of those that repeat are then compared by
+their bytes before anything goes. Places are those of the texts as given, so every line that goes
+has a copy at an earlier place. Shorter lines that repeat alone stay.
 """
 
 from __future__ import annotations
@@ -15,74 +18,83 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from matchloom.llm.common import Scratch, let, words
+from matchloom.llm.common import Scratch, let, quoted, unused
 
 LONG = 50
+MANY_WORDS = "^[\\x20\\x09-\\x0D]*+(?:[^\\x20\\x09-\\x0D]++[\\x20\\x09-\\x0D]++){%d}[^\\x20\\x09-\\x0D]" % LONG
 
 
-def windows(text: Column) -> Column:
-    """array of (begin, end, body): the lines that a window begins and ends at, and its text."""
+def windows(lines: Column) -> Column:
+    """array of (mark, begin, end): rolling hashes of neighbouring lines with words, and of long lines, with their places.
 
-    def spans(lines: Column, full: Column) -> Column:
-        span = lambda begin, end: F.struct(begin.alias("begin"), end.alias("end"))
-        pairs = F.filter(F.transform(full, lambda i, k: span(i, F.get(full, k + 1))), lambda x: x["end"].isNotNull())
-        # a line of n words has 2n - 1 characters at least
-        large = F.filter(full, lambda i: (F.char_length(F.get(lines, i)) > 2 * LONG) & (F.size(words(F.get(lines, i))) > LONG))
-        found = F.concat(pairs, F.transform(large, lambda i: span(i, i)))
-        body = lambda x: F.array_join(F.slice(lines, x["begin"] + 1, x["end"] - x["begin"] + 1), "\n")
-        return F.transform(found, lambda x: F.struct(x["begin"].alias("begin"), x["end"].alias("end"), body(x).alias("body")))
+    Blank lines between two neighbours belong to the window. A mark is that of all its lines' hashes.
+    """
 
-    full = lambda lines: F.filter(F.sequence(F.lit(0), F.size(lines) - 1), lambda i: ~_blank(F.get(lines, i)))
-    return let(F.split(text, "\n"), lambda lines: let(full(lines), lambda f: spans(lines, f)))
+    def spans(kept: Column, hashes: Column) -> Column:
+        def window(begin: Column, end: Column) -> Column:
+            return F.struct(F.xxhash64(F.slice(hashes, begin + 1, end - begin + 1)).alias("mark"), begin.alias("begin"), end.alias("end"))
+
+        last = F.size(kept) - 1
+        pairs = F.transform(F.slice(kept, 1, F.greatest(last, F.lit(0))), lambda i, k: window(i, F.get(kept, k + 1)))
+        # a line of n words has 2n - 1 characters at least
+        large = F.filter(kept, lambda i: (F.octet_length(F.get(lines, i)) > 2 * LONG) & F.regexp_like(F.get(lines, i), F.lit(MANY_WORDS)))
+        return F.concat(pairs, F.transform(large, lambda i: window(i, i)))
+
+    full = F.filter(F.sequence(F.lit(0), F.size(lines) - 1), lambda i: F.btrim(F.get(lines, i), F.lit(" \t\r\n")) != "")
+    return let(full, lambda kept: let(F.transform(lines, lambda x: F.xxhash64(x)), lambda hashes: spans(kept, hashes)))
+
+
+def repeated(docs: DataFrame, scratch: Scratch) -> DataFrame:
+    """(doc, marks): for each doc the marks whose windows an earlier doc has, byte for byte. docs: (doc, text)."""
+    marked = docs.select("doc", F.explode(F.array_distinct(F.transform(windows(F.split("text", "\n")), lambda w: w["mark"]))).alias("mark"))
+    marked = scratch.save(marked, "marks")
+    several = marked.groupBy("mark").agg(F.min("doc").alias("first"), F.max("doc").alias("last")).where("first < last")
+    several = scratch.save(several.select("mark"), "several")
+    # written first on both sides, so that a mark of very many documents is dealt to several tasks
+    places = scratch.save(marked.join(several, "mark"), "places")
+    wanted = places.groupBy("doc").agg(F.collect_set("mark").alias("marks"))
+    lines = F.split("text", "\n")
+    shown = docs.join(wanted, "doc").select("doc", lines.alias("lines"), F.filter(windows(lines), lambda w: F.array_contains("marks", w["mark"])).alias("found"))
+    body = lambda w: F.array_join(F.slice("lines", w["begin"] + 1, w["end"] - w["begin"] + 1), "\n")
+    bodies = shown.select("doc", F.inline(F.array_distinct(F.transform("found", lambda w: F.struct(w["mark"].alias("mark"), body(w).alias("body"))))))
+    # grouping by the body beside its mark is the comparison of bytes; equal ones meet in each task first
+    same = bodies.groupBy("mark", "body").agg(F.min("doc").alias("first"))
+    # a mark that two different bodies share (never seen) names no body, so nothing is removed by it
+    sure = scratch.save(same.groupBy("mark").agg(F.count("*").alias("n"), F.min("first").alias("first")).where("n = 1").select("mark", "first"), "sure")
+    return scratch.save(places.join(sure, "mark").where("doc > first").groupBy("doc").agg(F.collect_set("mark").alias("marks")), "lost")
 
 
 def dedup_lines(docs: DataFrame, scratch: Scratch) -> DataFrame:
     """docs with repeated passages cut out of ``text``, and n_removed, the lines removed.
 
     Only ``text`` changes; every row stays, also one whose text becomes ''. Other columns stay,
-    but for one named n_removed, which is replaced. Null texts stay null with 0 removed. Rows are
-    told apart by doc_id: repeated rows with the same doc_id and text keep or lose the same lines;
-    a null doc_id counts as the least. Blank lines go only between lines of a passage. An empty
-    table gives an empty result.
+    whatever their names, but for one named n_removed, which is replaced. Null texts stay null with
+    0 removed. Rows are told apart by doc_id: repeated rows with the same doc_id and text keep or
+    lose the same lines; a null doc_id counts as the least. Blank lines go only between lines of a
+    passage. An empty table gives an empty result.
     """
     keep = [c for c in docs.columns if c != "n_removed"]
-    doc = F.coalesce("doc_id", F.lit(-(1 << 63)))
-    bodies = F.transform(windows(F.col("text")), lambda x: x["body"])
-    several = docs.select(doc.alias("doc"), F.explode(F.array_distinct(bodies)).alias("body"))
-    several = several.select("doc", *[h.alias(f"h{i}") for i, h in enumerate(_marks(F.col("body")))], "body")
-    # grouping by the body beside its marks is the comparison of bytes; equal windows meet in each task first
-    same = several.groupBy("h0", "h1", "body").agg(F.min("doc").alias("first"), F.max("doc").alias("last"))
-    # marks that two different bodies share (never seen) name no body, so nothing is removed by them
-    found = same.groupBy("h0", "h1").agg(F.count("*").alias("n"), F.min("first").alias("first"), F.max("last").alias("last")).where("n = 1 and first < last")
-    found = scratch.save(found.select("h0", "h1", "first"), "repeated")
-    hits = several.select("doc", "h0", "h1").join(found, ["h0", "h1"]).where("doc > first")
-    lost = hits.groupBy("doc").agg(F.collect_set(F.struct("h0", "h1")).alias("lost"))
-    rows = docs.withColumn("_doc", doc).join(lost.withColumnRenamed("doc", "_doc"), "_doc", "left")
-    rows = rows.withColumn("_lines", F.split("text", "\n")).withColumn("_windows", windows(F.col("text")))
-    rows = rows.withColumn("_bodies", F.transform("_windows", lambda x: x["body"])).withColumn("_lost0", F.transform("lost", lambda x: x["h0"]))
-
-    def elsewhere(x: Column) -> Column:
-        h0, h1 = _marks(x["body"])
-        return F.array_contains("_lost0", h0) & F.array_contains("lost", F.struct(h0.alias("h0"), h1.alias("h1")))
-
-    def before(x: Column) -> Column:
-        """Whether the first place of x in its own text ends before x."""
-        return F.get(F.col("_windows"), (F.array_position("_bodies", x["body"]) - 1).cast("int"))["end"] < x["begin"]
-
-    # most texts repeat no window of their own, which a set of marks tells
-    twice = F.size(F.array_distinct(F.transform("_bodies", lambda b: _marks(b)[0]))) < F.size("_bodies")
-    none = F.filter("_windows", lambda x: F.lit(False))
-    gone = F.concat(F.when(F.col("lost").isNotNull(), F.filter("_windows", elsewhere)).otherwise(none), F.when(twice, F.filter("_windows", before)).otherwise(none))
-    rows = rows.withColumn("_gone", F.array_distinct(F.flatten(F.transform(gone, lambda x: F.sequence(x["begin"], x["end"])))))
-    rows = rows.withColumn("_kept", F.filter("_lines", lambda line, i: ~F.array_contains("_gone", i)))
-    text = F.array_join("_kept", "\n")
-    removed = F.when(F.col("text").isNotNull(), F.size("_lines") - F.size("_kept")).otherwise(0).cast("long")
-    return rows.select(*[(text.alias("text") if c == "text" else F.col(c)) for c in keep], removed.alias("n_removed"))
-
-
-def _blank(body: Column) -> Column:
-    return F.btrim(body, F.lit(" \t\r\n")) == ""
-
-
-def _marks(body: Column) -> list[Column]:
-    return [F.xxhash64(body), F.xxhash64(F.lit(1), body)]
+    id_, lost, lines, found, gone, left = unused(docs, "doc", "marks", "lines", "found", "gone", "left")
+    doc = F.coalesce(F.col("doc_id").cast("long"), F.lit(-(1 << 63)))
+    marks = repeated(docs.select(doc.alias("doc"), "text"), scratch).withColumnsRenamed({"doc": id_, "marks": lost})
+    rows = docs.select(*quoted(*keep), doc.alias(id_)).join(marks, id_, "left").withColumn(lines, F.split("text", "\n"))
+
+    def before(w: Column) -> Column:
+        """Whether the first window of w's mark in its own text has the same bytes and ends before w begins."""
+        body = lambda x: F.slice(lines, x["begin"] + 1, x["end"] - x["begin"] + 1)
+        first = F.get(F.col(found), (F.array_position(F.transform(found, lambda x: x["mark"]), w["mark"]) - 1).cast("int"))
+        return (first["end"] < w["begin"]) & (body(first) == body(w))
+
+    # most texts have one line with words, or repeat no window of their own, which the marks tell
+    all_ = F.when(F.col(lost).isNotNull() | (F.size(F.array_distinct(lines)) < F.size(lines)), windows(F.col(lines)))
+    rows = rows.withColumn(found, all_)
+    none = F.filter(found, lambda w: F.lit(False))
+    elsewhere = F.when(F.col(lost).isNotNull(), F.filter(found, lambda w: F.array_contains(lost, w["mark"]))).otherwise(none)
+    twice = F.size(F.array_distinct(F.transform(found, lambda w: w["mark"]))) < F.size(found)
+    own = F.when(twice, F.filter(found, before)).otherwise(none)
+    spans = F.transform(F.concat(elsewhere, own), lambda w: F.sequence(w["begin"], w["end"]))
+    rows = rows.withColumn(gone, F.array_distinct(F.flatten(spans)))
+    rows = rows.withColumn(left, F.when(F.size(gone) > 0, F.filter(lines, lambda line, i: ~F.array_contains(gone, i))))
+    text = F.when(F.col(left).isNotNull(), F.array_join(left, "\n")).otherwise(F.col("text"))
+    removed = F.when(F.col(left).isNotNull(), F.size(lines) - F.size(left)).otherwise(0).cast("long")
+    return rows.select(*[(text.alias("text") if c == "text" else quoted(c)[0]) for c in keep], removed.alias("n_removed"))

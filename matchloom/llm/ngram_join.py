@@ -41,6 +41,8 @@ AT_ONCE, IN_BUCKET, CROWDED, CALM = 1 << 20, 2_000_000, 4, 256
 #: centers of a shingle in the rounds after the first: so many, and as many times more in each
 MORE = 16
 LEAST = -(1 << 63)
+#: what a text with words matches
+HAS_WORDS = "[^\\x20\\x09-\\x0D]"
 #: any odd number; a shingle is hashed as a number with its bytes as digits
 MULTIPLIER, WORDS_AT_ONCE = 0x9E3779B97F4A7C15, 100_000
 _POWERS: tuple[np.ndarray, np.ndarray] = (np.zeros(0, np.uint64), np.zeros(0, np.uint64))

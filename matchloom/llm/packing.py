@@ -1,12 +1,14 @@
 """Best-fit packing by a configuration linear program.
 
 Only the histogram of piece lengths (at most ``CAPACITY`` numbers) comes to the driver. A
-configuration is a multiset of lengths that fits one sequence. Multiplicative weights price the
-lengths, a knapsack dynamic program finds the configuration of the highest price, and the mix of
-the configurations found is scaled to the histogram and rounded down. What is left, which is at
-most a few sequences for each configuration, is put in best-fit order of decreasing length, over
-the histogram again. The plan, runs of like sequences, is as long as the histogram is wide; pieces
-find their places in it by their rank among those of their length.
+configuration is a multiset of lengths that fits one sequence; the program covers the histogram by
+as few as it can. Multiplicative weights price the lengths, those least covered so far highest; a
+knapsack dynamic program over all rooms gives the highest price that a sequence can hold, and with
+it the best configuration around each length. Configurations near that price are taken, rounded
+down, and at most ``SHARE`` of a length's demand in a round, so that all lengths run out together.
+What rounding leaves over is put in best-fit order of decreasing length. The prices also tell a
+bound that no packing can beat. The plan, runs of like sequences, is as long as the histogram is
+wide; pieces find their places in it by their rank among those of their length.
 """
 
 from __future__ import annotations
@@ -22,7 +24,9 @@ from pyspark.sql import functions as F
 from matchloom.llm.common import Scratch
 from matchloom.llm.tokenizing import END, tokenizer, vocabulary
 
-CAPACITY, ROUNDS, CLASSES, SLICES = 4096, 60, 96, 1024
+CAPACITY, SLICES = 4096, 1024
+#: rounds at most, the step of the weights, the share of a length covered in a round, how near the best price
+ROUNDS, STEP, SHARE, NEAR = 60, 0.02, 0.1, 1e-3
 
 
 def pieces(docs: DataFrame, path: str, capacity: int = CAPACITY, text: str = "text") -> DataFrame:
@@ -45,77 +49,76 @@ def pieces(docs: DataFrame, path: str, capacity: int = CAPACITY, text: str = "te
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(text).alias("text")).mapInArrow(run, "doc_id long, piece int, start long, length long, ids_crc32 long")
 
 
-def knapsack(price: np.ndarray, size: np.ndarray, limit: np.ndarray, capacity: int) -> np.ndarray:
-    """How many of each item give the highest price within ``capacity``; at most ``limit`` of each."""
+def knapsack(price: np.ndarray, capacity: int) -> np.ndarray:
+    """For every room from 0 to ``capacity`` the highest price that fits.
+
+    price: one for each length from 0; lengths with price 0 are not used.
+    """
+    lengths = np.flatnonzero(price[: capacity + 1] > 0)
+    prices = price[lengths]
     best = np.zeros(capacity + 1)
-    took = []
-    for p, s, most in zip(price, size, limit):
-        chosen = np.zeros(capacity + 1, np.int32)
-        copies = 1
-        layers = []
-        while most > 0 and copies * s <= capacity:  # copies in powers of two
-            c = int(min(copies, most))
-            if c * s > capacity:
-                break
-            with_it = best[: capacity + 1 - c * s] + c * p
-            better = with_it > best[c * s :]
-            mark = np.zeros(capacity + 1, bool)
-            mark[c * s :] = better
-            best[c * s :] = np.where(better, with_it, best[c * s :])
-            layers.append((c, mark))
-            most, copies = most - c, copies * 2
-        took.append(layers)
-        del chosen
-    counts, room = np.zeros(len(price), np.int64), int(best.argmax())
-    for i in range(len(price) - 1, -1, -1):
-        for c, mark in reversed(took[i]):
-            if mark[room]:
-                counts[i] += c
-                room -= c * int(size[i])
+    for room, fit in enumerate(np.searchsorted(lengths, np.arange(capacity + 1), side="right").tolist()):
+        if fit:
+            best[room] = max(best[room - 1], (best[room - lengths[:fit]] + prices[:fit]).max())
+    return best
+
+
+def configuration(length: int, price: np.ndarray, best: np.ndarray, there: np.ndarray) -> dict[int, int]:
+    """The best sequence with ``length`` that lengths with pieces ``there`` give, by the prices of rooms; longer lengths first."""
+    counts, room = {length: 1}, len(best) - 1 - length
+    held = there.copy()
+    held[length] -= 1
+    while room > 0:
+        worth = np.where(held[1 : room + 1] > 0, best[room - 1 :: -1][:room] + price[1 : room + 1], -1.0)
+        one = room - int(worth[::-1].argmax())
+        if worth[one - 1] < 0:
+            break
+        counts[one] = counts.get(one, 0) + 1
+        held[one] -= 1
+        room -= one
     return counts
 
 
-def classes(histogram: np.ndarray, count: int = CLASSES) -> np.ndarray:
-    """Upper ends of groups of lengths that hold like shares of all tokens."""
-    lengths = np.flatnonzero(histogram)
-    mass = np.cumsum(lengths * histogram[lengths])
-    ends = lengths[np.unique(np.searchsorted(mass, mass[-1] * np.arange(1, count + 1) / count).clip(0, len(lengths) - 1))]
-    return np.unique(np.append(ends, lengths[-1]))
-
-
-def configurations(histogram: np.ndarray, capacity: int = CAPACITY) -> list[tuple[np.ndarray, float]]:
-    """(how many of each class, how many sequences), a fractional cover of the histogram by classes."""
-    ends = classes(histogram)
-    group = np.searchsorted(ends, np.arange(len(histogram)))
-    demand = np.bincount(group, weights=histogram, minlength=len(ends) + 1)[: len(ends)]
-    covered, weight, found = np.zeros(len(ends)), np.ones(len(ends)), {}
-    eta = 0.5
+def program(histogram: np.ndarray, capacity: int = CAPACITY) -> tuple[list[tuple[dict[int, int], int]], int]:
+    """Configurations with the number of sequences of each, within the histogram, and a bound for any packing."""
+    demand = histogram.astype(np.int64)
+    left, lengths, found = demand.copy(), np.arange(len(demand)), []
+    bound = int(-(-(demand * lengths).sum() // capacity))
     for _ in range(ROUNDS):
-        price = weight / demand
-        counts = knapsack(price / price.max(), ends, np.minimum(demand, capacity // ends), capacity)
-        step = float(np.min(demand[counts > 0] / counts[counts > 0]))  # the width: no class is covered more than once
-        key = counts.tobytes()
-        found[key] = found.get(key, 0.0) + step
-        share = counts * step / demand
-        covered += share
-        weight *= np.exp(-eta * share)
-        weight /= weight.max()
-    # scaled so that no class is over-covered; the rest is left to best fit
-    scale = 1 / max(1.0, float(covered.max()))
-    return [(np.frombuffer(k, np.int64), n * scale) for k, n in found.items()]
+        open_ = left > 0
+        if not open_.any():
+            break
+        price = np.where(open_, lengths * np.exp(STEP * left / np.maximum(demand, 1)), 0.0)
+        best = knapsack(price, capacity)
+        bound = max(bound, int(np.ceil((demand * price).sum() / best[capacity] * (1 - 1e-9))))
+        quota = np.minimum(left, np.ceil(SHARE * demand).astype(np.int64))
+        used = 0
+        for length in np.flatnonzero(open_)[::-1].tolist():
+            while quota[length]:
+                counts = configuration(length, price, best, quota)
+                if sum(c * price[k] for k, c in counts.items()) < (1 - NEAR) * best[capacity]:
+                    break
+                n = min(int(quota[k]) // c for k, c in counts.items())
+                found.append((counts, n))
+                used += n
+                for k, c in counts.items():
+                    quota[k] -= n * c
+                    left[k] -= n * c
+        if not used:
+            break
+    return found, bound
 
 
 def plan(histogram: np.ndarray, capacity: int = CAPACITY) -> tuple[np.ndarray, int]:
     """Runs (length, first rank, ranks, first sequence, offset) and the number of sequences.
 
     Piece ``first rank + k`` of its length goes to sequence ``first sequence + k`` at ``offset``.
-    The rounded program and plain best fit are both laid out; the one with fewer sequences counts.
     """
-    options = [_lay(histogram, rounded, capacity) for rounded in (True, False)]
-    return min(options, key=lambda x: x[1])
+    return _lay(histogram, program(histogram, capacity)[0], capacity)
 
 
-def _lay(histogram: np.ndarray, rounded: bool, capacity: int) -> tuple[np.ndarray, int]:
+def _lay(histogram: np.ndarray, chosen: list[tuple[dict[int, int], int]], capacity: int) -> tuple[np.ndarray, int]:
+    """The chosen configurations, and the rest in best-fit order of decreasing length."""
     left = histogram.astype(np.int64).copy()
     used = np.zeros_like(left)
     runs: list[tuple[int, int, int, int, int]] = []
@@ -127,32 +130,15 @@ def _lay(histogram: np.ndarray, rounded: bool, capacity: int) -> tuple[np.ndarra
         used[length] += n
         left[length] -= n
 
-    if rounded and left.sum():
-        ends = classes(left)
-        for counts, n in configurations(left, capacity):
-            n = int(n)
-            if not n:
-                continue
-            # like configurations, filled class by class with the longest lengths that are left
-            parts = [(sequences, n, capacity)]
-            sequences += n
-            for g in np.flatnonzero(counts)[::-1]:
-                low = int(ends[g - 1]) + 1 if g else 1
-                for _ in range(int(counts[g])):
-                    todo, parts = parts, []
-                    for first, many, room in todo:
-                        for length in range(int(ends[g]), low - 1, -1):
-                            k = min(many, int(left[length]))
-                            if k:
-                                put(length, k, first, room)
-                                parts.append((first, k, room - length))
-                                first, many = first + k, many - k
-                            if not many:
-                                break
-                        if many:
-                            parts.append((first, many, room))
-            for first, many, room in parts:
-                open_bins.setdefault(room, []).append((first, many))
+    for counts, n in chosen:
+        room = capacity
+        for length, c in counts.items():
+            for _ in range(c):
+                put(length, n, sequences, room)
+                room -= length
+        if room:
+            open_bins.setdefault(room, []).append((sequences, n))
+        sequences += n
     for length in range(capacity, 0, -1):
         while left[length]:
             room = next((r for r in range(length, capacity) if open_bins.get(r)), None) if open_bins else None

@@ -34,7 +34,7 @@ def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "source", mixing.word_count(F.col("text")).alias("words"))
-    mixed = mixing.mix(docs, F.col("words"))
+    mixed = mixing.mix(docs, F.col("words"), Scratch(spark, "op6"))
     return mixed.select("doc_id", "size", "source_size", F.round("target", 6).alias("target"), (F.col("size") * F.col("rounds")).alias("taken"))
 
 
@@ -58,16 +58,16 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score(docs, toxicity.fit(docs, table(spark, sf_dir, "labels"))).drop("text")
 
 
-LINE_HASH = "(('0x' || substr(md5(line), 1, 12))::BIGINT % 2147483647)"
-LINE_DEDUP = f"""
-WITH lines AS (SELECT doc_id, text, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS i FROM documents WHERE text IS NOT NULL),
-hashed AS (SELECT *, {LINE_HASH} AS h, coalesce(lag({LINE_HASH}) OVER (PARTITION BY doc_id ORDER BY i), 0) AS p FROM lines),
-ends AS (SELECT *, CASE WHEN (p * 1000003 + h) % 2147483647 % 4 = 0 THEN 1 ELSE 0 END AS e FROM hashed),
-numbered AS (SELECT *, coalesce(sum(e) OVER (PARTITION BY doc_id ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS c FROM ends),
-chunks AS (SELECT doc_id, c, count(*) AS n, string_agg(line, chr(10) ORDER BY i) AS body FROM numbered GROUP BY doc_id, c),
-turns AS (SELECT *, n > 1 AND trim(body, ' ' || chr(9) || chr(10) || chr(13)) <> '' AND row_number() OVER (PARTITION BY body, n > 1 ORDER BY doc_id, c) > 1 AS gone FROM chunks),
-kept AS (SELECT doc_id, coalesce(string_agg(body, chr(10) ORDER BY c) FILTER (NOT gone), '') AS text, CAST(coalesce(sum(n) FILTER (gone), 0) AS BIGINT) AS n_removed FROM turns GROUP BY doc_id)
-SELECT d.doc_id, kept.text, coalesce(n_removed, 0) AS n_removed FROM documents d LEFT JOIN kept USING (doc_id)"""
+LINE_DEDUP = """
+WITH lines AS (SELECT doc_id, string_split(text, chr(10)) AS parts, unnest(range(1, len(parts) + 1)) AS i, parts[i] AS line FROM documents WHERE text IS NOT NULL),
+filled AS (SELECT *, lead(i) OVER (PARTITION BY doc_id ORDER BY i) AS j FROM lines WHERE trim(line, ' ' || chr(9) || chr(10) || chr(13)) <> ''),
+spans AS (
+  SELECT doc_id, i AS a, j AS b, array_to_string(parts[i:j], chr(10)) AS body FROM filled WHERE j IS NOT NULL
+  UNION ALL SELECT doc_id, i, i, line FROM filled WHERE len(regexp_extract_all(line, '[^\\x20\\x09-\\x0D]+')) > 50),
+firsts AS (SELECT *, min(doc_id) OVER (PARTITION BY body) AS first_doc, min(b) OVER (PARTITION BY body, doc_id) AS first_end FROM spans),
+gone AS (SELECT DISTINCT doc_id, unnest(range(a, b + 1)) AS i FROM firsts WHERE first_doc < doc_id OR first_end < a),
+kept AS (SELECT l.doc_id, coalesce(string_agg(line, chr(10) ORDER BY l.i) FILTER (g.i IS NULL), '') AS text, count(g.i) AS n_removed FROM lines l LEFT JOIN gone g ON g.doc_id = l.doc_id AND g.i = l.i GROUP BY 1)
+SELECT d.doc_id, kept.text, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed FROM documents d LEFT JOIN kept USING (doc_id)"""
 
 MIXING = """
 WITH sized AS (SELECT doc_id, coalesce('s' || source, 't') AS s, CAST(len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+')) AS BIGINT) AS size, md5('mix:' || coalesce(doc_id::VARCHAR, 'null')) AS k FROM documents),

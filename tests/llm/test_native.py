@@ -129,7 +129,7 @@ def brute_mix(docs, weights=(5, 2, 1)):
 def test_mixing(spark, docs):
     more = TEXTS + [(100 + k, "some words here " * (k % 7), "abcd"[k % 4] if k % 9 else None) for k in range(300)]
     df = spark.createDataFrame(more, "doc_id long, text string, source string")
-    out = mixing.mix(df, mixing.word_count(F.col("text"))).collect()
+    out = mixing.mix(df, mixing.word_count(F.col("text")), Scratch(spark, "t")).collect()
     sizes, goal = brute_mix(more)
     assert len(out) == len(more)
     for r in out:
@@ -137,13 +137,13 @@ def test_mixing(spark, docs):
         assert r.target == pytest.approx(goal[r.source])
     taken = sum(r.size * r.rounds for r in out)
     assert taken <= sum(sizes.values())
-    again = mixing.mix(df.orderBy(F.desc("doc_id")), mixing.word_count(F.col("text"))).collect()
+    again = mixing.mix(df.orderBy(F.desc("doc_id")), mixing.word_count(F.col("text")), Scratch(spark, "t")).collect()
     key = lambda rows: sorted((r.doc_id or 0, r.size, r.rounds) for r in rows)
     assert key(out) == key(again)
-    assert mixing.mix(df.limit(0), F.lit(1)).collect() == []
-    blank = mixing.mix(df.where("doc_id = 2"), mixing.word_count(F.col("text"))).collect()
+    assert mixing.mix(df.limit(0), F.lit(1), Scratch(spark, "t")).collect() == []
+    blank = mixing.mix(df.where("doc_id = 2"), mixing.word_count(F.col("text")), Scratch(spark, "t")).collect()
     assert [(r.size, r.rounds, r.target) for r in blank] == [(0, 0, 0.0)]
-    assert mixing.repeated(mixing.mix(df, mixing.word_count(F.col("text")))).count() == sum(r.rounds for r in out)
+    assert mixing.repeated(mixing.mix(df, mixing.word_count(F.col("text")), Scratch(spark, "t"))).count() == sum(r.rounds for r in out)
 
 
 def test_license_scan(spark, docs):

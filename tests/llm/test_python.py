@@ -180,10 +180,43 @@ def test_packing(spark):
 def test_knapsack_against_brute_force():
     g = np.random.default_rng(4)
     for _ in range(20):
-        size, price, limit = g.integers(1, 8, 4), g.random(4), g.integers(1, 4, 4)
-        counts = packing.knapsack(price, size, limit, 15)
-        best = max(float(price @ np.array(c)) for c in np.ndindex(*(limit + 1)) if size @ np.array(c) <= 15)
-        assert size @ counts <= 15 and (counts <= limit).all() and price @ counts == pytest.approx(best)
+        price = np.where(g.random(16) < 0.4, g.random(16), 0.0)
+        price[0] = 0
+        best = packing.knapsack(price, 15)
+        for room in range(16):
+            exact = max(float(price @ np.array(c)) for c in _multisets(np.flatnonzero(price), room))
+            assert best[room] == pytest.approx(exact)
+
+
+def _multisets(lengths, room, size=16):
+    if not len(lengths):
+        return [np.zeros(size, int)]
+    out = []
+    for n in range(room // int(lengths[0]) + 1):
+        for rest in _multisets(lengths[1:], room - n * int(lengths[0]), size):
+            rest = rest.copy()
+            rest[lengths[0]] = n
+            out.append(rest)
+    return out
+
+
+def test_program_covers_the_histogram():
+    g = np.random.default_rng(5)
+    for lengths in (g.integers(800, 1800, 50_000), np.minimum(g.lognormal(5, 1, 20_000).astype(int) + 1, 4096), g.integers(1, 4097, 300)):
+        histogram = np.bincount(lengths, minlength=packing.CAPACITY + 1)
+        chosen, bound = packing.program(histogram)
+        held = np.zeros_like(histogram)
+        for counts, n in chosen:
+            assert n > 0 and sum(k * c for k, c in counts.items()) <= packing.CAPACITY
+            for k, c in counts.items():
+                held[k] += n * c
+        assert (held <= histogram).all()
+        runs, sequences = packing.plan(histogram)
+        assert np.array_equal(np.bincount(runs[:, 0], weights=runs[:, 2], minlength=len(histogram)).astype(int), histogram)
+        assert bound <= sequences
+        if len(lengths) > 1000:  # the program decides, and comes near what no packing can beat
+            assert held.sum() > 0.9 * histogram.sum() and sequences <= 1.002 * bound
+            assert sequences <= 1.001 * packing._lay(histogram, [], packing.CAPACITY)[1]
 
 
 PAGE = """<html><head><title>T</title><script>var x="<p>no</p>";</script></head><body><header><h1>Site</h1></header><nav><a href=/>Home</a></nav>
@@ -238,7 +271,7 @@ def test_pipeline_stages(spark, tmp_path):
     from matchloom.llm import mixing
 
     made = labelled(120, 2)
-    rows = [(k, t, "en", f"s{k % 3}", len(t)) for k, t, _ in made] + [(500, made[1][1], "en", "s1", 1), (501, None, None, None, None)]
+    rows = [(k, t, "en", f"s{k % 3}", len(t)) for k, t, _ in made] + [(500, "first " + made[1][1], "en", "s1", 1), (501, None, None, None, None)]
     docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
     docs.write.parquet(str(tmp_path / "documents.parquet"))
     spark.createDataFrame([(k, y) for k, _, y in made], "doc_id long, toxic int").write.parquet(str(tmp_path / "labels.parquet"))
