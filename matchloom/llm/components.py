@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from matchloom.llm.common import Scratch
@@ -27,8 +27,10 @@ def connected_components(edges: DataFrame, scratch: Scratch, tag: str) -> DataFr
         large = both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
         small = large.groupBy("u").agg(F.min("v").alias("m"))
         stars = large.join(small, "u").select(F.when(F.col("v") == F.col("m"), F.col("u")).otherwise(F.col("v")).alias("u"), F.col("m").alias("v"))
-        edges = scratch.save(stars.where("u <> v").distinct(), f"{tag}-{step}")
-        sums = edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
+        seen = Observation()
+        edges = stars.where("u <> v").distinct().observe(seen, F.count(F.lit(1)).alias("n"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")).alias("sum"))
+        edges = scratch.save(edges, f"{tag}-{step}")
+        sums = seen.get
         scratch.drop(f"{tag}-{step - 1}", f"{tag}-least-{step}")
         if sums == last:
             break

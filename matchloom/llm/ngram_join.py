@@ -1,14 +1,16 @@
 """N-gram Jaccard join by prefix trees.
 
 A document is the set of its distinct 5-word shingles, as 64-bit hashes. All sets are put in one
-global order, common shingles last, by how many different sets have a shingle. Two sets that are
+global order, common shingles last, by the logarithm of how many sets
+have a shingle. Two sets that are
 alike enough share one of their rarest shingles (the prefix), so sets are led together by these.
 Sets that meet are verified in tries: the sets that meet one center are laid out in the opposite
 order, common shingles first, as a trie, whose shared branches are compared with the center once; a
 branch is left as soon as the lengths that remain can't reach the overlap that is needed.
 
 Only shingles that several sets have can lead sets together or count for an overlap. They are found
-by sending packed shingles to buckets of hashes, once. A set with fewer than 0.8 of its shingles
+by sending packed shingles to buckets of hashes, once, which answer each batch of sets. (A shingle's
+bucket and 40 low bits name it, 43 bits or more.) A set with fewer than 0.8 of its shingles
 among them links with nothing; of all other sets, the shared shingles are all that is kept. The
 shingles of crowded cells (a table of 2^19 counters over all documents tells) are not sent: they
 count as shared and come last, in the order of their cells, so no bucket exceeds its share.
@@ -29,17 +31,17 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
-from matchloom.llm.common import Scratch, groups, partitions
+from matchloom.llm.common import Scratch, groups
 from matchloom.llm.components import connected_components
 
 SHINGLE, COUNTERS, BLOCK, FAN = 5, 1 << 19, 4096, 128
 #: shingles that a task packs at once, and that a bucket is made for; how crowded a cell may be, against the mean
 AT_ONCE, IN_BUCKET, CROWDED, CALM = 1 << 20, 2_000_000, 4, 256
 #: centers of a shingle in the rounds after the first: so many, and as many times more in each
-MORE = 16
+MORE = 64
 LEAST = -(1 << 63)
 #: what a text with words matches
 HAS_WORDS = "[^\\x20\\x09-\\x0D]"
@@ -162,38 +164,59 @@ def counters(profiles: DataFrame) -> np.ndarray:
     return out
 
 
-#: in the order of shingles, crowded cells come after all numbers of sets
-LAST = 1 << 30
-SIX = "bucket int, nodes binary, counts binary, tokens binary"
+#: low bytes of a shingle that are sent; its bucket tells the rest, all but some bits
+BYTES = 5
+#: a shingle's place in the order: some times the logarithm of how many have it, crowded cells last
+STEPS, LAST = 8, 128
+SENT = "bucket int, batch long, sets binary, tokens binary"
+
+
+def _numbered(of: np.ndarray) -> bytes:
+    """Ascending small numbers as steps of one byte, or as two bytes each where a step is larger."""
+    steps = np.diff(of, prepend=0)
+    return steps.astype(np.uint8).tobytes() if steps.max(initial=0) < 256 else of.astype("<u2").tobytes()
+
+
+def _numbers(body: bytes, n: int) -> np.ndarray:
+    return np.cumsum(np.frombuffer(body, np.uint8).astype(np.int64)) if len(body) == n else np.frombuffer(body, "<u2").astype(np.int64)
+
+
+def _low(tokens: np.ndarray) -> bytes:
+    return np.ascontiguousarray(tokens.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :BYTES]).tobytes()
+
+
+def _whole(body: bytes, bucket: int = 0) -> np.ndarray:
+    wide = np.zeros((len(body) // BYTES, 8), np.uint8)
+    wide[:, :BYTES] = np.frombuffer(body, np.uint8).reshape(-1, BYTES)
+    return wide.view("<u8").ravel() | (np.uint64(bucket & 0x7FFFFF) << np.uint64(8 * BYTES))
 
 
 def dealt(docs: DataFrame, crowded, buckets: int) -> DataFrame:
-    """Shingles by bucket of their high bits: (bucket, nodes, how many of each, 6 low bytes of each).
+    """Shingles by bucket of their high bits, a batch of sets at a time: (bucket, batch, which set, low bytes).
 
-    The shingles of crowded cells stay with their set: rows with a negative bucket, and all 8 bytes.
+    Bucket -1 has the batch's sets: their identities and sizes. Bucket -2 has the shingles of crowded
+    cells, as a whole; they stay with their batch.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        full, seen = crowded.value > 0, set()
+        from pyspark import TaskContext
+
+        full, seen, turn = crowded.value > 0, set(), TaskContext.get().partitionId() << 32
 
         def pack(nodes: list[int], sets: list[np.ndarray]) -> pa.RecordBatch:
-            ids, tokens = np.array(nodes, "<i8"), np.concatenate(sets)
-            of = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
+            tokens, sizes = np.concatenate(sets), np.array([len(s) for s in sets], "<i8")
+            of = np.repeat(np.arange(len(sets)), sizes)
+            rows = [(-1, turn, np.array(nodes, "<i8").tobytes(), sizes.tobytes())]
             last = full[cell_of(tokens)]
-            rows = []
+            if last.any():
+                rows.append((-2, turn, of[last].astype("<u2").tobytes(), tokens[last].astype("<u8").tobytes()))
+                of, tokens = of[~last], tokens[~last]
             bucket = ((tokens >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)).astype(np.int32)
-            for mark, pick in ((0, np.flatnonzero(~last)), (1, np.flatnonzero(last))):
-                key = bucket[pick] if not mark else (-1 - of[pick] % (4 * buckets)).astype(np.int32)
-                turn = np.argsort(key, kind="stable")
-                pick, key = pick[turn], key[turn]
-                cuts = np.flatnonzero(np.diff(key, prepend=key[:1] - 1, append=key[-1:] + 1)) if len(key) else []
-                for a, b in zip(cuts, cuts[1:]):
-                    part = of[pick[a:b]]
-                    starts = np.flatnonzero(np.diff(part, prepend=-1))
-                    body = tokens[pick[a:b]].astype("<u8")
-                    body = body.tobytes() if mark else body.view(np.uint8).reshape(-1, 8)[:, :6].tobytes()
-                    rows.append((int(key[a]), ids[part[starts]].tobytes(), np.diff(starts, append=len(part)).astype("<u4").tobytes(), body))
-            return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), (pa.int32(), pa.binary(), pa.binary(), pa.binary()))], names=["bucket", "nodes", "counts", "tokens"])
+            order = np.argsort(bucket, kind="stable")
+            bucket, of, tokens = bucket[order], of[order], tokens[order]
+            cuts = [0, *(np.flatnonzero(np.diff(bucket)) + 1).tolist(), len(bucket)]
+            rows += [(int(bucket[a]), turn, _numbered(of[a:b]), _low(tokens[a:b])) for a, b in zip(cuts, cuts[1:]) if a < b]
+            return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), (pa.int32(), pa.int64(), pa.binary(), pa.binary()))], names=["bucket", "batch", "sets", "tokens"])
 
         nodes, sets, held = [], [], 0
         for batch in batches:
@@ -208,91 +231,104 @@ def dealt(docs: DataFrame, crowded, buckets: int) -> DataFrame:
                 nodes.append(i)
                 sets.append(s)
                 held += len(s)
-                if held > AT_ONCE:
+                if held > AT_ONCE or len(sets) == 1 << 16:
                     yield pack(nodes, sets)
-                    nodes, sets, held = [], [], 0
+                    nodes, sets, held, turn = [], [], 0, turn + 1
         if sets:
             yield pack(nodes, sets)
 
-    return docs.mapInArrow(run, SIX)
+    return docs.mapInArrow(run, SENT)
 
 
 def shared(sent: DataFrame, crowded) -> DataFrame:
-    """(node, n_shared, body) from whole buckets: the shingles that several sets have, and how many sets.
+    """What of whole buckets several sets have goes back to its batch: (batch, bucket, sets, places, tokens)."""
+    names = ["batch", "bucket", "sets", "places", "tokens"]
+    kinds = (pa.int64(), pa.int32(), pa.binary(), pa.binary(), pa.binary())
 
-    body has the shingles of one set and bucket, as pairs of numbers (place in the global order, shingle).
-    """
-    names = ["node", "n_shared", "body"]
-    kinds = (pa.int64(), pa.int64(), pa.binary())
-
-    def rows_of(node: np.ndarray, token: np.ndarray, place: np.ndarray) -> Iterator[pa.RecordBatch]:
-        """node in runs of equal ones."""
-        pairs = np.stack([place, token], axis=1).astype("<i8")
-        cuts = np.append(np.flatnonzero(np.diff(node, prepend=node[:1] + 1)), len(node)) if len(node) else np.zeros(1, int)
-        for k in range(0, len(cuts) - 1, 50_000):
-            part = cuts[k : k + 50_001]
-            a, b = part[0], part[-1]
-            offsets = (16 * (part - a)).astype(np.int32)
-            body = pa.Array.from_buffers(pa.binary(), len(part) - 1, [None, pa.py_buffer(offsets), pa.py_buffer(pairs[a:b].tobytes())])
-            yield pa.RecordBatch.from_arrays([pa.array(node[part[:-1]], kinds[0]), pa.array(np.diff(part), kinds[1]), body], names=names)
-
-    def several(bucket: int, parts: list[tuple[np.ndarray, np.ndarray]]) -> Iterator[pa.RecordBatch]:
-        node, token = (np.concatenate(x) for x in zip(*parts))
-        sorted_tokens = np.sort(token)
-        twice = np.unique(sorted_tokens[1:][sorted_tokens[1:] == sorted_tokens[:-1]])
+    def out(rows: list[tuple]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names=names)
+
+    def several(bucket: int, parts: list[tuple[int, np.ndarray, np.ndarray]]) -> Iterator[pa.RecordBatch]:
+        tokens = np.concatenate([p[2] for p in parts])
+        ordered = np.sort(tokens)
+        twice = np.unique(ordered[1:][ordered[1:] == ordered[:-1]])
         if not len(twice):
             return
-        at = np.minimum(np.searchsorted(twice, token), len(twice) - 1)
-        pick = np.flatnonzero(twice[at] == token)
-        node, at = node[pick], at[pick]
-        order = np.lexsort((at, node))
-        node, at = node[order], at[order]
-        new = np.ones(len(node), bool)
-        new[1:] = (node[1:] != node[:-1]) | (at[1:] != at[:-1])  # a set that several tasks sent
-        node, at = node[new], at[new]
-        sets = np.bincount(at, minlength=len(twice))
-        real = sets[at] > 1
-        node, at = node[real], at[real]
-        # six bytes and the bucket name a shingle
-        token = (twice[at] | (np.uint64(bucket & 0x7FFF) << np.uint64(48))).view(np.int64)
-        yield from rows_of(node, token, np.minimum(sets[at], LAST - 1))
+        many = np.searchsorted(ordered, twice, "right") - np.searchsorted(ordered, twice)
+        place = np.minimum(STEPS * np.log2(many), LAST - 1).astype(np.uint8)
+        rows = []
+        for batch, of, token in parts:
+            at = np.minimum(np.searchsorted(twice, token), len(twice) - 1)
+            pick = np.flatnonzero(twice[at] == token)
+            if len(pick):
+                rows.append((batch, bucket, _numbered(of[pick]), place[at[pick]].tobytes(), _low(token[pick])))
+        if rows:
+            yield out(rows)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cells = crowded.value
         held, parts = None, []
-        for batch in batches:
-            for bucket, nodes, counts, body in zip(*[c.to_pylist() for c in batch.columns]):
-                node = np.repeat(np.frombuffer(nodes, "<i8"), np.frombuffer(counts, "<u4"))
-                if bucket < 0:
-                    token = np.frombuffer(body, "<u8")
-                    yield from rows_of(node, token.view(np.int64), LAST + np.minimum(cells[cell_of(token)], LAST - 1))
+        for arrow in batches:
+            for bucket, batch, sets, body in zip(*[c.to_pylist() for c in arrow.columns]):
+                if bucket == -1:
+                    yield out([(batch, bucket, sets, b"", body)])
+                    continue
+                if bucket == -2:
+                    place = LAST + np.minimum(STEPS / 2 * np.log2(np.maximum(cells[cell_of(np.frombuffer(body, "<u8"))], 1)), LAST - 1)
+                    yield out([(batch, bucket, sets, place.astype(np.uint8).tobytes(), body)])
                     continue
                 if bucket != held and parts:
                     yield from several(held, parts)
                     parts = []
                 held = bucket
-                wide = np.zeros((len(body) // 6, 8), np.uint8)
-                wide[:, :6] = np.frombuffer(body, np.uint8).reshape(-1, 6)
-                parts.append((node, wide.view("<u8").ravel()))
+                parts.append((batch, _numbers(sets, len(body) // BYTES), _whole(body)))
         if parts:
             yield from several(held, parts)
 
-    return sent.mapInArrow(run, "node long, n_shared long, body binary")
+    return sent.mapInArrow(run, "batch long, bucket int, sets binary, places binary, tokens binary")
 
 
 def laid_out(found: DataFrame) -> DataFrame:
-    """(node, n, tokens, at): a set's shared shingles from the rarest on; ``at`` is the first one's place in the whole set."""
+    """(node, n, tokens, at) of sets with 0.8 of their shingles shared, out of whole batches.
+
+    tokens: the shared ones from the rarest on; ``at`` is the first one's place in the whole set.
+    """
+
+    def of_batch(rows: list[tuple]) -> pa.RecordBatch | None:
+        nodes = sizes = None
+        of, place, token = [], [], []
+        for _, bucket, sets, places, body in rows:
+            if bucket == -1:
+                nodes, sizes = np.frombuffer(sets, "<i8"), np.frombuffer(body, "<i8")
+                continue
+            place.append(np.frombuffer(places, np.uint8))
+            of.append(np.frombuffer(sets, "<u2").astype(np.int64) if bucket == -2 else _numbers(sets, len(places)))
+            token.append(np.frombuffer(body, "<u8") if bucket == -2 else _whole(body, bucket))
+        if nodes is None or not of:
+            return None
+        of, place, token = np.concatenate(of), np.concatenate(place), np.concatenate(token)
+        many = np.bincount(of, minlength=len(nodes))
+        near = 5 * many >= 4 * sizes
+        pick = near[of]
+        of, place, token = of[pick], place[pick], token[pick]
+        order = np.lexsort((token, place, of))
+        which = np.flatnonzero(near & (many > 0))
+        lists = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(many[which])]), pa.int32()), pa.array(token[order].view(np.int64)))
+        return pa.RecordBatch.from_arrays([pa.array(nodes[which]), pa.array(sizes[which]), lists, pa.array((sizes - many)[which])], names=["node", "n", "tokens", "at"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            out = []
-            for node, n, bodies in zip(*[c.to_pylist() for c in batch.columns]):
-                pairs = np.unique(np.concatenate([np.frombuffer(b, "<i8").reshape(-1, 2) for b in bodies]), axis=0)  # by place, then shingle
-                if len(pairs) >= -(-4 * n // 5):
-                    out.append((node, n, pairs[:, 1], n - len(pairs)))
-            if out:
-                kinds = (pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.int64())
-                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out), kinds)], names=["node", "n", "tokens", "at"])
+        rows = []
+        for arrow in batches:
+            for row in zip(*[c.to_pylist() for c in arrow.columns]):
+                if rows and rows[0][0] != row[0]:
+                    out = of_batch(rows)
+                    if out is not None:
+                        yield out
+                    rows = []
+                rows.append(row)
+        out = of_batch(rows) if rows else None
+        if out is not None:
+            yield out
 
     return found.mapInArrow(run, "node long, n long, tokens array<long>, at long")
 
@@ -363,19 +399,17 @@ def _meets(x: str, y: str) -> str:
     return f"least({x}.n - {x}.at, {y}.n - {y}.at) >= {need}"
 
 
-def links(docs: DataFrame, people: DataFrame, common: np.ndarray, scratch: Scratch) -> DataFrame:
+def links(docs: DataFrame, common: np.ndarray, scratch: Scratch) -> DataFrame:
     """(node, component) of the sets that link with others: spanning links of all components, found in rounds."""
     spark = docs.sparkSession
     total = int(common.sum())
     crowded = np.where(common > CROWDED * total / COUNTERS + CALM, common, 0)
     shared_cells = spark.sparkContext.broadcast(np.minimum(crowded, np.iinfo(np.int32).max).astype(np.int32))
-    count = max(partitions(spark), -(-total // IN_BUCKET))
-    sent = dealt(docs.select("text"), shared_cells, count).withColumn("to", F.pmod("bucket", F.lit(count)))
+    count = max(8, -(-total // IN_BUCKET))
+    sent = dealt(docs.select("text"), shared_cells, count).withColumn("to", F.when(F.col("bucket") < 0, F.pmod(F.xxhash64("batch"), F.lit(count))).otherwise(F.col("bucket")).cast("int"))
     sent = sent.repartitionById(count, F.col("to")).drop("to").sortWithinPartitions("bucket")
-    found = shared(sent, shared_cells).groupBy("node").agg(F.sum("n_shared").alias("n_shared"), F.collect_list("body").alias("bodies"))
-    sizes = people.where("n > 0").groupBy("node").agg(F.max("n").alias("n"))
-    near = found.join(sizes, "node").where("5 * n_shared >= 4 * n").select("node", "n", "bodies")
-    sets = scratch.save(laid_out(near), "sets")
+    back = shared(sent, shared_cells).repartition(F.col("batch")).sortWithinPartitions("batch")
+    sets = scratch.save(laid_out(back).dropDuplicates(["node"]), "sets")  # copies of other tasks
     # prefix shingles: the other set has 0.8 of this one's shingles at least
     first = F.slice("tokens", 1, (F.col("n") - F.ceil(4 * F.col("n") / 5) + 1 - F.col("at")).cast("int"))
     posts = scratch.save(sets.select("node", "n", F.posexplode(first).alias("k", "token"), "at").select("token", "node", "n", (F.col("at") + F.col("k")).alias("at")), "posts-0")
@@ -396,7 +430,7 @@ def links(docs: DataFrame, people: DataFrame, common: np.ndarray, scratch: Scrat
             name = lambda c: linked.join(joined.withColumnRenamed("node", c), c, "left").withColumn(c, F.coalesce("component", c)).drop("component")  # noqa: B023, E731
             linked = name("center")
             ends = linked.join(joined.withColumnRenamed("component", "to"), "node", "left").select(F.col("center").alias("a"), F.coalesce("to", "node").alias("b"))
-            moved = scratch.save(connected_components(ends, scratch, f"cc-{step}"), f"moved-{step}")
+            moved = connected_components(ends, scratch, f"cc-{step}")
             old = joined.join(moved.select(F.col("node").alias("component"), F.col("component").alias("to")), "component", "left").select("node", F.coalesce("to", "component").alias("component"))
             joined = old.unionByName(moved.join(joined, "node", "left_anti").select("node", "component"))
         joined = scratch.save(joined, f"joined-{step}")
@@ -405,9 +439,10 @@ def links(docs: DataFrame, people: DataFrame, common: np.ndarray, scratch: Scrat
         known = joined.join(weight, "component")
         lost = posts.join(known, "node", "left").withColumn("component", F.coalesce("component", "node")).withColumn("size", F.coalesce("size", F.lit(1)))
         split = lost.groupBy("token").agg(F.min("component").alias("a"), F.max("component").alias("b"), F.count("*").alias("many")).where("a < b")
-        lost = scratch.save(lost.join(split.select("token", "many"), "token"), f"lost-{step}")
+        seen = Observation()
+        lost = scratch.save(lost.join(split.select("token", "many"), "token").observe(seen, F.max("many").alias("longest")), f"lost-{step}")
         posts = lost.select("token", "node", "n", "at")  # a shingle whose sets are all joined is done with
-        longest = lost.agg(F.max("many")).first()[0] or 0
+        longest = seen.get["longest"] or 0
         if longest <= cap // MORE:
             break
         # the next centers: the first ``cap`` sets that a shingle leads to, those of large components first
@@ -433,7 +468,7 @@ def components(docs: DataFrame, scratch: Scratch) -> DataFrame:
     docs = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(LEAST)).alias("doc_id"), "text")
     profiles = scratch.save(profile(docs), "profiles")
     people = profiles.where("block is null").select("doc_id", "n", "node")
-    joined = links(docs, people, counters(profiles), scratch)
+    joined = links(docs, counters(profiles), scratch)
     nodes = people.where("n > 0").groupBy("node").agg(F.min("doc_id").alias("first"))
     joined = nodes.join(joined, "node", "left").withColumn("component", F.coalesce("component", "node"))
     least = joined.groupBy("component").agg(F.min("first").alias("component_id"))
