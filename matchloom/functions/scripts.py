@@ -26,7 +26,14 @@ def detect_script(text: Column) -> Column:
     """Empty, Other, the dominant script, or Mixed.
 
     A second script of up to two characters doesn't count, nor one of up to five beside nine tenths.
+    Characters are counted only where a text has Indic ones at all; else Latin ones tell all.
     """
+    indic = F.regexp_like(text, F.lit(f"[\\x{{{min(INDIC.values()):04X}}}-\\x{{{max(INDIC.values()) + 0x7F:04X}}}]"))
+    empty = text.isNull() | ~F.regexp_like(text, F.lit("(?U)[^\\s\\x1c-\\x1f]"))
+    return F.when(empty, "Empty").when(indic, _dominant(text)).when(F.regexp_like(text, F.lit(PATTERNS["Latin"])), "Latin").otherwise("Other")
+
+
+def _dominant(text: Column) -> Column:
     seen = F.filter(
         F.array(*[F.struct((-F.regexp_count(text, F.lit(p))).alias("n"), F.regexp_instr(text, F.lit(f"({p})"), 0).alias("first"), F.lit(s).alias("script")) for s, p in PATTERNS.items()]),
         lambda x: x["n"] < 0,
@@ -35,8 +42,7 @@ def detect_script(text: Column) -> Column:
     first, second = F.get(ranked, F.lit(0)), F.get(ranked, F.lit(1))
     total = F.aggregate(ranked, F.lit(0), lambda a, x: a - x["n"])
     return (
-        F.when(text.isNull() | (F.regexp_replace(text, "(?U)[\\s\\x1c-\\x1f]+", "") == ""), "Empty")
-        .when(F.size(ranked) == 0, "Other")
+        F.when(F.size(ranked) == 0, "Other")
         .when(F.size(ranked) == 1, first["script"])
         .when(-second["n"] <= 2, first["script"])
         .when((-first["n"] / total >= 0.9) & (-second["n"] <= 5), first["script"])

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from matchloom.config import SEPARATOR, Config
-from matchloom.sources.tables import find_optional_column, require_columns
+from matchloom.sources.tables import find_column, find_optional_column, require_columns
 
 #: key and the column it is made from
 BASE_KEYS = {
@@ -29,11 +29,20 @@ COMPOSITE_KEYS = {
     "house_locality_key": ("house_key", "locality_key"),
     "house_city_key": ("house_key", "city_key"),
 }
-#: other names that the earlier rules accept, the first that is there wins
+# fixed values: other names that the earlier rules accept; the first that is there wins
 ALIASES = {
-    "country": ["country", "country_code"],
+    "business_name_normalized_original": ["business_name_normalized_original", "business_name_normalized", "business_name_norm", "business_name_basic", "business_name_original", "business_name"],
     "business_name_normalized_roman": ["business_name_normalized_roman", "business_name_roman_search", "business_name_roman"],
+    "business_name_roman_phonetic": ["business_name_roman_phonetic", "business_name_phonetic"],
+    "country": ["country", "country_normalized"],
+    "address_postal_code": ["address_postal_code", "business_address_postal_code", "postal_code"],
+    "address_house_number": ["address_house_number", "business_address_house_number", "house_number"],
+    "address_locality": ["address_locality", "business_address_locality", "locality"],
+    "address_city": ["address_city", "business_address_city", "city"],
+    "address_state_region": ["address_state_region", "business_address_state_region", "state_region", "state", "province"],
 }
+#: columns that the earlier rules can't do without
+NEEDED = ("business_name_normalized_original", "business_name_normalized_roman", "business_name_roman_phonetic", "country")
 
 
 def key(column: Column) -> Column:
@@ -54,12 +63,17 @@ def prefix_bucket(roman: Column) -> Column:
 
 
 def feature_table(records: DataFrame, config: Config = Config()) -> DataFrame:
-    """entity_id and all keys of structured records. The earlier rules look for aliases and let columns be absent."""
+    """entity_id and all keys of structured records. The earlier rules look for aliases.
+
+    They let columns of addresses be absent; a name, its Roman form, its sounds and the country have
+    to be there under some name (KeyError).
+    """
     if config.mode == "v2":
         require_columns(records, ["entity_id", *BASE_KEYS.values()], "records")
         sources = BASE_KEYS
     else:
-        sources = {k: find_optional_column(records.columns, ALIASES.get(c, [c])) for k, c in BASE_KEYS.items() if "address_key" not in k}
+        find = lambda c: find_column(records.columns, ALIASES[c], c) if c in NEEDED else find_optional_column(records.columns, ALIASES[c])
+        sources = {k: find(c) for k, c in BASE_KEYS.items() if "address_key" not in k}
     made = records.select(F.col("entity_id").cast("string").alias("entity_id"), *[(key(F.col(c)) if c else F.lit("")).alias(k) for k, c in sources.items()])
     return with_composites(made, config)
 

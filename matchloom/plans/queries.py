@@ -1,11 +1,13 @@
 """The operators as queries over the given tables, with SQL of like results.
 
-Documents stand for records: the remainder of doc_id by 3 tells the source, the first letters of
-the text make the name. Addresses are made from customers and their nations.
+Parts stand for records: the remainder of p_partkey by 3 tells the source, name and type make the
+name, the type is the country, the brand the city. Addresses are made from customers and their nations.
 """
 
 from __future__ import annotations
 
+import tempfile
+import uuid
 from collections.abc import Callable
 from functools import partial
 
@@ -23,6 +25,7 @@ from matchloom.operators import evaluate as ev
 from matchloom.operators import features as ft
 from matchloom.operators import tfidf as tf
 from matchloom.plans.stages import block_features
+from matchloom.sources import tables
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -45,14 +48,14 @@ def read(spark: SparkSession, sf: str, name: str) -> DataFrame:
 
 
 def people(spark: SparkSession, sf: str) -> DataFrame:
-    """Base keys of all three sources, made from documents."""
-    d = read(spark, sf, "documents")
-    name = F.lower(F.trim(F.regexp_replace(F.substring(F.coalesce("text", F.lit("")), 1, 40), "[^A-Za-z0-9]+", " ")))
+    """Base keys of all three sources, made from parts."""
+    p = read(spark, sf, "part")
     text = lambda c: ft.key(c.cast("string"))
-    return d.select(
-        (F.col("doc_id") % 3).cast("int").alias("src"), F.col("doc_id").cast("string").alias("entity_id"), name.alias("name_key_base"), name.alias("roman_name_key_base"),
-        F.regexp_replace(name, "[aeiou ]+", "").alias("phonetic_key_base"), text(F.col("lang")).alias("country_key"), text(F.col("n_chars")).alias("postal_key"),
-        text(F.col("n_chars") % 97).alias("house_key"), text(F.col("source")).alias("locality_key"), text(F.col("lang")).alias("city_key"), F.lit("").alias("state_key"),
+    name = text(F.concat("p_name", F.lit(" "), "p_type"))
+    return p.select(
+        (F.col("p_partkey") % 3).cast("int").alias("src"), F.col("p_partkey").cast("string").alias("entity_id"), text(F.col("p_name")).alias("name_key_base"), name.alias("roman_name_key_base"),
+        ft.key(phonetic(name)).alias("phonetic_key_base"), text(F.col("p_type")).alias("country_key"), text(F.col("p_size")).alias("postal_key"),
+        text(F.col("p_partkey") % 97).alias("house_key"), text(F.col("p_type")).alias("locality_key"), text(F.col("p_brand")).alias("city_key"), F.lit("").alias("state_key"),
     )
 
 
@@ -71,9 +74,10 @@ def exact(spark: SparkSession, sf: str, config: Config = V2) -> DataFrame:
 
 
 def truth(spark: SparkSession, sf: str) -> DataFrame:
-    d = read(spark, sf, "documents").select(F.col("doc_id").cast("string").alias("id"), (F.col("doc_id") % 3).alias("src"), "text")
-    a, b = d.where("src = 0").select(F.col("id").alias("source1_entity_id"), "text"), d.where("src > 0").select("id", "text")
-    return a.join(b, "text").groupBy("source1_entity_id").agg(F.concat_ws(",", F.sort_array(F.collect_list("id"))).alias("matched_entity_ids"))
+    same = ["p_name", "p_type", "p_brand"]
+    p = read(spark, sf, "part").select(F.col("p_partkey").cast("string").alias("id"), (F.col("p_partkey") % 3).alias("src"), *same)
+    a, b = p.where("src = 0").select(F.col("id").alias("source1_entity_id"), *same), p.where("src > 0").select("id", *same)
+    return a.join(b, same).groupBy("source1_entity_id").agg(F.concat_ws(",", F.sort_array(F.collect_list("id"))).alias("matched_entity_ids"))
 
 
 def typed(spark: SparkSession, sf: str) -> DataFrame:
@@ -82,10 +86,17 @@ def typed(spark: SparkSession, sf: str) -> DataFrame:
 
 
 # SQL pieces
-_NAME = "lower(trim(regexp_replace(substr(coalesce(text, ''), 1, 40), '[^A-Za-z0-9]+', ' ', 'g')))"
-_BASE = f"""people AS (SELECT CAST(doc_id % 3 AS INT) AS src, CAST(doc_id AS VARCHAR) AS entity_id, {_NAME} AS name_key_base, {_NAME} AS roman_name_key_base,
-  regexp_replace({_NAME}, '[aeiou ]+', '', 'g') AS phonetic_key_base, lower(trim(coalesce(lang, ''))) AS country_key, CAST(n_chars AS VARCHAR) AS postal_key,
-  CAST(n_chars % 97 AS VARCHAR) AS house_key, lower(trim(coalesce(source, ''))) AS locality_key, lower(trim(coalesce(lang, ''))) AS city_key, '' AS state_key FROM documents)"""
+# fixed values: Metaphone codes of the words in names of parts, from the published rules
+_SOUNDS = {
+    "ring": "RNK", "bolt": "BLT", "blue": "BL", "cold": "KLT", "new": "N", "plate": "PLT", "rod": "RT", "small": "SML", "gear": "JR", "gizmo": "JSM", "anvil": "ANFL",
+    "large": "LRJ", "hot": "HT", "old": "OLT", "widget": "WJT", "red": "RT", "economy": "EKNM", "medium": "MTM", "promo": "PRM", "standard": "STNTRT",
+}
+_SOUND = "MAP {" + ", ".join(f"'{k}': '{v}'" for k, v in _SOUNDS.items()) + "}"
+_PHONETIC = f"array_to_string(list_transform(regexp_extract_all(%s, '[a-z]+'), lambda w: {_SOUND}[w]), '|')"
+_NAME = "lower(p_name || ' ' || p_type)"
+_BASE = f"""people AS (SELECT CAST(p_partkey % 3 AS INT) AS src, CAST(p_partkey AS VARCHAR) AS entity_id, lower(p_name) AS name_key_base, {_NAME} AS roman_name_key_base,
+  lower({_PHONETIC.replace("%s", _NAME)}) AS phonetic_key_base, lower(p_type) AS country_key, CAST(p_size AS VARCHAR) AS postal_key,
+  CAST(p_partkey % 97 AS VARCHAR) AS house_key, lower(p_type) AS locality_key, lower(p_brand) AS city_key, '' AS state_key FROM part)"""
 
 
 def _both(a: str, b: str) -> str:
@@ -116,7 +127,7 @@ def _found(cap: int = 1000) -> str:
 
 _UNIQUE = "uniq AS (SELECT DISTINCT source1_entity_id, candidate_entity_id, source_pair FROM found)"
 _ALL = f"{_FEATURES}, {_found()}, {_UNIQUE}"
-_TRUTH = "truth AS (SELECT CAST(a.doc_id AS VARCHAR) AS source1_entity_id, CAST(b.doc_id AS VARCHAR) AS candidate_entity_id, CASE b.doc_id % 3 WHEN 1 THEN 's1_s2' ELSE 's1_s3' END AS source_pair FROM documents a JOIN documents b ON a.text = b.text WHERE a.doc_id % 3 = 0 AND b.doc_id % 3 > 0)"
+_TRUTH = "truth AS (SELECT CAST(a.p_partkey AS VARCHAR) AS source1_entity_id, CAST(b.p_partkey AS VARCHAR) AS candidate_entity_id, CASE b.p_partkey % 3 WHEN 1 THEN 's1_s2' ELSE 's1_s3' END AS source_pair FROM part a JOIN part b USING (p_name, p_type, p_brand) WHERE a.p_partkey % 3 = 0 AND b.p_partkey % 3 > 0)"
 
 
 @query("feature_keys", f"{_FEATURES} SELECT * FROM f")
@@ -129,6 +140,40 @@ def composite_key_v1(spark, sf):
     return features(spark, sf, V1)
 
 
+@query("feature_keys_v1_aliases", f"{_FEATURES_V1} SELECT * EXCLUDE (src) FROM f")
+def feature_keys_v1_aliases(spark, sf):
+    """The earlier rules find columns under their other names."""
+    given = {"name_key_base": "Business_Name", "roman_name_key_base": "business_name_roman", "phonetic_key_base": "business_name_phonetic", "country_key": "country_normalized", "postal_key": "postal_code", "house_key": "house_number", "locality_key": "business_address_locality", "city_key": "city", "state_key": "province"}
+    return ft.feature_table(people(spark, sf).withColumnsRenamed(given), V1)
+
+
+def _folder(spark: SparkSession, name: str) -> str:
+    """A new folder below spark.checkpoint.dir; a temporary one where that is unset, on one machine."""
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    if not base:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
+        base = "file://" + tempfile.mkdtemp(prefix="tables-")
+    return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+@query("tsv_roundtrip", "SELECT CAST(n_nationkey AS VARCHAR) AS n_nationkey, n_name || ' \"a\", b' AS n_name, CASE n_nationkey % 3 WHEN 0 THEN 'NA' WHEN 1 THEN '' ELSE 'x' END AS gap FROM nation")
+def tsv_roundtrip(spark, sf):
+    """Written and read again: quotes, empty fields and literals such as NA come back as they were."""
+    n = F.col("n_nationkey") % 3
+    rows = read(spark, sf, "nation").select(F.col("n_nationkey").cast("string"), F.concat("n_name", F.lit(' "a", b')).alias("n_name"), F.when(n == 0, "NA").when(n == 1, "").otherwise("x").alias("gap"))
+    path = _folder(spark, "tsv")
+    tables.write_tsv(rows, path)
+    return tables.read_tsv(spark, path)
+
+
+@query("tsv_na_literals", "SELECT CAST(n_nationkey AS VARCHAR) AS n_nationkey, CASE WHEN n_nationkey % 3 = 2 THEN 'x' END AS gap FROM nation")
+def tsv_na_literals(spark, sf):
+    path = _folder(spark, "tsv")
+    tables.write_tsv(tsv_roundtrip(spark, sf).select("n_nationkey", "gap"), path)
+    return tables.read_tsv(spark, path, na_literals=True)
+
+
 def _one_block(strategy: str, key: str, spark: SparkSession, sf: str, block=bl.exact_block, cap: int = 1000) -> DataFrame:
     s1, others = sides(spark, sf)
     parts = [block(s1, sx, pair, key, strategy, cap) for pair, sx in others.items()]
@@ -138,7 +183,7 @@ def _one_block(strategy: str, key: str, spark: SparkSession, sf: str, block=bl.e
 for _s, _k in STRATEGIES.items():
     query(f"block_{_s}", f"{_FEATURES} {_block_sql(_s, _k, 1)} UNION ALL {_block_sql(_s, _k, 2)}")(partial(_one_block, _s, _k))
 query("block_capped", f"{_FEATURES} {_block_sql('house_city', 'house_city_key', 1, 3)} UNION ALL {_block_sql('house_city', 'house_city_key', 2, 3)}")(partial(_one_block, "house_city", "house_city_key", cap=3))
-query("block_v1_semijoin", f"{_FEATURES} {_block_sql('exact_name', 'name_key_base', 1, 5)} UNION ALL {_block_sql('exact_name', 'name_key_base', 2, 5)}")(partial(_one_block, "exact_name", "name_key_base", block=bl.exact_block_semi, cap=5))
+query("block_v1_semijoin", f"{_FEATURES} {_block_sql('exact_name', 'name_key_base', 1, 12)} UNION ALL {_block_sql('exact_name', 'name_key_base', 2, 12)}")(partial(_one_block, "exact_name", "name_key_base", block=bl.exact_block_semi, cap=12))
 
 
 @query("block_part_names", "WITH f AS (SELECT p_partkey, lower(trim(p_name)) AS k, p_partkey % 2 AS side FROM part), ok AS (SELECT k FROM f GROUP BY k HAVING count(*) FILTER (side = 0) BETWEEN 1 AND 15 AND count(*) FILTER (side = 1) BETWEEN 1 AND 15) SELECT CAST(a.p_partkey AS VARCHAR) AS source1_entity_id, CAST(b.p_partkey AS VARCHAR) AS candidate_entity_id, 's1_s2' AS source_pair, 'exact_name' AS strategy FROM f a JOIN f b USING (k) JOIN ok USING (k) WHERE a.side = 0 AND b.side = 1")
@@ -169,6 +214,17 @@ def candidate_pairs(spark, sf):
     return ev.candidate_lists(s1, bl.distinct_candidates(exact(spark, sf))).orderBy("source1_entity_id")
 
 
+@query("candidate_file", f"{_ALL} SELECT f.entity_id AS source1_entity_id, coalesce(string_agg(DISTINCT candidate_entity_id, ',' ORDER BY candidate_entity_id), '') AS candidate_entity_ids FROM f LEFT JOIN uniq ON uniq.source1_entity_id = f.entity_id WHERE src = 0 GROUP BY 1")
+def candidate_file(spark, sf):
+    """The file of candidate lists, checked and read again."""
+    s1, others = sides(spark, sf)
+    path = _folder(spark, "candidates")
+    told = ev.write_candidate_pairs(s1, bl.distinct_candidates(exact(spark, sf)), path)
+    ev.verify_candidate_file(spark, path, told["rows"])
+    ev.validate_candidate_ids(spark, path, *others.values())
+    return tables.read_tsv(spark, path)
+
+
 @query("strategy_audit", f"{_ALL} SELECT source_pair, strategy, count(*) AS candidate_rows, count(DISTINCT source1_entity_id) AS source1_with_candidates, count(DISTINCT candidate_entity_id) AS unique_candidates FROM found GROUP BY 1, 2 ORDER BY 1, 2")
 def strategy_audit(spark, sf):
     return ev.strategy_audit(exact(spark, sf)).orderBy("source_pair", "strategy")
@@ -214,10 +270,10 @@ def recall_union(spark, sf):
     return ev.recall_union(typed(spark, sf), exact(spark, sf))
 
 
-@query("invalid_candidate_ids", "SELECT CAST(doc_id AS VARCHAR) AS source1_entity_id, CAST(doc_id + 1 AS VARCHAR) AS candidate_entity_id FROM documents d WHERE NOT EXISTS (SELECT 1 FROM documents e WHERE e.doc_id = d.doc_id + 1 AND e.doc_id % 3 > 0)")
+@query("invalid_candidate_ids", "SELECT CAST(p_partkey AS VARCHAR) AS source1_entity_id, CAST(p_partkey + 1 AS VARCHAR) AS candidate_entity_id FROM part d WHERE NOT EXISTS (SELECT 1 FROM part e WHERE e.p_partkey = d.p_partkey + 1 AND e.p_partkey % 3 > 0)")
 def invalid_candidate_ids(spark, sf):
     _, others = sides(spark, sf)
-    lists = read(spark, sf, "documents").select(F.col("doc_id").cast("string").alias("source1_entity_id"), (F.col("doc_id") + 1).cast("string").alias("candidate_entity_ids"))
+    lists = read(spark, sf, "part").select(F.col("p_partkey").cast("string").alias("source1_entity_id"), (F.col("p_partkey") + 1).cast("string").alias("candidate_entity_ids"))
     return ev.invalid_candidates(lists, *others.values())
 
 
@@ -226,25 +282,31 @@ def duplicate_keys(spark, sf):
     return ev.duplicates(features(spark, sf), "name_key_base")
 
 
-@query("unresolved_s1", f"{_ALL}, c AS (SELECT source1_entity_id, count(*) AS n FROM uniq GROUP BY 1) SELECT f.entity_id, roman_name_key_base, country_key, tfidf_prefix2 FROM f LEFT JOIN c ON c.source1_entity_id = f.entity_id WHERE src = 0 AND coalesce(n, 0) < 3 AND roman_name_key_base <> ''")
+@query("unresolved_s1", f"{_ALL}, c AS (SELECT source1_entity_id, count(*) AS n FROM uniq GROUP BY 1) SELECT f.entity_id, roman_name_key_base, country_key, tfidf_prefix2 FROM f LEFT JOIN c ON c.source1_entity_id = f.entity_id WHERE src = 0 AND coalesce(n, 0) < 30 AND roman_name_key_base <> ''")
 def unresolved_s1(spark, sf):
     s1, _ = sides(spark, sf)
-    return bl.unresolved(s1, bl.distinct_candidates(exact(spark, sf)), Config(tfidf_gate=3)).select("entity_id", "roman_name_key_base", "country_key", "tfidf_prefix2")
+    return bl.unresolved(s1, bl.distinct_candidates(exact(spark, sf)), V2).select("entity_id", "roman_name_key_base", "country_key", "tfidf_prefix2")
 
 
-def _tfidf_sql(sublinear: bool, zeros: bool, k: int) -> str:
+def _weights_sql(sublinear: bool) -> str:
+    """w: weights of the grams of all sources; those of source 1 stand once for each corpus that it is held against."""
     tf_ = "1 + ln(tf)" if sublinear else "CAST(tf AS DOUBLE)"
-    fill = "UNION ALL SELECT q.entity_id, c.entity_id, 0.0 FROM f q JOIN f c ON q.country_key = c.country_key AND q.tfidf_prefix2 = c.tfidf_prefix2 WHERE q.src = 0 AND c.src = 1 AND q.roman_name_key_base <> '' AND c.roman_name_key_base <> '' AND EXISTS (SELECT 1 FROM idf WHERE idf.country_key = q.country_key AND idf.tfidf_prefix2 = q.tfidf_prefix2)" if zeros else ""
     return f"""{_FEATURES},
-grams AS (SELECT src, country_key, tfidf_prefix2, entity_id, substr(roman_name_key_base, CAST(i AS INT), CAST(n AS INT)) AS gram FROM f, (SELECT unnest([3, 4, 5]) AS n) s, range(1, 41) r(i) WHERE i <= length(roman_name_key_base) - n + 1),
-counts AS (SELECT src, country_key, tfidf_prefix2, entity_id, gram, count(*) AS tf FROM grams GROUP BY ALL),
-sizes AS (SELECT country_key, tfidf_prefix2, count(*) AS n FROM f WHERE src = 1 AND roman_name_key_base <> '' GROUP BY ALL),
-idf AS (SELECT country_key, tfidf_prefix2, gram, ln((1 + n) / (1 + count(*))) + 1 AS idf FROM counts JOIN sizes USING (country_key, tfidf_prefix2) WHERE src = 1 GROUP BY country_key, tfidf_prefix2, gram, n),
-raw AS (SELECT src, country_key, tfidf_prefix2, entity_id, gram, ({tf_}) * idf AS raw FROM counts JOIN idf USING (country_key, tfidf_prefix2, gram) WHERE src < 2),
-w AS (SELECT *, raw / sqrt(sum(raw * raw) OVER (PARTITION BY src, country_key, tfidf_prefix2, entity_id)) AS weight FROM raw),
-met AS (SELECT a.entity_id AS q, b.entity_id AS c, sum(a.weight * b.weight) AS sim FROM w a JOIN w b USING (country_key, tfidf_prefix2, gram) WHERE a.src = 0 AND b.src = 1 GROUP BY 1, 2 {fill}),
-ranked AS (SELECT q, c, round(max(sim), 9) AS similarity, row_number() OVER (PARTITION BY q ORDER BY round(max(sim), 9) DESC, c) AS rank FROM met GROUP BY q, c)
-SELECT q AS source1_entity_id, c AS candidate_entity_id, 's1_s2' AS source_pair, 'tfidf_char_topk' AS strategy, similarity, CAST(rank AS INT) AS rank FROM ranked WHERE rank <= {k}"""
+sided AS (SELECT *, src AS corpus, 0 AS asks FROM f WHERE src > 0 UNION ALL SELECT f.*, c AS corpus, 1 AS asks FROM f, (SELECT unnest([1, 2]) AS c) WHERE src = 0),
+grams AS (SELECT corpus, asks, country_key, tfidf_prefix2, entity_id, substr(roman_name_key_base, CAST(i AS INT), CAST(n AS INT)) AS gram FROM (SELECT *, unnest(range(1, length(roman_name_key_base) + 1)) AS i FROM sided), (SELECT unnest([3, 4, 5]) AS n) s WHERE i <= length(roman_name_key_base) - n + 1),
+counts AS (SELECT corpus, asks, country_key, tfidf_prefix2, entity_id, gram, count(*) AS tf FROM grams GROUP BY ALL),
+sizes AS (SELECT corpus, country_key, tfidf_prefix2, count(*) AS n FROM sided WHERE asks = 0 AND roman_name_key_base <> '' GROUP BY ALL),
+idf AS (SELECT corpus, country_key, tfidf_prefix2, gram, ln((1 + n) / (1 + count(*))) + 1 AS idf FROM counts JOIN sizes USING (corpus, country_key, tfidf_prefix2) WHERE asks = 0 GROUP BY corpus, country_key, tfidf_prefix2, gram, n),
+raw AS (SELECT corpus, asks, country_key, tfidf_prefix2, entity_id, gram, ({tf_}) * idf AS raw FROM counts JOIN idf USING (corpus, country_key, tfidf_prefix2, gram)),
+w AS (SELECT *, raw / sqrt(sum(raw * raw) OVER (PARTITION BY corpus, asks, country_key, tfidf_prefix2, entity_id)) AS weight FROM raw)"""
+
+
+def _tfidf_sql(config: Config, zeros: bool) -> str:
+    fill = "UNION ALL SELECT c.corpus, q.entity_id, c.entity_id, 0.0 FROM sided q JOIN sided c USING (corpus, country_key, tfidf_prefix2) WHERE q.asks = 1 AND c.asks = 0 AND q.roman_name_key_base <> '' AND c.roman_name_key_base <> '' AND EXISTS (SELECT 1 FROM idf WHERE idf.corpus = c.corpus AND idf.country_key = q.country_key AND idf.tfidf_prefix2 = q.tfidf_prefix2)" if zeros else ""
+    return f"""{_weights_sql(zeros)},
+met AS (SELECT corpus, a.entity_id AS q, b.entity_id AS c, sum(a.weight * b.weight) AS sim FROM w a JOIN w b USING (corpus, country_key, tfidf_prefix2, gram) WHERE a.asks = 1 AND b.asks = 0 GROUP BY 1, 2, 3 {fill}),
+ranked AS (SELECT corpus, q, c, round(max(sim), 9) AS similarity, row_number() OVER (PARTITION BY corpus, q ORDER BY round(max(sim), 9) DESC, c) AS rank FROM met GROUP BY corpus, q, c)
+SELECT q AS source1_entity_id, c AS candidate_entity_id, 's1_s' || (corpus + 1) AS source_pair, 'tfidf_char_topk' AS strategy, similarity, CAST(rank AS INT) AS rank FROM ranked WHERE rank <= {config.tfidf_top_k}"""
 
 
 def _nearest(config: Config, spark: SparkSession, sf: str) -> DataFrame:
@@ -253,11 +315,11 @@ def _nearest(config: Config, spark: SparkSession, sf: str) -> DataFrame:
     return parts[0].unionByName(parts[1])
 
 
-query("tfidf_topk_v2", _tfidf_sql(True, True, 5))(partial(_nearest, V2))
-query("tfidf_topk_v1", _tfidf_sql(False, False, 5))(partial(_nearest, V1))
+query("tfidf_topk_v2", _tfidf_sql(V2, True))(partial(_nearest, V2))
+query("tfidf_topk_v1", _tfidf_sql(V1, False))(partial(_nearest, V1))
 
 
-@query("tfidf_weights", _tfidf_sql(True, False, 5).split("\nmet AS")[0].rstrip(",") + " SELECT country_key, tfidf_prefix2, entity_id, gram, round(weight, 7) AS weight FROM w WHERE src = 1")
+@query("tfidf_weights", _weights_sql(True) + " SELECT country_key, tfidf_prefix2, entity_id, gram, round(weight, 7) AS weight FROM w WHERE asks = 0")
 def tfidf_weights(spark, sf):
     _, others = sides(spark, sf)
 
@@ -330,29 +392,28 @@ def parse_address(spark, sf):
 
 
 # names: plain letters, so that both engines' classes agree
-_RAWNAME = "regexp_replace(substr(text, 1, 30), '[^A-Za-z ]+', '', 'g') || CASE doc_id % 5 WHEN 0 THEN ' Pvt/Ltd.' WHEN 1 THEN ' & Co' WHEN 2 THEN ', Inc' WHEN 3 THEN ' L.L.C.' ELSE ' Corp-LLP' END"
+_RAWNAME = "p_name || ' ' || p_type || CASE p_partkey % 5 WHEN 0 THEN ' Pvt/Ltd.' WHEN 1 THEN ' & Co' WHEN 2 THEN ', Inc' WHEN 3 THEN ' L.L.C.' ELSE ' Corp-LLP' END"
 _LEGAL = "MAP {" + ", ".join(f"'{k}': '{v}'" for k, v in nm.LEGAL_FORMS.items()) + "}"
 _NORMAL = "lower(x)"
 for _p, _to in [(r"\bpvt\s*[/&-]\s*ltd\b", " private limited "), (r"\bl\s*\.\s*l\s*\.\s*c\s*\.?", " llc "), (r"\s*&\s*", " and "), (r"[.,/-]+", " ")]:
     _NORMAL = f"regexp_replace({_NORMAL}, '{_p}', '{_to}', 'g')"
-_NAMES = f"WITH raw AS (SELECT doc_id, {_RAWNAME} AS x FROM documents), n AS (SELECT doc_id, array_to_string(list_transform(list_filter(string_split({_NORMAL}, ' '), lambda t: t <> ''), lambda t: coalesce({_LEGAL}[t], t)), ' ') AS name FROM raw)"
+_NAMES = f"WITH raw AS (SELECT p_partkey, {_RAWNAME} AS x FROM part), n AS (SELECT p_partkey, array_to_string(list_transform(list_filter(string_split({_NORMAL}, ' '), lambda t: t <> ''), lambda t: coalesce({_LEGAL}[t], t)), ' ') AS name FROM raw)"
 
 
-def document_names(spark: SparkSession, sf: str) -> DataFrame:
-    turn = F.col("doc_id") % 5
+def part_names(spark: SparkSession, sf: str) -> DataFrame:
+    turn = F.col("p_partkey") % 5
     ending = F.when(turn == 0, " Pvt/Ltd.").when(turn == 1, " & Co").when(turn == 2, ", Inc").when(turn == 3, " L.L.C.").otherwise(" Corp-LLP")
-    raw = F.concat(F.regexp_replace(F.substring("text", 1, 30), "[^A-Za-z ]+", ""), ending)
-    return read(spark, sf, "documents").select("doc_id", nm.normalize_name(raw).alias("name"))
+    return read(spark, sf, "part").select("p_partkey", nm.normalize_name(F.concat("p_name", F.lit(" "), "p_type", ending)).alias("name"))
 
 
 @query("normalize_name", f"{_NAMES} SELECT * FROM n")
 def normalize_name(spark, sf):
-    return document_names(spark, sf)
+    return part_names(spark, sf)
 
 
-@query("name_structure", f"{_NAMES} SELECT doc_id, replace(name, ' ', '|') AS n_tokens, replace(name, ' ', '') AS n_compact, string_split(name, ' ')[1] AS n_first_token, string_split(name, ' ')[-1] AS n_last_token, CAST(len(string_split(name, ' ')) AS INT) AS n_token_count, CAST(length(replace(name, ' ', '')) AS INT) AS n_char_length FROM n")
+@query("name_structure", f"{_NAMES} SELECT p_partkey, replace(name, ' ', '|') AS n_tokens, replace(name, ' ', '') AS n_compact, string_split(name, ' ')[1] AS n_first_token, string_split(name, ' ')[-1] AS n_last_token, CAST(len(string_split(name, ' ')) AS INT) AS n_token_count, CAST(length(replace(name, ' ', '')) AS INT) AS n_char_length FROM n")
 def name_structure(spark, sf):
-    return document_names(spark, sf).select("doc_id", *[c.alias(k) for k, c in nm.structure(F.col("name"), "n").items()])
+    return part_names(spark, sf).select("p_partkey", *[c.alias(k) for k, c in nm.structure(F.col("name"), "n").items()])
 
 
 @query("legal_forms", f"SELECT k AS form, v AS long_form FROM (SELECT unnest(map_keys({_LEGAL})) AS k, unnest(map_values({_LEGAL})) AS v)")
@@ -384,18 +445,37 @@ def roman_search_query(spark, sf):
     return read(spark, sf, "documents").select("doc_id", roman_search(F.col("text")).alias("search"))
 
 
-@query("transliterate")
+# fixed values: texts, their letters in Harvard-Kyoto and their scripts
+_ROMAN = [
+    ("राम मार्केटिंग", "rAma mArkeTiMga", "Devanagari"), ("Acme", "Acme", "Latin"), ("কলকাতা", "kalakAtA", "Bengali"), ("", "", "Empty"), ("123", "123", "Other"),
+    ("राम A", "rAma A", "Devanagari"), ("Acme Привет", "Acme Привет", "Latin"), ("Привет", "Привет", "Other"), ("ශ්‍රී ලංකා", "ශ්‍රී ලංකා", "Sinhala"),
+]
+_ROMAN_SQL = ", ".join(f"('{t}', '{r}', '{s}')" for t, r, s in _ROMAN)
+
+
+@query("transliterate", f"SELECT n_nationkey, t.text, t.roman, t.script FROM nation, (VALUES {_ROMAN_SQL}) t(text, roman, script)")
 def transliterate_query(spark, sf):
-    n = read(spark, sf, "nation").withColumn("text", F.explode(F.lit(["राम मार्केटिंग", "Acme", "राम Ltd", "কলকাতা", ""])))
+    n = read(spark, sf, "nation").withColumn("text", F.explode(F.lit([t for t, _, _ in _ROMAN])))
     return n.select("n_nationkey", "text", transliterate(F.col("text")).alias("roman"), detect_script(F.col("text")).alias("script"))
 
 
-@query("phonetic_keys")
+# both scripts in like parts, and a second one in growing parts
+_MIXED_SQL = "SELECT d.doc_id, k, CASE WHEN k = 0 THEN 'Latin' WHEN k <= 2 THEN 'Latin' WHEN k <= 5 AND 40.0 / (40 + k) >= 0.9 THEN 'Latin' ELSE 'Mixed' END AS script FROM documents d, (SELECT unnest(range(0, 40)) AS k)"
+
+
+@query("script_mixed", _MIXED_SQL)
+def script_mixed(spark, sf):
+    d = read(spark, sf, "documents").select("doc_id").withColumn("k", F.explode(F.lit(list(range(40))).cast("array<long>")))
+    text = F.concat(F.lit("a" * 40), F.repeat(F.lit("र"), F.col("k").cast("int")))
+    return d.select("doc_id", "k", detect_script(text).alias("script"))
+
+
+@query("phonetic_keys", f"SELECT p_partkey, {_PHONETIC.replace('%s', _NAME)} AS phonetic FROM part")
 def phonetic_keys(spark, sf):
-    return document_names(spark, sf).select("doc_id", phonetic(F.col("name")).alias("phonetic"))
+    return read(spark, sf, "part").select("p_partkey", phonetic(F.lower(F.concat("p_name", F.lit(" "), "p_type"))).alias("phonetic"))
 
 
-_COSINE = "SELECT a.vec_id AS source1_entity_id, b.vec_id AS candidate_entity_id, round(list_dot_product(a.embedding::DOUBLE[], b.embedding::DOUBLE[]) / sqrt(list_dot_product(a.embedding::DOUBLE[], a.embedding::DOUBLE[]) * list_dot_product(b.embedding::DOUBLE[], b.embedding::DOUBLE[])), 6) AS similarity FROM embeddings a JOIN embeddings b ON a.label = b.label AND a.vec_id <> b.vec_id WHERE a.vec_id % 100 = 0"
+_COSINE = "SELECT a.vec_id AS source1_entity_id, b.vec_id AS candidate_entity_id, round(list_dot_product(a.embedding::DOUBLE[], b.embedding::DOUBLE[]) / sqrt(list_dot_product(a.embedding::DOUBLE[], a.embedding::DOUBLE[]) * list_dot_product(b.embedding::DOUBLE[], b.embedding::DOUBLE[])), 6) AS similarity FROM embeddings a JOIN embeddings b ON a.vec_id <> b.vec_id WHERE a.vec_id % 100 = 0"
 
 
 @query("knn_cosine_embeddings", f"WITH s AS ({_COSINE}), r AS (SELECT *, row_number() OVER (PARTITION BY source1_entity_id ORDER BY similarity DESC, candidate_entity_id) AS rank FROM s) SELECT source1_entity_id, candidate_entity_id, similarity, CAST(rank AS INT) AS rank FROM r WHERE rank <= 15")

@@ -243,3 +243,26 @@ def test_text_search_of_both_pairs(spark):
     weights = {(r.entity_id, r.gram): r.weight for r in plans.tfidf_weights(spark, sf).collect()}
     known = {k: w for sx in others.values() for k, w in brute_tfidf([], sx, True)[0].items()}
     assert set(weights) == set(known) and all(abs(w - known[k]) < 1e-6 for k, w in weights.items())
+
+
+def test_earlier_rules_resolve_aliases(spark):
+    from matchloom.operators import features
+
+    base = {"entity_id": "1", "business_name": "Acme", "business_name_roman": "acme", "business_name_phonetic": "AKM", "country_normalized": "US"}
+    for c, others in features.ALIASES.items():
+        for alias in others:
+            row = {k: v for k, v in base.items() if k == "entity_id" or k not in others} | {alias.upper(): "Seen"}
+            out = features.feature_table(spark.createDataFrame([tuple(row.values())], list(row)), Config(mode="v1")).first()
+            assert out[next(k for k, v in features.BASE_KEYS.items() if v == c)] == "seen"
+    for missing in list(base)[1:]:
+        row = {k: v for k, v in base.items() if k != missing}
+        with pytest.raises(KeyError):
+            features.feature_table(spark.createDataFrame([tuple(row.values())], list(row)), Config(mode="v1"))
+
+
+def test_scripts_with_and_without_indic_text(spark):
+    from matchloom.functions.scripts import detect_script
+
+    cases = {"": "Empty", "Acme": "Latin", "123": "Other", "Привет": "Other", "Acme Привет": "Latin", "राम": "Devanagari", "राम A": "Devanagari", "राम Ltd": "Mixed", "aक": "Latin", " \x1c ": "Empty", "ª": "Other"}
+    rows = spark.createDataFrame(list(cases.items()), "text string, script string")
+    assert all(r.script == r.got for r in rows.select("script", detect_script(F.col("text")).alias("got")).collect())
