@@ -1,24 +1,27 @@
 """Main text of web pages by two-pass block rules.
 
-The page is cut into blocks at block tags; what stands in scripts, styles, forms, menus, headers,
-footers, sidebars, notices, adverts and comments is left out by its tag, role or class name. The
-first pass judges every block by its length, link density and share of stop words: good, bad, or
-too short to say. The second pass gives ambiguous blocks the label of the nearest decided blocks
-before and after them: the label of both, or that of the nearer where they differ. A page that
-marks its article tells where it starts and ends; its blocks then need only be free of links.
+The page is cut into blocks at block tags; what stands in scripts, styles, menus, headers, footers,
+sidebars, notices, adverts and comments is left out by its tag, role or class name. The first pass
+judges every other block by its length, link density and share of stop words: good, bad, or too
+short to say. The second pass gives ambiguous blocks the label of the nearest decided blocks before
+and after them: the label of both, or that of the nearer where they differ. Where a page marks its
+article, or a block stands in a form, the same rules judge, with lower or higher bars.
 """
 
 from __future__ import annotations
 
 import html
 import re
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StringType, StructField, StructType
 
+from matchloom.llm.common import quoted
 from matchloom.session import ship
 
 # fixed values: frequent function words of English, German, French and Spanish
@@ -33,10 +36,15 @@ STOP_WORDS = frozenset(
 BLOCKS = frozenset(
     "address article aside blockquote body caption center col colgroup dd details dialog dir div dl dt fieldset figcaption figure footer form frameset h1 h2 h3 h4 h5 h6 head header hr html legend li main menu nav ol optgroup option p pre section select summary table tbody td tfoot th thead title tr ul".split()
 )
-SKIPPED = frozenset("head title script style noscript template iframe object embed svg math canvas audio video form button select textarea input option nav header footer aside menu dialog noframes map".split())
+SKIPPED = frozenset("head title script style noscript template iframe object embed svg math canvas audio video button select label textarea input option nav header footer aside menu dialog noframes map".split())
 #: elements whose content is no markup up to their own end tag
 RAW = frozenset("script style textarea title noscript iframe xmp noembed noframes".split())
+RAW_END = {name: re.compile(rf"</{name}\s*>", re.I) for name in RAW}
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
+#: signs that do the work of stop words where words are not parted
+SIGNS = frozenset("的了是在和有不我他这の は が を に で と た し も な だ の".replace(" ", ""))
+#: class names that say what is not there
+WITHOUT = re.compile(r"\b(?:no|without|hide|hidden|has|with)-[\w-]+", re.I)
 #: words in class, id and role that name no article
 JUNK = re.compile(
     r"(?:^|[\s_-])(?:ads?|adverts?|advertisements?|advertising|banner|breadcrumbs?|captcha|comments?|commentlist|consent|cookies?|disclaimer|disqus|footer|foot|gdpr|header|masthead|menu|modal|nav|navbar|navigation|newsletter|notice|notification|overlay|pager|pagination|paywall|popup|privacy|promo|promoted|related|recommended|replies|reply|respond|search|share|sharing|sidebar|sidebars?|skip|social|sponsor|sponsored|subscribe|subscription|tags|toolbar|tooltip|widgets?|alert|toast|complementary|contentinfo)(?:$|[\s_-])",
@@ -47,10 +55,16 @@ ARTICLE = re.compile(r"(?:^|\s)(?:article|articlebody|article-body|article-conte
 TAG = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|</?([a-zA-Z][a-zA-Z0-9:-]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)(?:>|\Z)", re.S)
 LOOSE = re.compile(r"</?([a-zA-Z][a-zA-Z0-9:-]*)([^>]*)(?:>|\Z)")
 ATTRIBUTE = re.compile(r"([a-zA-Z-]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?")
+#: an empty element in the older way; a value without quotes may end in / too
+ENDED = re.compile(r"(?:^|[\s\"'])/\s*$")
 SPACES = re.compile(r"\s+")
-WORD = re.compile(r"\w+")
+WORD = re.compile(r"[぀-ヿ㐀-鿿]|[^\W\d_]+")
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 
+#: least length of a block that decides, most link density, and share of stop words of good and of bad blocks
 LONG, LINKED, STOPPED, FEW = 60, 0.4, 0.2, 0.1
+#: how often a page has a word of up to so many letters that counts as one of its own stop words
+OWN, SHORT = 4, 4
 
 
 @dataclass
@@ -59,35 +73,76 @@ class Block:
     linked: int
     in_article: bool
     heading: bool
+    in_form: bool = False
 
 
 def _junk(attributes: dict[str, str]) -> bool:
-    named = " ".join(CAMEL.sub("-", attributes.get(k, "")) for k in ("class", "id", "role"))
+    named = WITHOUT.sub(" ", " ".join(CAMEL.sub("-", attributes.get(k, "")) for k in ("class", "id", "role")))
     hidden = "hidden" in attributes or attributes.get("aria-hidden") == "true" or "display:none" in attributes.get("style", "").replace(" ", "").lower()
     return hidden or bool(named.strip() and JUNK.search(named))
 
 
+class _Open:
+    """The tags that are open. Each is put on and taken off once, so a page costs as much as it is long."""
+
+    def __init__(self) -> None:
+        self.tags: list[tuple[str, bool, bool]] = []  # name, junk, article
+        self.places: dict[str, list[int]] = {}
+        self.blocks: list[int] = []
+        self.junk = self.article = self.anchors = self.headings = self.forms = 0
+
+    def _count(self, name: str, is_junk: bool, is_article: bool, by: int) -> None:
+        self.junk += by * is_junk
+        self.article += by * is_article
+        self.anchors += by * (name == "a")
+        self.headings += by * (name in HEADINGS)
+        self.forms += by * (name == "form")
+
+    def push(self, name: str, is_junk: bool, is_article: bool) -> None:
+        self.places.setdefault(name, []).append(len(self.tags))
+        if name in BLOCKS:
+            self.blocks.append(len(self.tags))
+        self.tags.append((name, is_junk, is_article))
+        self._count(name, is_junk, is_article, 1)
+
+    def close(self, name: str) -> None:
+        """End the last open tag of this name and all within it; without one, nothing."""
+        if not self.places.get(name):
+            return
+        place = self.places[name][-1]
+        while len(self.tags) > place:
+            tag = self.tags.pop()
+            self.places[tag[0]].pop()
+            if tag[0] in BLOCKS:
+                self.blocks.pop()
+            self._count(*tag, -1)
+
+    def start_block(self) -> None:
+        """A block tag ends the paragraph it stands in."""
+        if self.blocks and self.tags[self.blocks[-1]][0] == "p":
+            self.close("p")
+
+
 def blocks(page: str) -> list[Block]:
     """The page's blocks outside of what its markup says to be no article, in page order."""
     out: list[Block] = []
-    open_tags: list[tuple[str, bool, bool]] = []  # name, junk, article
+    now = _Open()
     parts: list[str] = []
     links: list[str] = []
-    junk = article = anchors = headings = 0
 
     def flush() -> None:
         if parts:
             text = SPACES.sub(" ", html.unescape("".join(parts))).strip()
             if text:
                 linked = len(SPACES.sub(" ", html.unescape("".join(links))).strip())
-                out.append(Block(text, linked, article > 0, headings > 0))
+                out.append(Block(text, linked, now.article > 0, now.headings > 0, now.forms > 0))
             parts.clear()
             links.clear()
 
     def say(text: str) -> None:
-        if not junk and text:
+        if not now.junk and text:
             parts.append(text)
-            if anchors:
+            if now.anchors:
                 links.append(text)
 
     at, size = 0, len(page)
@@ -106,91 +161,87 @@ def blocks(page: str) -> list[Block]:
         name = (m[1] or "").lower()
         if not name:
             continue
-        closing = page[lt + 1] == "/"
         if name in BLOCKS:
             flush()
         if name == "br":
             say(" ")
-        if closing:
-            depth = next((k for k in range(len(open_tags) - 1, -1, -1) if open_tags[k][0] == name), None)
-            if depth is not None:
-                for tag, was_junk, was_article in open_tags[depth:]:
-                    junk -= was_junk
-                    article -= was_article
-                    anchors -= tag == "a"
-                    headings -= tag in ("h1", "h2", "h3", "h4", "h5", "h6")
-                del open_tags[depth:]
+        if page[lt + 1] == "/":
+            now.close(name)
             continue
-        if name in VOID or m[2] and m[2].rstrip().endswith("/") and name not in BLOCKS:
+        if name in VOID or m[2] and ENDED.search(m[2]) and name not in BLOCKS:
             continue
         attributes = {k.lower(): a or b or c for k, a, b, c in ATTRIBUTE.findall(m[2] or "")}
-        if name == "p" and any(t[0] == "p" for t in open_tags):  # a paragraph ends the one before
-            k = max(i for i, t in enumerate(open_tags) if t[0] == "p")
-            for tag, was_junk, was_article in open_tags[k:]:
-                junk -= was_junk
-                article -= was_article
-                anchors -= tag == "a"
-                headings -= tag in ("h1", "h2", "h3", "h4", "h5", "h6")
-            del open_tags[k:]
-        # within an article its own header and class names still count, but its heading is text
+        if name in BLOCKS:
+            now.start_block()
         is_article = name in ("article", "main") or attributes.get("itemprop") == "articleBody" or bool(ARTICLE.search(attributes.get("class", "") + " " + attributes.get("id", "")))
-        is_junk = (name in SKIPPED and not (name == "header" and article)) or name not in ("html", "body", "article", "main") and _junk(attributes)
+        # within an article its own header and class names still count, but its heading is text
+        is_junk = (name in SKIPPED and not (name == "header" and now.article)) or name not in ("html", "body", "article", "main", "form") and _junk(attributes)
         if name in RAW:
-            end = re.compile(rf"</{name}\s*>", re.I).search(page, at)
+            end = RAW_END[name].search(page, at)
             at = end.end() if end else size
             continue
-        junk += is_junk
-        article += is_article
-        anchors += name == "a"
-        headings += name in ("h1", "h2", "h3", "h4", "h5", "h6")
-        open_tags.append((name, is_junk, is_article))
+        now.push(name, is_junk, is_article)
     flush()
     return out
 
 
-def _first_pass(b: Block, marked: bool) -> str:
+def stop_share(words: list[str], own: frozenset[str] = frozenset()) -> float:
+    """The share of stop words, known ones and the page's own."""
+    return sum(w in STOP_WORDS or w in SIGNS or w in own for w in words) / max(1, len(words))
+
+
+def first_pass(b: Block, own: frozenset[str], marked: bool) -> str:
+    """good, bad, near (long, but of few stop words; without any links it may have none) or short.
+
+    In a marked article a block needs half the length and stop words; beside one, or in a form, twice the length.
+    """
     words = WORD.findall(b.text.lower())
-    linked = b.linked / max(1, len(b.text))
-    if linked > LINKED:
+    if b.linked > LINKED * len(b.text):
         return "bad"
-    if marked:
-        return "good" if b.in_article else "bad"
-    if not words:
-        return "short"
-    stops = sum(w in STOP_WORDS for w in words) / len(words)
-    if len(b.text) < LONG or b.heading:
-        return "short" if not b.linked or b.heading else "bad"
-    if stops >= STOPPED:
+    bar = 0.5 if b.in_article and not b.in_form else 2.0 if marked or b.in_form else 1.0
+    wide = 2 if SIGNS.intersection(b.text) else 1  # a sign that is a word takes the room of some letters
+    if b.heading or wide * len(b.text) < bar * LONG:
+        return "short" if b.heading or not b.linked and not b.in_form else "bad"
+    share = stop_share(words, own)
+    if share >= min(bar, 1.0) * STOPPED:
         return "good"
-    return "near" if stops >= FEW else "bad"
+    return "near" if share >= min(bar, 1.0) * FEW or not b.linked and bar <= 1 else "bad"
 
 
-def keep(found: list[Block]) -> list[Block]:
-    """The blocks that are main text."""
-    marked = any(b.in_article for b in found)
-    labels = [_first_pass(b, marked) for b in found]
-    decided = [k for k, label in enumerate(labels) if label in ("good", "bad")]
+def second_pass(found: list[Block], labels: list[str]) -> list[str]:
+    """Labels in which every block is good or bad."""
+    before, after, last = [], [None] * len(labels), None
+    for k, label in enumerate(labels):
+        before.append(last)
+        last = k if label in ("good", "bad") else last
+    last = None
+    for k in range(len(labels) - 1, -1, -1):
+        after[k] = last
+        last = k if labels[k] in ("good", "bad") else last
     out = []
-    for k, b in enumerate(found):
-        label = labels[k]
+    for k, (b, label) in enumerate(zip(found, labels)):
         if label in ("short", "near"):
-            before = max((d for d in decided if d < k), default=None)
-            after = min((d for d in decided if d > k), default=None)
-            sides = {labels[d] for d in (before, after) if d is not None}
-            if b.heading and after is not None:  # a heading belongs to what it stands over
-                label = labels[after]
+            sides = {labels[d] for d in (before[k], after[k]) if d is not None}
+            if not sides:  # nothing on the page says more
+                label = "good" if label == "near" or b.in_article else "bad"
+            elif b.heading and after[k] is not None:  # a heading belongs to what it stands over
+                label = labels[after[k]]
             elif len(sides) == 1:
                 label = sides.pop()
-            elif sides:
-                nearer = before if k - before <= after - k else after
-                label = "good" if label == "near" else labels[nearer]
             else:
-                label = "good" if label == "near" else "bad"
-        if label == "good":
-            out.append(b)
+                label = "good" if label == "near" else labels[before[k] if k - before[k] <= after[k] - k else after[k]]
+        out.append(label)
     return out
 
 
+def keep(found: list[Block]) -> list[Block]:
+    """The blocks that are main text."""
+    marked = any(b.in_article for b in found)
+    counts = Counter(w for b in found for w in WORD.findall(b.text.lower()) if len(w) <= SHORT)
+    own = frozenset(w for w, n in counts.items() if n >= OWN)
+    return [b for b, label in zip(found, second_pass(found, [first_pass(b, own, marked) for b in found])) if label == "good"]
+
+
 def main_text(page: str | None) -> str:
     """The page's main text, a block a line; '' for null, empty pages and pages without any."""
     return "\n".join(b.text for b in keep(blocks(page or "")))
@@ -204,12 +255,12 @@ def extract(pages: DataFrame, column: str = "html") -> DataFrame:
     is read as far as it goes. An empty table gives an empty result.
     """
     ship(pages.sparkSession)
-    names = [c for c in pages.columns if c not in (column, "text", "n_chars")]
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in pages.schema if f.name in names)
+    names = [c for c in pages.columns if c.lower() not in (column.lower(), "text", "n_chars")]
+    schema = StructType([*[pages.schema[n] for n in names], StructField("text", StringType()), StructField("n_chars", LongType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = [main_text(x) for x in batch.column(len(names)).to_pylist()]
             yield pa.RecordBatch.from_arrays([*batch.columns[: len(names)], pa.array(texts, pa.string()), pa.array(map(len, texts), pa.int64())], names=[*names, "text", "n_chars"])
 
-    return pages.select(*names, F.col(column)).mapInArrow(run, f"{schema}, text string, n_chars long" if schema else "text string, n_chars long")
+    return pages.select(*quoted(*names), F.col(column)).mapInArrow(run, schema)

@@ -1,4 +1,5 @@
 import random
+import time
 import zlib
 
 import numpy as np
@@ -236,6 +237,63 @@ def test_html(spark):
     assert html_extract.extract(df.limit(0)).collect() == []
 
 
+LONG_TEXT = "The first of the paragraphs and it is long enough to be judged by the words in it, as it should be by all of us here, and by some more of them."
+PAGES = [
+    (f"<form action=/x><input><p>{LONG_TEXT}</p><label>Name</label></form>", LONG_TEXT),
+    (f'<div class="content no-sidebar"><p>{LONG_TEXT}</p></div>', LONG_TEXT),
+    ("<div><p>東京は日本の首都であり、多くの人が住んでいる大きな都市です。毎日たくさんの人が電車に乗って仕事に行きます。</p></div><div><a href=/>リンク</a></div>", "東京は日本の首都であり、多くの人が住んでいる大きな都市です。毎日たくさんの人が電車に乗って仕事に行きます。"),
+    (f"<article><p>Read <a href=/a>all of this story and many more of the same kind here</a></p></article><div><p>{LONG_TEXT}</p><p>So it is.</p></div>", f"{LONG_TEXT}\nSo it is."),
+    (f"<main><p>{LONG_TEXT}</p><div><a href=/a>More of this</a> <a href=/b>and of that</a></div></main>", LONG_TEXT),
+    (f"<p>{LONG_TEXT}<pre>  a\n b  </pre><!-- <p>gone</p> --><p>{LONG_TEXT} &lt;b&gt;", f"{LONG_TEXT}\na b\n{LONG_TEXT} <b>"),
+]
+
+
+def test_html_by_the_two_passes():
+    for page, text in PAGES:
+        assert html_extract.main_text(page) == text
+
+
+def test_second_pass_against_brute_force():
+    r = random.Random(5)
+    for _ in range(200):
+        n = r.randrange(1, 12)
+        labels = [r.choice(["good", "bad", "short", "near"]) for _ in range(n)]
+        found = [html_extract.Block("x", 0, r.random() < 0.3, r.random() < 0.2) for _ in range(n)]
+        got = html_extract.second_pass(found, labels)
+        for k, label in enumerate(labels):
+            if label in ("good", "bad"):
+                assert got[k] == label
+                continue
+            sides = {d: labels[j] for d, js in (("before", range(k - 1, -1, -1)), ("after", range(k + 1, n))) for j in [next((j for j in js if labels[j] in ("good", "bad")), None)] if j is not None}
+            if not sides:
+                expected = "good" if label == "near" or found[k].in_article else "bad"
+            elif found[k].heading and "after" in sides:
+                expected = sides["after"]
+            elif len(set(sides.values())) == 1:
+                expected = next(iter(sides.values()))
+            elif label == "near":
+                expected = "good"
+            else:
+                far = {d: next(abs(j - k) for j in (range(k - 1, -1, -1) if d == "before" else range(k + 1, n)) if labels[j] in ("good", "bad")) for d in sides}
+                expected = sides["before"] if far["before"] <= far["after"] else sides["after"]
+            assert got[k] == expected
+
+
+def test_html_without_marks(spark):
+    import re
+
+    pages = [r.html for r in spark.read.parquet("/root/testdata/sf0.01/pages.parquet").select("html").collect()]
+    same = [html_extract.main_text(p) == html_extract.main_text(re.sub(r"(</?)(article|main)\b", r"\1div", p)) for p in pages]
+    assert sum(same) >= 0.95 * len(pages)
+
+
+def test_html_of_two_megabytes():
+    begun = time.perf_counter()
+    for page in ("<p>x" * 500_000, "<b>x</q>" * 250_000, "<div>" * 200_000 + "</x>" * 200_000, f"<p>{LONG_TEXT}</p><p>x</p>" * 10_000):
+        html_extract.main_text(page)
+    assert time.perf_counter() - begun < 60
+
+
 def labelled(n, seed):
     r = random.Random(seed)
     rows = []
