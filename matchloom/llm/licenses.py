@@ -1,11 +1,13 @@
 """License scans with a positional index of rare tokens.
 
-The templates' words form a small index. Of each template's mandatory key phrase the word with
-the highest inverse document frequency over the whole corpus is posted, with its place. A file's
-words that have postings give start places, one for each posting; a start at which the whole key
-phrase stands is a place of that template, and the share of the template's words that stand where
-they should be is its score. The word frequencies are those of all documents; there are as many
-as the templates have words, whatever the corpus.
+The templates' words form a small index: of each template's mandatory key phrase the ``RARE`` words
+with the highest inverse document frequency over the whole corpus are posted with their places. A
+file's words that have postings are looked up; each tells the places where its templates would
+start. The places of a template's rarest word are intersected with those of its second and third,
+so a place stays only where all of them stand at their relative positions. There the whole key
+phrase is verified, and the share of the template's words that stand where they should be is the
+place's score. The word frequencies are those of all documents; there are as many as the templates
+have words, whatever the corpus.
 """
 
 from __future__ import annotations
@@ -15,7 +17,7 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from matchloom.llm.common import let
+from matchloom.llm.common import let, unused
 
 # fixed values: base phrases and their labels
 BASE = {"cc by": "cc-by", "general public license": "gpl", "all rights reserved": "reserved"}
@@ -23,18 +25,35 @@ BASE = {"cc by": "cc-by", "general public license": "gpl", "all rights reserved"
 TEMPLATES = [
     *[(label, phrase, phrase) for phrase, label in BASE.items()],
     ("mit", "released under the mit license", "mit license"),
-    ("mit", "permission is hereby granted free of charge to any person obtaining a copy of this software", "permission is hereby granted free of charge"),
+    (
+        "mit",
+        "permission is hereby granted free of charge to any person obtaining a copy of this software and associated documentation files the software to deal in the software without restriction including without limitation the rights to use copy modify merge publish distribute sublicense and or sell copies of the software and to permit persons to whom the software is furnished to do so",
+        "permission is hereby granted free of charge to any person obtaining a copy",
+    ),
+    ("isc", "permission to use copy modify and or distribute this software for any purpose with or without fee is hereby granted provided that the above copyright notice and this permission notice appear in all copies", "permission to use copy modify and or distribute this software for any purpose"),
     ("apache", "licensed under the apache license version 2 0", "apache license"),
-    ("bsd", "redistribution and use in source and binary forms with or without modification are permitted", "redistribution and use in source and binary forms"),
+    ("apache", "unless required by applicable law or agreed to in writing software distributed under the license is distributed on an as is basis without warranties or conditions of any kind either express or implied", "distributed on an as is basis"),
+    ("bsd", "redistribution and use in source and binary forms with or without modification are permitted provided that the following conditions are met", "redistribution and use in source and binary forms"),
+    ("zlib", "this software is provided as is without any express or implied warranty in no event will the authors be held liable for any damages arising from the use of this software", "in no event will the authors be held liable for any damages"),
+    ("gpl", "this program is free software you can redistribute it and or modify it under the terms of the gnu general public license as published by the free software foundation", "redistribute it and or modify it under the terms of the gnu general public license"),
     ("lgpl", "gnu lesser general public license", "lesser general public license"),
-    ("mpl", "subject to the terms of the mozilla public license", "mozilla public license"),
+    ("mpl", "this source code form is subject to the terms of the mozilla public license v 2 0", "mozilla public license"),
     ("cc-by", "licensed under a creative commons attribution 4 0 international license", "creative commons attribution"),
     ("public-domain", "this work is in the public domain", "in the public domain"),
+    ("unlicense", "this is free and unencumbered software released into the public domain", "free and unencumbered software released into the public domain"),
     ("proprietary", "confidential and proprietary do not distribute", "confidential and proprietary"),
-]
+]
+#: words posted of a key phrase
+RARE = 3
 NO_WORD = "[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+"
 
 
+def key_start(template: str, key: str) -> int:
+    """The word of the template that its key phrase begins at."""
+    words, phrase = template.split(), key.split()
+    return next(i for i in range(len(words)) if words[i : i + len(phrase)] == phrase)
+
+
 def file_words(text: Column) -> Column:
     """Runs of ASCII digits and letters and of anything beyond ASCII, A-Z lower-cased; none for null.
 
@@ -62,21 +81,34 @@ def scan(docs: DataFrame, text: str = "text") -> DataFrame:
     replaced; all others stay. Nothing is shuffled but the word counts.
     """
     idf = rarities(docs, text)
-    postings: dict[str, list[tuple[int, int]]] = {}
+    # turn r: word -> (template, place) of the templates whose r-th rarest key word it is; the last one again for shorter phrases
+    turns: list[dict[str, list[tuple[int, int]]]] = [{} for _ in range(RARE)]
     for t, (_, template, key) in enumerate(TEMPLATES):
-        words, phrase = template.split(), key.split()
-        at = next(i for i in range(len(words)) if words[i : i + len(phrase)] == phrase)
-        rare = max(range(len(phrase)), key=lambda i: (idf[phrase[i]], -i))
-        postings.setdefault(phrase[rare], []).append((t, at + rare))
+        phrase, at = key.split(), key_start(template, key)
+        rare = sorted(range(len(phrase)), key=lambda i: (-idf[phrase[i]], i))
+        for r, posted in enumerate(turns):
+            i = rare[min(r, len(rare) - 1)]
+            posted.setdefault(phrase[i], []).append((t, at + i))
     kinds = "array<struct<t:int,at:int>>"
-    index = F.create_map(*[x for w, posts in postings.items() for x in (F.lit(w), F.array(*[F.struct(F.lit(t).alias("t"), F.lit(at).alias("at")) for t, at in posts]).cast(kinds))])
+    index = lambda posted: F.create_map(*[x for w, posts in posted.items() for x in (F.lit(w), F.array(*[F.struct(F.lit(t).alias("t"), F.lit(at).alias("at")) for t, at in posts]).cast(kinds))])
     templates = F.lit([t.split() for _, t, _ in TEMPLATES])
     keys = F.lit([k.split() for _, _, k in TEMPLATES])
-    key_at = F.lit([next(i for i in range(len(t.split())) if t.split()[i : i + len(k.split())] == k.split()) for _, t, k in TEMPLATES])
+    key_at = F.lit([key_start(t, k) for _, t, k in TEMPLATES])
     labels = F.lit([label for label, _, _ in TEMPLATES])
-    words = F.col("_words")
-    hits = F.filter(F.transform(words, lambda w, i: F.when(w.isin(*postings), F.struct(w.alias("w"), i.alias("i")))), lambda h: h.isNotNull())
-    starts = F.flatten(F.transform(hits, lambda h: F.transform(F.element_at(index, h["w"]), lambda p: F.struct(p["t"].alias("t"), (h["i"] - p["at"]).alias("start")))))
+    all_words, = unused(docs, "all_words")
+    words = F.col(all_words)
+    vocabulary = sorted({w for posted in turns for w in posted})
+    hits = F.filter(F.transform(words, lambda w, i: F.when(w.isin(*vocabulary), F.struct(w.alias("w"), i.alias("i")))), lambda h: h.isNotNull())
+
+    def starts(hits: Column, posted: dict[str, list[tuple[int, int]]]) -> Column:
+        told = F.filter(hits, lambda h: h["w"].isin(*posted))
+        return F.flatten(F.transform(told, lambda h: F.transform(F.element_at(index(posted), h["w"]), lambda p: F.struct(p["t"].alias("t"), (h["i"] - p["at"]).alias("start")))))
+
+    def met(hits: Column) -> Column:
+        found = starts(hits, turns[0])
+        for posted in turns[1:]:
+            found = F.array_intersect(found, starts(hits, posted))
+        return F.array_distinct(found)
 
     def stands(p: Column) -> Column:
         key = F.get(keys, p["t"])
@@ -89,13 +121,13 @@ def scan(docs: DataFrame, text: str = "text") -> DataFrame:
         return F.struct(p["t"].alias("template"), F.get(labels, p["t"]).alias("label"), p["start"].cast("long").alias("start"), (agree / F.size(whole)).alias("score"))
 
     # key phrases of one template that overlap the file's edge may start before it: start can be negative
-    found = F.transform(F.filter(F.array_distinct(starts), stands), place)
+    found = F.transform(F.filter(let(hits, met), stands), place)
     out = ["n_words", "places", "n_base", "first_word", "last_word", "base_labels", "labels", "score"]
     base = F.filter("places", lambda p: p["template"] < len(BASE))
     at = F.transform(base, lambda p: p["start"])
     listed = lambda a: F.array_join(F.array_sort(F.array_distinct(F.transform(a, lambda p: p["label"]))), ",")
-    docs = docs.drop(*out).withColumn("_words", file_words(F.col(text)))
-    docs = docs.select("*", F.size("_words").cast("long").alias("n_words"), found.alias("places")).drop("_words")
+    docs = docs.drop(*out).withColumn(all_words, file_words(F.col(text)))
+    docs = docs.select("*", F.size(words).cast("long").alias("n_words"), found.alias("places")).drop(all_words)
     return docs.select(
         "*", F.size(base).cast("long").alias("n_base"), F.array_min(at).alias("first_word"), F.array_max(at).alias("last_word"),
         listed(base).alias("base_labels"), listed(F.col("places")).alias("labels"), F.coalesce(F.array_max(F.transform("places", lambda p: p["score"])), F.lit(0.0)).alias("score"),
@@ -104,7 +136,7 @@ def scan(docs: DataFrame, text: str = "text") -> DataFrame:
 
 def oracle() -> str:
     """Brute force in SQL: every template at every place."""
-    rows = ", ".join(f"({t}, '{label}', {template.split()!r}, {key.split()!r}, {next(i for i in range(len(template.split())) if template.split()[i : i + len(key.split())] == key.split())})" for t, (label, template, key) in enumerate(TEMPLATES))
+    rows = ", ".join(f"({t}, '{label}', {template.split()!r}, {key.split()!r}, {key_start(template, key)})" for t, (label, template, key) in enumerate(TEMPLATES))
     return f"""
 WITH tpl(t, label, words, phrase, key_at) AS (VALUES {rows}),
 d AS (SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '{NO_WORD}'), lambda w: w <> '') AS words FROM documents),
