@@ -30,6 +30,10 @@ def windows(lines: Column) -> Column:
     Blank lines between two neighbours belong to the window. A mark is that of all its lines' hashes.
     """
 
+    return let(lines, _windows)
+
+
+def _windows(lines: Column) -> Column:
     def spans(kept: Column, hashes: Column) -> Column:
         def window(begin: Column, end: Column) -> Column:
             return F.struct(F.xxhash64(F.slice(hashes, begin + 1, end - begin + 1)).alias("mark"), begin.alias("begin"), end.alias("end"))
@@ -54,9 +58,11 @@ def repeated(docs: DataFrame, scratch: Scratch) -> DataFrame:
     places = scratch.save(marked.join(several, "mark"), "places")
     wanted = places.groupBy("doc").agg(F.collect_set("mark").alias("marks"))
     lines = F.split("text", "\n")
-    shown = docs.join(wanted, "doc").select("doc", lines.alias("lines"), F.filter(windows(lines), lambda w: F.array_contains("marks", w["mark"])).alias("found"))
-    body = lambda w: F.array_join(F.slice("lines", w["begin"] + 1, w["end"] - w["begin"] + 1), "\n")
-    bodies = shown.select("doc", F.inline(F.array_distinct(F.transform("found", lambda w: F.struct(w["mark"].alias("mark"), body(w).alias("body"))))))
+    met = docs.join(wanted, "doc")
+    found = lambda x: F.filter(_windows(x), lambda w: F.array_contains("marks", w["mark"]))
+    body = lambda x, w: F.array_join(F.slice(x, w["begin"] + 1, w["end"] - w["begin"] + 1), "\n")
+    shown = let(lines, lambda x: F.transform(found(x), lambda w: F.struct(w["mark"].alias("mark"), body(x, w).alias("body"))))
+    bodies = met.select("doc", F.inline(F.array_distinct(shown)))
     # grouping by the body beside its mark is the comparison of bytes; equal ones meet in each task first
     same = bodies.groupBy("mark", "body").agg(F.min("doc").alias("first"))
     # a mark that two different bodies share (never seen) names no body, so nothing is removed by it
@@ -85,8 +91,9 @@ def dedup_lines(docs: DataFrame, scratch: Scratch) -> DataFrame:
         first = F.get(F.col(found), (F.array_position(F.transform(found, lambda x: x["mark"]), w["mark"]) - 1).cast("int"))
         return (first["end"] < w["begin"]) & (body(first) == body(w))
 
-    # most texts have one line with words, or repeat no window of their own, which the marks tell
-    all_ = F.when(F.col(lost).isNotNull() | (F.size(F.array_distinct(lines)) < F.size(lines)), windows(F.col(lines)))
+    # most texts repeat no line of their own but empty ones
+    repeats = let(F.array_remove(lines, ""), lambda x: F.size(F.array_distinct(x)) < F.size(x))
+    all_ = F.when(F.col(lost).isNotNull() | repeats, windows(F.col(lines)))
     rows = rows.withColumn(found, all_)
     none = F.filter(found, lambda w: F.lit(False))
     elsewhere = F.when(F.col(lost).isNotNull(), F.filter(found, lambda w: F.array_contains(lost, w["mark"]))).otherwise(none)
