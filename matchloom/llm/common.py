@@ -98,6 +98,12 @@ class Scratch:
         df.write.options(**options).parquet(self.path(name))
         return self.spark.read.schema(df.schema).parquet(self.path(name))
 
+    def save_by(self, df: DataFrame, key: str, name: str) -> DataFrame:
+        """A table in as many buckets of ``key`` as a shuffle has partitions: joins by the key don't move it again."""
+        table_name, count = f"{name}_{uuid.uuid4().hex}", partitions(self.spark)
+        df.repartition(count, key).write.bucketBy(count, key).sortBy(key).option("path", self.path(name)).saveAsTable(table_name)
+        return self.spark.table(table_name)
+
     def drop(self, *names: str) -> None:
         """Delete tables that no later plan reads."""
         jvm = self.spark.sparkContext._jvm

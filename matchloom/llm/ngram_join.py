@@ -409,7 +409,7 @@ def links(docs: DataFrame, common: np.ndarray, scratch: Scratch) -> DataFrame:
     sent = dealt(docs.select("text"), shared_cells, count).withColumn("to", F.when(F.col("bucket") < 0, F.pmod(F.xxhash64("batch"), F.lit(count))).otherwise(F.col("bucket")).cast("int"))
     sent = sent.repartitionById(count, F.col("to")).drop("to").sortWithinPartitions("bucket")
     back = shared(sent, shared_cells).repartition(F.col("batch")).sortWithinPartitions("batch")
-    sets = scratch.save(laid_out(back).dropDuplicates(["node"]), "sets")  # copies of other tasks
+    sets = scratch.save_by(laid_out(back).dropDuplicates(["node"]), "node", "sets")  # copies of other tasks count once
     # prefix shingles: the other set has 0.8 of this one's shingles at least
     first = F.slice("tokens", 1, (F.col("n") - F.ceil(4 * F.col("n") / 5) + 1 - F.col("at")).cast("int"))
     posts = scratch.save(sets.select("node", "n", F.posexplode(first).alias("k", "token"), "at").select("token", "node", "n", (F.col("at") + F.col("k")).alias("at")), "posts-0")
