@@ -21,7 +21,7 @@ def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """
     model = tox.fit(docs, table(spark, sf_dir, "labels"))
     given, back = set_aside(docs, "severity", "p_toxic", "grade", "toxic")
-    return back(tox.score(given, model).where("not toxic")).select(*quoted(*docs.columns))
+    return back(tox.score(given, model).where("not toxic").drop("severity", "p_toxic", "grade", "toxic")).select(*quoted(*docs.columns))
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -64,7 +64,7 @@ def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """
     given, back = set_aside(docs, "size", "source_size", "target", "rounds")
     mixed = mixes.mix(given, mixes.word_count(F.col("text")), Scratch(spark, "mix"))
-    return back(mixes.repeated(mixed)).select(*quoted(*docs.columns))
+    return back(mixes.repeated(mixed).drop("size", "source_size", "target", "rounds")).select(*quoted(*docs.columns))
 
 
 def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -157,3 +157,40 @@ def test_license_scan(spark, docs):
     assert [got[k].n_base for k in range(1, 6)] == [1, 0, 0, 2, 1]
     assert got[3].labels == "apache" and 0 < got[3].score < 1 and got[5].n_words == 4
     assert licenses.scan(edge.limit(0)).collect() == []
+
+
+CLASH = "doc marks lines found gone left lost _doc _parts source_key turn_key words_in told turn _turn key all_words _words hashes shingles minima row given".split()
+REPLACED = "n_removed size source_size target rounds severity p_toxic grade toxic places score labels".split()
+
+
+def test_columns_of_any_name_come_back(spark, tmp_path):
+    from matchloom.llm import stages
+
+    texts = ["one line here\nand one more\nlast", "one line here\nand one more\nown", None, "", "some words here again"]
+    rows = [(k, t, f"s{k % 2}" if k else None, *[f"{c}{k}" for c in CLASH]) for k, t in enumerate(texts)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, " + ", ".join(f"`{c}` string" for c in CLASH))
+    for out in (
+        line_dedup.dedup_lines(docs, Scratch(spark, "t")), mixing.mix(docs, mixing.word_count(F.col("text")), Scratch(spark, "t")),
+        licenses.scan(docs), fingerprints.fingerprint(docs),
+    ):
+        got = sorted(tuple(r) for r in out.select("doc_id", *CLASH).collect())
+        assert got == sorted((r[0], *r[3:]) for r in rows)
+    # a stage gives back the columns of its documents, also those that its operator would replace
+    more = docs.select("*", *[F.concat(F.lit(c), F.col("doc_id")).alias(c) for c in REPLACED])
+    spark.createDataFrame([(1, 0), (4, 1)], "doc_id long, toxic int").write.parquet(str(tmp_path / "labels.parquet"))
+    for stage in (stages.toxicity, stages.line_dedup, stages.ngram_join, stages.mixing):
+        out = stage(spark, more, str(tmp_path))
+        assert out.columns == more.columns
+        for r in out.collect():
+            assert all(r[c] == f"{c}{r.doc_id}" for c in CLASH + REPLACED)
+
+
+def test_join_stage_keeps_one_row_of_a_group(spark):
+    from matchloom.llm import stages
+
+    long = " ".join(f"word{k}" for k in range(60))
+    rows = [(5, long, "a"), (5, long, "b"), (None, long + " more", "c"), (5, "another text under the same id", "d"), (7, None, "e"), (7, None, "e"), (8, " ", "f")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    got = sorted((r.source for r in stages.ngram_join(spark, docs, "").collect()))
+    assert got == ["c", "d", "e", "e", "f"]
+    assert stages.ngram_join(spark, docs.limit(0), "").collect() == []
