@@ -111,6 +111,59 @@ def test_near_vectors(spark):
     assert lattice.near_vectors(df.limit(0), Scratch(spark, "t")).collect() == []
 
 
+def brute_links(table, limit=0.9):
+    """Exact n_links and component of each (vec_id, vector); vectors of several lengths don't link."""
+    unit = [np.array(v, float) / np.linalg.norm(v) for _, v in table]
+    near = [[a != b and len(x) == len(y) and float(x @ y) >= limit for b, y in enumerate(unit)] for a, x in enumerate(unit)]
+    root = list(range(len(table)))
+    while True:
+        least = [min([root[a]] + [root[b] for b in range(len(table)) if near[a][b]]) for a in range(len(table))]
+        if least == root:
+            return {table[a][0]: (sum(near[a]), table[root[a]][0]) for a in range(len(table))}
+        root = least
+
+
+def test_links_row_by_row(spark):
+    g = np.random.default_rng(8)
+    rows = []
+    for dim, offset in ((8, 0.0), (16, 0.0), (64, 1.0), (64, 0.0)):  # an offset brings all cosines near one half
+        base = g.normal(size=(12, dim)) + offset
+        for b in base:
+            rows += [b + g.normal(0, 0.02, dim) for _ in range(g.integers(1, 4))]
+    crowd = g.normal(size=64)
+    rows += [crowd + g.normal(0, 0.05, 64) for _ in range(60)]
+    table = [(i, v.astype(np.float32).tolist()) for i, v in enumerate(rows)]
+    want = brute_links(table)
+    out = lattice.near_vectors(spark.createDataFrame(table, "vec_id long, embedding array<float>"), Scratch(spark, "t")).collect()
+    assert {r.vec_id: (r.n_links, r.component_id) for r in out} == want
+    assert all(r.kept == (r.component_id == r.vec_id) for r in out)
+
+
+def test_crowds_in_blocks(spark, monkeypatch):
+    monkeypatch.setattr(lattice, "BLOCK", 8)
+    g = np.random.default_rng(9)
+    table = [(i, v.tolist()) for i, v in enumerate(g.normal(size=32) + g.normal(0, 0.01, (50, 32)))]
+    out = lattice.near_vectors(spark.createDataFrame(table, "vec_id long, embedding array<double>"), Scratch(spark, "t")).collect()
+    assert {r.vec_id: (r.n_links, r.component_id) for r in out} == {i: (49, 0) for i in range(50)}
+
+
+def test_signs_keep_links():
+    """Whatever the centre, signs leave pairs at the limit nearly always, and few of those that meet by chance."""
+    g = np.random.default_rng(4)
+    for offset in (0.0, 0.7, 2.0):
+        a = lattice.unit_rows(g.normal(size=(20_000, 48)) + offset)
+        r = g.normal(size=a.shape)
+        r = lattice.unit_rows(r - (r * a).sum(axis=1)[:, None] * a)
+        b = 0.9 * a + np.sqrt(1 - 0.81) * r
+        centre = a.mean(axis=0)
+        for c in (centre, None):
+            (x, rx), (y, ry) = lattice.signs(a, c), lattice.signs(b, c)
+            assert lattice.may_link(x, y, rx, ry, 0.9).mean() >= 0.999
+        x, rx = lattice.signs(a, centre)
+        if offset == 0:
+            assert lattice.may_link(x[1:], x[:-1], rx[1:], rx[:-1], 0.9).mean() < 0.02
+
+
 def test_recall_at_the_limit():
     g = np.random.default_rng(1)
     a = lattice.unit_rows(g.normal(size=(1500, 64)))
