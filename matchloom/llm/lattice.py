@@ -27,7 +27,7 @@ import pyarrow.compute  # noqa: F401
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from matchloom.llm.common import Scratch
+from matchloom.llm.common import Scratch, let
 from matchloom.llm.components import connected_components
 
 TABLES, HALVES, SCALE, PROBES, BLOCK, LIMIT = 8, 2, 2.2, 8, 1024, 0.9
@@ -342,7 +342,7 @@ def near_vectors(vectors: DataFrame, scratch: Scratch, limit: float = LIMIT, vec
     fine = v.isNotNull() & F.forall(v, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))) & F.exists(v, lambda x: x != 0)
     # one number scales all of a vector, so that squares neither overflow nor vanish
     top = F.array_max(F.transform(v, F.abs))
-    rows = vectors.select(F.coalesce(F.col("vec_id").cast("long"), F.lit(least)).alias("vec_id"), F.when(fine, F.transform(v, lambda x: x / top + 0.0)).alias("vector"))
+    rows = vectors.select(F.coalesce(F.col("vec_id").cast("long"), F.lit(least)).alias("vec_id"), F.when(fine, let(top, lambda t: F.transform(v, lambda x: x / t + 0.0))).alias("vector"))
     rows = rows.withColumn("mark", F.when(F.col("vector").isNotNull(), F.xxhash64("vector")))
     rows = scratch.save(rows, "rows")
     same = rows.where("vector is not null").groupBy("mark", "vector").agg(F.min("vec_id").alias("node"), F.count("*").alias("copies"))
