@@ -78,15 +78,17 @@ def is_held_out(doc_id: Column) -> Column:
 def learn(docs: DataFrame, scratch: Scratch, sample: int = SAMPLE, features: int = FEATURES) -> Languages:
     """The model of the rows of docs (doc_id, text, lang) that are not held out and have a language and a text.
 
-    Equal rows have equal hashes and may all be learned from where the sample's limit cuts them. Ids
-    that are null are not learned from. n-grams are counted where the texts are; the driver gets
+    Equal rows are learned from once. Ids that are null are not learned from. n-grams are counted where the texts are; the driver gets
     the ``features`` most frequent ones (ties: the lesser n-gram).
     """
     fine = F.col("doc_id").isNotNull() & ~is_held_out(F.col("doc_id")) & F.col("lang").isNotNull() & F.col("text").isNotNull()
     known = docs.where(fine).select("lang", "text", F.xxhash64("doc_id", "text").alias("h"))
+    # at first about twice as many as wanted by hash alone, so that no language's rows all meet in one task
+    sizes = known.groupBy("lang").agg(F.count("*").alias("of"))  # a row for each language
+    near = F.col("h") / 2.0**64 + 0.5 < (2.0 * sample + 100) / F.col("of")
+    some = known.join(F.broadcast(sizes), "lang").where(near).groupBy("lang", "h").agg(F.first("text").alias("text"))
     turn = F.row_number().over(Window.partitionBy("lang").orderBy("h"))
-    cut = known.select("lang", "h").withColumn("turn", turn).where(F.col("turn") <= sample).groupBy("lang").agg(F.max("h").alias("cut"))
-    rows = known.join(F.broadcast(cut), "lang").where("h <= cut").select("lang", "text")  # a row for each language
+    rows = scratch.save(some, "some").withColumn("turn", turn).where(F.col("turn") <= sample).select("lang", "text")
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: dict[str, Counter] = {}
@@ -112,7 +114,7 @@ def learn(docs: DataFrame, scratch: Scratch, sample: int = SAMPLE, features: int
     best = counts.groupBy("gram").agg(F.sum("n").alias("all"), F.collect_list(F.struct("lang", "n")).alias("of")).orderBy(F.desc("all"), "gram").limit(features)
     table = best.select("gram", "of").collect()
     names = tuple(sorted(r["lang"] for r in counts.select("lang").distinct().collect()))
-    scratch.drop("grams")
+    scratch.drop("some", "grams")
     place, n = {name: k for k, name in enumerate(names)}, np.zeros((len(table), len(names)))
     for k, r in enumerate(table):
         for lang, c in r["of"]:
