@@ -174,6 +174,16 @@ def tsv_na_literals(spark, sf):
     return tables.read_tsv(spark, path, na_literals=True)
 
 
+@query("tsv_quoted_breaks", "SELECT CAST(doc_id AS VARCHAR) AS doc_id, coalesce(text, '') || chr(9) || '\"' || coalesce(lang, '') || '\"' || chr(10) || 'end' AS text FROM documents")
+def tsv_quoted_breaks(spark, sf):
+    """Whole texts with tabs, quotes and line breaks, written and read again in parts."""
+    d = read(spark, sf, "documents")
+    rows = d.select(F.col("doc_id").cast("string"), F.concat(F.coalesce("text", F.lit("")), F.lit('\t"'), F.coalesce("lang", F.lit("")), F.lit('"\nend')).alias("text"))
+    path = _folder(spark, "tsv")
+    tables.write_tsv(rows, path)
+    return tables.read_tsv(spark, path)
+
+
 def _one_block(strategy: str, key: str, spark: SparkSession, sf: str, block=bl.exact_block, cap: int = 1000) -> DataFrame:
     s1, others = sides(spark, sf)
     parts = [block(s1, sx, pair, key, strategy, cap) for pair, sx in others.items()]
