@@ -1,18 +1,25 @@
 """Nearest neighbours by character n-grams, within buckets of country and prefix.
 
-Weights are ordinary columns, so the search is an equi-join on bucket and n-gram with a sum, and
-the choice of the nearest a window that Spark limits before its shuffle.
+Weights are ordinary columns. For the search, a bucket's queries are dealt in groups, and each
+group meets the bucket's corpus block by block: pairs of rows exist only as sums in the task that
+adds them up, and a query skips every block that can't hold anything nearer than what it has.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from matchloom.config import TFIDF, Config
+from matchloom.operators.nearest import NEAR, grouped, search
+from matchloom.session import ship
 
 BUCKET = ["country_key", "tfidf_prefix2"]
-DIGITS = 9
+#: Queries of a bucket that meet its corpus together, and corpus rows that are bounded together.
+GROUP, BLOCK = 4096, 1024
 
 
 def ngrams(text: Column, sizes: tuple[int, ...]) -> Column:
@@ -30,19 +37,44 @@ def term_counts(side: DataFrame, config: Config) -> DataFrame:
     return grams.groupBy(*BUCKET, "entity_id", "gram").agg(F.count("*").alias("tf"))
 
 
+def most_frequent(found: DataFrame, limit: int) -> DataFrame:
+    """The ``limit`` rows of each bucket of (bucket, gram, df, all_tf) with the greatest all_tf, ties by the n-gram.
+
+    Nothing ranks a bucket's n-grams. A histogram of their frequencies, of which there are few
+    different ones, tells the frequency that the limit falls in; a second one, of the first two
+    letters of the n-grams with just that frequency, tells the letters that it falls in; only n-grams with both
+    are put in order. A bucket within the limit is not touched.
+    """
+    before = Window.partitionBy(*BUCKET).rowsBetween(Window.unboundedPreceding, -1)
+    share = lambda order: F.coalesce(F.sum("n").over(before.orderBy(order)), F.lit(0))
+    levels = found.groupBy(*BUCKET, "all_tf").agg(F.count("*").alias("n")).withColumn("above", share(F.desc("all_tf")))
+    cut = levels.where((F.col("above") <= limit) & (F.col("above") + F.col("n") > limit)).select(*BUCKET, F.col("all_tf").alias("cut_tf"), (limit - F.col("above")).alias("room"))
+    letters = F.left("gram", F.lit(2))
+    level = found.withColumn("letters", letters).join(cut, BUCKET).where(F.col("all_tf") == F.col("cut_tf"))
+    parts = level.groupBy(*BUCKET, "room", "letters").agg(F.count("*").alias("n")).withColumn("first", share(F.asc("letters")))
+    part = parts.where((F.col("first") <= F.col("room")) & (F.col("first") + F.col("n") > F.col("room"))).select(*BUCKET, F.col("letters").alias("cut_letters"), (F.col("room") - F.col("first")).alias("left"))
+    turn = F.row_number().over(Window.partitionBy(*BUCKET).orderBy("gram"))
+    last = level.join(part, BUCKET).where(F.col("letters") == F.col("cut_letters")).withColumn("turn", turn).where(F.col("turn") <= F.col("left"))
+    bounds = cut.join(part, BUCKET)
+    over = (F.col("all_tf") > F.col("cut_tf")) | ((F.col("all_tf") == F.col("cut_tf")) & (letters < F.col("cut_letters")))
+    kept = found.join(bounds, BUCKET, "left").where(F.col("cut_tf").isNull() | over)
+    return kept.select(*found.columns).unionByName(last.select(*found.columns))
+
+
 def inverse_frequencies(corpus: DataFrame, counts: DataFrame, config: Config) -> DataFrame:
     """(bucket, gram, idf) of the n-grams that a bucket keeps: its most frequent ones, ties by the n-gram."""
     sizes = corpus.where(F.col("roman_name_key_base") != "").groupBy(*BUCKET).agg(F.count("*").alias("n"))
     found = counts.groupBy(*BUCKET, "gram").agg(F.count("*").alias("df"), F.sum("tf").alias("all_tf"))
-    rank = Window.partitionBy(*BUCKET).orderBy(F.desc("all_tf"), "gram")
-    kept = found.withColumn("rank", F.row_number().over(rank)).where(F.col("rank") <= config.tfidf_features)
-    return kept.join(sizes, BUCKET).select(*BUCKET, "gram", (F.log((1 + F.col("n")) / (1 + F.col("df"))) + 1).alias("idf"))
+    return most_frequent(found, config.tfidf_features).join(sizes, BUCKET).select(*BUCKET, "gram", (F.log((1 + F.col("n")) / (1 + F.col("df"))) + 1).alias("idf"))
+
+
+def _tf(config: Config) -> Column:
+    return (1 + F.log("tf")) if config.sublinear_tf else F.col("tf").cast("double")
 
 
 def weights(counts: DataFrame, idf: DataFrame, config: Config) -> DataFrame:
     """(bucket, entity_id, gram, weight), of length 1 for each entity."""
-    tf = (1 + F.log("tf")) if config.sublinear_tf else F.col("tf").cast("double")
-    raw = counts.join(idf, [*BUCKET, "gram"]).withColumn("raw", tf * F.col("idf"))
+    raw = counts.join(idf, [*BUCKET, "gram"]).withColumn("raw", _tf(config) * F.col("idf"))
     norms = raw.groupBy(*BUCKET, "entity_id").agg(F.sqrt(F.sum(F.col("raw") * F.col("raw"))).alias("norm"))
     return raw.join(norms, [*BUCKET, "entity_id"]).select(*BUCKET, "entity_id", "gram", (F.col("raw") / F.col("norm")).alias("weight"))
 
@@ -55,41 +87,51 @@ def searchable(queries: DataFrame, corpus: DataFrame, config: Config) -> tuple[D
     return wanted.join(fits, BUCKET, "left_semi"), named.join(fits, BUCKET, "left_semi")
 
 
+def vectors(named: DataFrame, idf: DataFrame, config: Config) -> DataFrame:
+    """(bucket, entity_id, grams, weights) of every named row: its known n-grams in order, weights of length 1; both empty if it has none."""
+    grams = named.select(*BUCKET, "entity_id", F.explode_outer(ngrams(F.col("roman_name_key_base"), config.ngrams)).alias("gram"))
+    counts = grams.groupBy(*BUCKET, "entity_id", "gram").agg(F.count("*").alias("tf"))
+    raw = counts.join(idf, [*BUCKET, "gram"], "left").withColumn("raw", _tf(config) * F.col("idf"))
+    pairs = F.array_sort(F.collect_list(F.when(F.col("raw").isNotNull(), F.struct("gram", "raw"))))
+    whole = raw.groupBy(*BUCKET, "entity_id").agg(pairs.alias("pairs"), F.sqrt(F.sum(F.col("raw") * F.col("raw"))).alias("norm"))
+    return whole.select(*BUCKET, "entity_id", F.col("pairs.gram").alias("grams"), F.transform("pairs.raw", lambda w: w / F.col("norm")).alias("weights"))
+
+
+def dealt(queries: DataFrame, corpus: DataFrame, idf: DataFrame, config: Config) -> DataFrame:
+    """Vectors of both sides, dealt by bucket and group of queries: those of the group, then the bucket's corpus in blocks.
+
+    Rows of one block have names that follow each other, so that blocks differ in their n-grams. The
+    cap on corpus buckets bounds what is put in order and what each group of queries is sent.
+    """
+    # groups of a bucket's queries
+    groups = queries.groupBy(*BUCKET).agg(F.ceil(F.count("*") / GROUP).alias("groups"))
+    place = (F.row_number().over(Window.partitionBy(*BUCKET).orderBy("roman_name_key_base", "entity_id")) - 1) / BLOCK
+    blocks = corpus.select(*BUCKET, "entity_id", place.cast("int").alias("block")).groupBy(*BUCKET, "entity_id").agg(F.min("block").alias("block"))
+    asked = vectors(queries, idf, config).join(groups, BUCKET).withColumn("group", F.pmod(F.xxhash64("entity_id"), F.col("groups")).cast("int"))
+    given = vectors(corpus, idf, config).join(blocks, [*BUCKET, "entity_id"]).join(groups, BUCKET).withColumn("group", F.explode(F.sequence(F.lit(0), F.col("groups").cast("int") - 1)))
+    names = [*BUCKET, "group", "block", "entity_id", "grams", "weights"]
+    both = asked.withColumn("block", F.lit(-1)).select(*names).unionByName(given.select(*names))
+    return both.repartition(*BUCKET, "group").sortWithinPartitions(*BUCKET, "group", "block", "entity_id")
+
+
 def top_k(queries: DataFrame, corpus: DataFrame, pair: str, config: Config = Config()) -> DataFrame:
-    """The nearest rows of ``corpus`` to each row of ``queries``, with similarity and rank.
+    """The nearest rows of ``corpus`` to each row of ``queries`` of its bucket, with similarity and rank.
 
     The vocabulary and its weights are those of the corpus side of the bucket. Ties go to the
     lesser candidate id. The default keeps neighbours of similarity 0 where a bucket has no better
-    ones; a bucket without any n-gram gives nothing.
+    ones; a bucket without any n-gram gives nothing. Ids are those of one row each.
     """
+    ship(queries.sparkSession)
     queries, corpus = searchable(queries, corpus, config)
-    counts = term_counts(corpus, config)
-    idf = inverse_frequencies(corpus, counts, config)
-    of_corpus = weights(counts, idf, config).withColumnRenamed("entity_id", "candidate_entity_id").withColumnRenamed("weight", "w2")
-    of_queries = weights(term_counts(queries, config), idf, config)
-    met = of_queries.join(of_corpus, [*BUCKET, "gram"]).groupBy(F.col("entity_id").alias("source1_entity_id"), "candidate_entity_id").agg(F.sum(F.col("weight") * F.col("w2")).alias("sim"))
-    if config.keep_zero_similarity:
-        filled = zero_neighbours(queries, corpus, idf, config)
-        met = met.unionByName(filled).groupBy("source1_entity_id", "candidate_entity_id").agg(F.max("sim").alias("sim"))
-    else:
-        met = met.where(F.col("sim") > 0)
-    met = met.withColumn("similarity", F.round("sim", DIGITS))
-    turn = Window.partitionBy("source1_entity_id").orderBy(F.desc("similarity"), "candidate_entity_id")
-    near = met.withColumn("rank", F.row_number().over(turn)).where(F.col("rank") <= config.tfidf_top_k)
-    return near.select("source1_entity_id", "candidate_entity_id", F.lit(pair).alias("source_pair"), F.lit(TFIDF).alias("strategy"), "similarity", "rank")
-
+    idf = inverse_frequencies(corpus, term_counts(corpus, config), config)
+    k, zeros = config.tfidf_top_k, config.keep_zero_similarity
 
-def zero_neighbours(queries: DataFrame, corpus: DataFrame, idf: DataFrame, config: Config) -> DataFrame:
-    """Similarity 0 with the first ``tfidf_top_k`` ids of the bucket.
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for asked, blocks in grouped(batches):
+            yield search(asked, blocks, k, zeros)
 
-    Whatever else a query meets, no more than these can be among its nearest with similarity 0: of
-    two unmet rows the lesser id comes first. If some of the first ids are met, the list has to be
-    longer by as many, so it has twice ``tfidf_top_k`` ids.
-    """
-    known = idf.select(*BUCKET).distinct()
-    order = Window.partitionBy(*BUCKET).orderBy("entity_id")
-    first = corpus.join(known, BUCKET, "left_semi").select(*BUCKET, F.col("entity_id").alias("candidate_entity_id"), F.row_number().over(order).alias("n")).where(F.col("n") <= 2 * config.tfidf_top_k)
-    return queries.select(*BUCKET, F.col("entity_id").alias("source1_entity_id")).join(first, BUCKET).select("source1_entity_id", "candidate_entity_id", F.lit(0.0).alias("sim"))
+    near = dealt(queries, corpus, idf, config).mapInArrow(run, NEAR)
+    return near.select("source1_entity_id", "candidate_entity_id", F.lit(pair).alias("source_pair"), F.lit(TFIDF).alias("strategy"), "similarity", "rank")
 
 
 def gated_top_k(s1: DataFrame, others: dict[str, DataFrame], found: DataFrame, config: Config = Config(), persist=lambda df: df.persist()) -> DataFrame:
