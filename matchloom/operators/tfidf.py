@@ -7,7 +7,7 @@ adds them up, and a query skips every block that can't hold anything nearer than
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
@@ -134,11 +134,14 @@ def top_k(queries: DataFrame, corpus: DataFrame, pair: str, config: Config = Con
     return near.select("source1_entity_id", "candidate_entity_id", F.lit(pair).alias("source_pair"), F.lit(TFIDF).alias("strategy"), "similarity", "rank")
 
 
-def gated_top_k(s1: DataFrame, others: dict[str, DataFrame], found: DataFrame, config: Config = Config(), persist=lambda df: df.persist()) -> DataFrame:
-    """``found`` with the text candidates of each pair in turn; what one pair adds closes the gate for the next."""
+def gated_top_k(s1: DataFrame, others: dict[str, DataFrame], found: DataFrame, config: Config = Config(), keep: Callable[[str, Callable[[], DataFrame]], DataFrame] = lambda pair, build: build()) -> DataFrame:
+    """``found`` with the text candidates of each pair in turn; what one pair adds closes the gate for the next.
+
+    ``keep`` gets the name of a pair and what builds its candidates, and gives them back, written if need be.
+    """
     from matchloom.operators.blocking import distinct_candidates, unresolved
 
     for pair, sx in others.items():
         queries = unresolved(s1, distinct_candidates(found), config)
-        found = found.unionByName(persist(top_k(queries, sx, pair, config).drop("similarity", "rank")))
+        found = found.unionByName(keep(pair, lambda: top_k(queries, sx, pair, config).drop("similarity", "rank")))
     return found

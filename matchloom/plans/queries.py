@@ -6,8 +6,6 @@ name, the type is the country, the brand the city. Addresses are made from custo
 
 from __future__ import annotations
 
-import tempfile
-import uuid
 from collections.abc import Callable
 from functools import partial
 
@@ -18,13 +16,16 @@ from matchloom.config import STRATEGIES, Config
 from matchloom.functions import addresses as ad
 from matchloom.functions import names as nm
 from matchloom.functions.phonetic import phonetic
-from matchloom.functions.scripts import detect_script, transliterate
+from matchloom.functions.scripts import PATTERNS, detect_script, transliterate
 from matchloom.functions.unicode import roman_search
 from matchloom.operators import blocking as bl
 from matchloom.operators import evaluate as ev
 from matchloom.operators import features as ft
 from matchloom.operators import tfidf as tf
+from matchloom.operators.measures import Measures
+from matchloom.plans.runs import RunStore
 from matchloom.plans.stages import block_features
+from matchloom.session import shared_folder
 from matchloom.sources import tables
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -147,29 +148,19 @@ def feature_keys_v1_aliases(spark, sf):
     return ft.feature_table(people(spark, sf).withColumnsRenamed(given), V1)
 
 
-def _folder(spark: SparkSession, name: str) -> str:
-    """A new folder below spark.checkpoint.dir; a temporary one where that is unset, on one machine."""
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
-        base = "file://" + tempfile.mkdtemp(prefix="tables-")
-    return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
-
-
 @query("tsv_roundtrip", "SELECT CAST(n_nationkey AS VARCHAR) AS n_nationkey, n_name || ' \"a\", b' AS n_name, CASE n_nationkey % 3 WHEN 0 THEN 'NA' WHEN 1 THEN '' ELSE 'x' END AS gap FROM nation")
 def tsv_roundtrip(spark, sf):
     """Written and read again: quotes, empty fields and literals such as NA come back as they were."""
     n = F.col("n_nationkey") % 3
     rows = read(spark, sf, "nation").select(F.col("n_nationkey").cast("string"), F.concat("n_name", F.lit(' "a", b')).alias("n_name"), F.when(n == 0, "NA").when(n == 1, "").otherwise("x").alias("gap"))
-    path = _folder(spark, "tsv")
+    path = shared_folder(spark, "tsv")
     tables.write_tsv(rows, path)
     return tables.read_tsv(spark, path)
 
 
 @query("tsv_na_literals", "SELECT CAST(n_nationkey AS VARCHAR) AS n_nationkey, CASE WHEN n_nationkey % 3 = 2 THEN 'x' END AS gap FROM nation")
 def tsv_na_literals(spark, sf):
-    path = _folder(spark, "tsv")
+    path = shared_folder(spark, "tsv")
     tables.write_tsv(tsv_roundtrip(spark, sf).select("n_nationkey", "gap"), path)
     return tables.read_tsv(spark, path, na_literals=True)
 
@@ -179,7 +170,7 @@ def tsv_quoted_breaks(spark, sf):
     """Whole texts with tabs, quotes and line breaks, written and read again in parts."""
     d = read(spark, sf, "documents")
     rows = d.select(F.col("doc_id").cast("string"), F.concat(F.coalesce("text", F.lit("")), F.lit('\t"'), F.coalesce("lang", F.lit("")), F.lit('"\nend')).alias("text"))
-    path = _folder(spark, "tsv")
+    path = shared_folder(spark, "tsv")
     tables.write_tsv(rows, path)
     return tables.read_tsv(spark, path)
 
@@ -228,13 +219,39 @@ def candidate_pairs(spark, sf):
 def candidate_file(spark, sf):
     """The file of candidate lists, checked and read again."""
     s1, others = sides(spark, sf)
-    path = _folder(spark, "candidates")
+    path = shared_folder(spark, "candidates")
     told = ev.write_candidate_pairs(s1, bl.distinct_candidates(exact(spark, sf)), path)
     ev.verify_candidate_file(spark, path, told["rows"])
     ev.validate_candidate_ids(spark, path, *others.values())
     return tables.read_tsv(spark, path)
 
 
+# each stage's rows, filled fields and values, unpivoted
+_SUMMARY = f"""{_ALL}, scripts AS (SELECT CASE WHEN text IS NULL OR trim(text) = '' THEN 'Empty' WHEN regexp_matches(text, '\\p{{Latin}}') THEN 'Latin' ELSE 'Other' END AS script FROM documents)
+SELECT 'records' AS stage, 'rows' AS measure, count(*) AS value FROM f
+UNION ALL SELECT 'records', 'filled name_key_base', count(*) FILTER (name_key_base <> '') FROM f
+UNION ALL SELECT 'records', 'src=' || src, count(*) FROM f GROUP BY src
+UNION ALL SELECT 'found', 'rows', count(*) FROM found
+UNION ALL SELECT 'found', 'strategy=' || strategy, count(*) FROM found GROUP BY strategy
+UNION ALL SELECT 'unique', 'rows', count(*) FROM uniq
+UNION ALL SELECT 'unique', 'source_pair=' || source_pair, count(*) FROM uniq GROUP BY source_pair
+UNION ALL SELECT 'scripts', 'rows', count(*) FROM scripts
+UNION ALL SELECT 'scripts', 'script=' || script, count(*) FROM scripts GROUP BY script"""
+
+
+@query("run_summary", _SUMMARY)
+def run_summary(spark, sf):
+    """What was counted while the stages of a run were written; no stage is read again for it."""
+    store = RunStore(spark, shared_folder(spark, "run"), V2, [f"{sf}/part.parquet", f"{sf}/documents.parquet"])
+    records = store.table("records", lambda: features(spark, sf), Measures(["name_key_base"], {"src": ["0", "1", "2"]}))
+    part = lambda k: records.where(F.col("src") == k).drop("src")
+    found = store.table("found", lambda: bl.all_exact_blocks(part(0), {"s1_s2": part(1), "s1_s3": part(2)}, V2), Measures(values={"strategy": STRATEGIES}))
+    store.table("unique", lambda: bl.distinct_candidates(found), Measures(values={"source_pair": ["s1_s2", "s1_s3"]}))
+    store.table("scripts", lambda: script_detect(spark, sf), Measures(values={"script": [*PATTERNS, "Mixed", "Other", "Empty"]}))
+    told = [(stage, measure, n) for stage, measures in store.summary().items() for measure, n in measures.items()]
+    return spark.createDataFrame(told, "stage string, measure string, value long")
+
+
 @query("strategy_audit", f"{_ALL} SELECT source_pair, strategy, count(*) AS candidate_rows, count(DISTINCT source1_entity_id) AS source1_with_candidates, count(DISTINCT candidate_entity_id) AS unique_candidates FROM found GROUP BY 1, 2 ORDER BY 1, 2")
 def strategy_audit(spark, sf):
     return ev.strategy_audit(exact(spark, sf)).orderBy("source_pair", "strategy")

@@ -7,7 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from matchloom.config import Config
+from matchloom.config import STRATEGIES, Config
 from matchloom.functions.addresses import normalize_address, with_address
 from matchloom.functions.names import normalize_name, structure
 from matchloom.functions.phonetic import phonetic
@@ -16,7 +16,10 @@ from matchloom.functions.unicode import roman_search
 from matchloom.operators import evaluate as ev
 from matchloom.operators.blocking import all_exact_blocks, distinct_candidates
 from matchloom.operators.features import feature_table
+from matchloom.operators.measures import Measures
 from matchloom.operators.tfidf import gated_top_k
+from matchloom.plans.runs import RunStore
+from matchloom.session import shared_folder
 from matchloom.sources.tables import require_columns
 
 RAW = ["entity_id", "business_name", "business_address", "country", "business_name_original", "business_name_basic", "business_address_original", "business_address_basic"]
@@ -49,19 +52,25 @@ class Blocking:
     s1: DataFrame
     found: DataFrame
     unique: DataFrame
+    store: RunStore
 
 
-def block(s1: DataFrame, s2: DataFrame, s3: DataFrame, config: Config = Config()) -> Blocking:
+def block(s1: DataFrame, s2: DataFrame, s3: DataFrame, config: Config = Config(), store: RunStore | None = None) -> Blocking:
     """Candidates of all strategies from structured records."""
     one, others = feature_table(s1, config), {"s1_s2": feature_table(s2, config), "s1_s3": feature_table(s3, config)}
-    return block_features(one, others, config)
-
-
-def block_features(s1: DataFrame, others: dict[str, DataFrame], config: Config = Config()) -> Blocking:
-    # keys and candidates are each read by many joins; kept in memory and on disk, they are made once
-    s1, others = s1.persist(), {pair: sx.persist() for pair, sx in others.items()}
-    found = gated_top_k(s1, others, all_exact_blocks(s1, others, config).persist(), config)
-    return Blocking(s1, found, distinct_candidates(found, with_strategy=config.mode == "v1"))
+    return block_features(one, others, config, store)
+
+
+def block_features(s1: DataFrame, others: dict[str, DataFrame], config: Config = Config(), store: RunStore | None = None) -> Blocking:
+    """Keys and candidates are each read by many joins, so they are stages of ``store``; without one, of a store of this run alone."""
+    store = store or RunStore(s1.sparkSession, shared_folder(s1.sparkSession, "block"), config)
+    given = s1
+    s1 = store.table("keys_s1", lambda: given)
+    others = {pair: store.table(f"keys_{pair}", lambda sx=sx: sx) for pair, sx in others.items()}
+    exact = store.table("exact", lambda: all_exact_blocks(s1, others, config), Measures(values={"strategy": STRATEGIES}))
+    found = gated_top_k(s1, others, exact, config, lambda pair, build: store.table(f"text_{pair}", build))
+    unique = store.table("unique", lambda: distinct_candidates(found, with_strategy=config.mode == "v1"), Measures(values={"source_pair": others}))
+    return Blocking(s1, found, unique, store)
 
 
 def evaluate(result: Blocking, truth: DataFrame, s2: DataFrame, s3: DataFrame) -> dict[str, DataFrame]:

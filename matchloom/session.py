@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
+import uuid
 import zipfile
+from functools import cache
 from pathlib import Path
 
 from pyspark.sql import SparkSession
@@ -28,6 +32,23 @@ def ship(spark: SparkSession) -> None:
     _SHIPPED.add(context.applicationId)
 
 
+@cache
+def _own_folder() -> str:
+    folder = tempfile.mkdtemp(prefix="tables-")
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    return "file://" + folder
+
+
+def shared_folder(spark: SparkSession, name: str) -> str:
+    """A new folder below spark.checkpoint.dir. Where that is unset, on one machine, one that goes when the process ends."""
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    if not base:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
+        base = _own_folder()
+    return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
 def local_session(cores: str = "*", memory: str = "8g", partitions: int = 8) -> SparkSession:
     """A session on one machine, for tests and measurements."""
     return (
