@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from matchloom.functions.columns import set_aside
 from matchloom.functions.names import chain, char_length, token_count, token_string
 from matchloom.functions.unicode import clean
 
@@ -21,6 +22,7 @@ ADDRESS_PATTERNS = [
     (r"(?U)\s*,\s*", ", "),
     (r"(?U)(,\s*){2,}", ", "),
 ]
+# fixed values: words of a unit, a number, and what stands around them
 UNIT = r"(?:#\s*|no\.?\s*|h\.?\s*no\.?\s*|house\s*|plot\s*|flat\s*|unit\s*|apt\.?\s*|apartment\s*|shop\s*|door\s*)?"
 NUMBER = r"[a-z]?\d+[a-z]?"
 HOUSE = rf"(?iuU)^\s*{UNIT}({NUMBER}(?:[-/]{NUMBER})*)\b"
@@ -30,7 +32,11 @@ PREFIX = rf"(?iuU)^\s*(?:#|no\.?|h\.?\s*no\.?|house|plot|flat|unit|apt\.?|apartm
 #: later patterns win over earlier ones, so only these two can decide
 POSTAL_LETTERS = r"(?iuU)\b([a-z]\d[a-z][ -]?\d[a-z]\d)\b"
 POSTAL_DIGITS = r"(?U)\b(\d{4,6})\b"
-STREET_WORDS = "street st road rd avenue ave boulevard blvd drive dr lane ln court ct place pl parkway pkwy highway hwy terrace ter way square sq".split()
+# fixed values: words that name a street
+STREET_WORDS = (
+    "street", "st", "road", "rd", "avenue", "ave", "boulevard", "blvd", "drive", "dr", "lane", "ln", "court", "ct",
+    "place", "pl", "parkway", "pkwy", "highway", "hwy", "terrace", "ter", "way", "square", "sq",
+)
 
 
 def normalize_clean_address(text: Column) -> Column:
@@ -63,7 +69,7 @@ def address_parts(address: Column) -> Column:
 
 
 def has_street_type(part: Column) -> Column:
-    return F.arrays_overlap(_all(F.lower(part), "([a-z]+)"), F.lit(STREET_WORDS))
+    return F.arrays_overlap(_all(F.lower(part), "([a-z]+)"), F.lit(list(STREET_WORDS)))
 
 
 def is_house_only(part: Column) -> Column:
@@ -74,6 +80,8 @@ def remove_house_prefix(part: Column, house: Column) -> Column:
     return F.when(house == "", F.btrim(part)).otherwise(F.btrim(F.regexp_replace(part, PREFIX, ""), F.lit(" ,-#")))
 
 
+#: columns that the rules use on their way
+STEPS = ["_a", "_house", "_postal", "_p", "_n", "_last", "_first", "_only", "_code", "_before", "_short", "_named", "_city_at", "_state_at", "_street_at"]
 PARTS = ["house_number", "postal_code", "street", "locality", "city", "state_region", "numeric_tokens", "tokens", "token_count", "char_length"]
 
 
@@ -82,8 +90,11 @@ def with_address(df: DataFrame, address: str, country: str, prefix: str = "addre
 
     The rules look at segments between commas: postal code and country are taken out first, then
     state and city are found from the end, the street by its type word or its number, and the
-    locality between them. Missing addresses have empty parts.
+    locality between them. Missing addresses have empty parts. Columns of the parts' names are
+    replaced; all others stay, whatever their names.
     """
+    df, back = set_aside(df, STEPS)
+    address, country = (next(c for c in df.columns if back.get(c, c) == name) for name in (address, country))
     keep = [c for c in df.columns if c not in {prefix + p for p in PARTS}]
     a, house, postal, p, n = (F.col(c) for c in ("_a", "_house", "_postal", "_p", "_n"))
     place = F.btrim(F.coalesce(F.col(country), F.lit("")))
@@ -123,4 +134,4 @@ def with_address(df: DataFrame, address: str, country: str, prefix: str = "addre
         "token_count": token_count(a),
         "char_length": char_length(a),
     }
-    return df.select(*keep, *[c.alias(prefix + k) for k, c in made.items()])
+    return df.select(*keep, *[c.alias(prefix + k) for k, c in made.items()]).withColumnsRenamed(back)

@@ -4,12 +4,13 @@ from __future__ import annotations
 
 from functools import lru_cache
 
-import pandas as pd
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, StringType
 
-from matchloom.functions.unicode import _ready
+from matchloom.functions.unicode import _ready, of_distinct
 
 VOWELS = frozenset("AEIOU")
 FRONT = frozenset("EIY")
@@ -105,7 +106,12 @@ def metaphone(word: str) -> str:
 
 @lru_cache(1)
 def _codes():
-    return F.pandas_udf(lambda s: s.map(lambda words: None if words is None else [metaphone(w) for w in words]), ArrayType(StringType()))
+    def run(words: pa.Array) -> pa.Array:
+        found = of_distinct(words.flatten(), metaphone, pa.string())
+        sizes = words.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)
+        return pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(sizes)]), pa.int32()), found)
+
+    return F.arrow_udf(run, ArrayType(StringType()))
 
 
 def phonetic(text: Column) -> Column:

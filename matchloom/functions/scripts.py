@@ -6,7 +6,7 @@ import re
 import unicodedata
 from functools import lru_cache
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
@@ -115,10 +115,19 @@ def romanize(text: str | None, script: str | None) -> str | None:
 
 @lru_cache(1)
 def _romanized():
-    return F.pandas_udf(lambda text, script: pd.Series([romanize(t, s) for t, s in zip(text, script)], dtype=object), StringType())
+    def run(texts: pa.Array, scripts: pa.Array) -> pa.Array:
+        # each different text once; its script follows from it
+        coded = texts.dictionary_encode()
+        script_of = dict(zip(coded.indices.to_pylist(), scripts.to_pylist()))
+        made = [romanize(v, script_of[k]) for k, v in enumerate(coded.dictionary.to_pylist())]
+        return pa.array(made, pa.string()).take(coded.indices)
+
+    return F.arrow_udf(run, StringType())
 
 
 def transliterate(text: Column) -> Column:
-    """Texts in an Indic script as a whole, the Indic runs of mixed ones; all others unchanged."""
+    """Texts in an Indic script as a whole, the Indic runs of mixed ones; all others unchanged, and never sent to Python."""
     _ready()
-    return _romanized()(text, detect_script(text))
+    script = detect_script(text)
+    indic = script.isin(*sorted(ROMANIZED), "Mixed")
+    return F.coalesce(_romanized()(F.when(indic, text), F.when(indic, script)), text)

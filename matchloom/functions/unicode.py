@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 import unicodedata
+from collections.abc import Callable
 from functools import lru_cache
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
@@ -18,30 +19,42 @@ def _ready() -> None:
         ship(session)
 
 
-def _each(values: pd.Series, change) -> pd.Series:
-    """``change`` of every string that is not plain ASCII; missing stays missing."""
-    return values.map(lambda v: v if v is None or v.isascii() else change(v))
+def of_distinct(values: pa.Array, change: Callable[[str], object], kind: pa.DataType) -> pa.Array:
+    """``change`` of each different string of a batch, put back where it stood; missing stays missing."""
+    coded = values.dictionary_encode()
+    return pa.array([change(v) for v in coded.dictionary.to_pylist()], kind).take(coded.indices)
+
+
+def _arrow(change: Callable[[str], str]):
+    def run(values: pa.Array) -> pa.Array:
+        return of_distinct(values, change, pa.string())
+
+    return F.arrow_udf(run, StringType())
 
 
 @lru_cache(1)
 def _nfkc():
-    return F.pandas_udf(lambda s: _each(s, lambda v: unicodedata.normalize("NFKC", v)), StringType())
+    return _arrow(lambda v: unicodedata.normalize("NFKC", v))
 
 
 @lru_cache(1)
 def _folded():
-    return F.pandas_udf(lambda s: _each(s, lambda v: "".join(c for c in unicodedata.normalize("NFKD", v) if not unicodedata.combining(c))), StringType())
+    return _arrow(lambda v: "".join(c for c in unicodedata.normalize("NFKD", v) if not unicodedata.combining(c)))
 
 
-def nfkc(text: Column) -> Column:
+def _unless_ascii(text: Column, udf) -> Column:
+    """``udf`` of texts that are not plain ASCII; of others no byte leaves the JVM, and they stay as they are."""
     _ready()
-    return _nfkc()(text)
+    return F.coalesce(udf(F.when(F.octet_length(text) != F.char_length(text), text)), text)
+
+
+def nfkc(text: Column) -> Column:
+    return _unless_ascii(text, _nfkc())
 
 
 def strip_accents(text: Column) -> Column:
     """NFKD without combining marks."""
-    _ready()
-    return _folded()(text)
+    return _unless_ascii(text, _folded())
 
 
 def clean(text: Column) -> Column:

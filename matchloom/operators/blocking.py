@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from matchloom.config import STRATEGIES, Config
+from matchloom.functions.columns import unused
 
 
 def small_blocks(side: DataFrame, key: str, cap: int) -> DataFrame:
@@ -63,5 +64,6 @@ def distinct_candidates(found: DataFrame, with_strategy: bool = False) -> DataFr
 def unresolved(s1: DataFrame, unique: DataFrame, config: Config = Config()) -> DataFrame:
     """Rows of s1 with a roman name and fewer candidates than the gate, over all pairs together."""
     n = F.count("*") if config.mode == "v2" else F.countDistinct("candidate_entity_id")
-    counts = unique.groupBy(F.col("source1_entity_id").alias("entity_id")).agg(n.alias("_candidates"))
-    return s1.join(counts, "entity_id", "left").where((F.coalesce("_candidates", F.lit(0)) < config.tfidf_gate) & (F.col("roman_name_key_base") != "")).drop("_candidates")
+    told = unused(s1, "candidates")
+    counts = unique.groupBy(F.col("source1_entity_id").alias("entity_id")).agg(n.alias(told))
+    return s1.join(counts, "entity_id", "left").where((F.coalesce(told, F.lit(0)) < config.tfidf_gate) & (F.col("roman_name_key_base") != "")).drop(told)

@@ -98,3 +98,28 @@ def test_name_structure_against_plain_python(spark):
     assert column(spark, texts, names.token_count) == [len(t.split()) for t in texts]
     assert column(spark, texts, names.char_length) == [len(t.replace(" ", "")) for t in texts]
     assert column(spark, ["क्षA1-"], names.compact) == ["कषA1"]
+
+
+def test_python_sees_what_needs_it_and_each_value_once(spark, monkeypatch):
+    import pyarrow as pa
+
+    from matchloom.functions import unicode
+
+    seen = []
+    got = unicode.of_distinct(pa.array(["é", None, "a", "é", "é"]), lambda v: seen.append(v) or v * 2, pa.string())
+    assert got.to_pylist() == ["éé", None, "aa", "éé", "éé"] and sorted(seen) == ["a", "é"]
+    assert unicode.of_distinct(pa.array([], pa.string()), str, pa.string()).to_pylist() == []
+    # plain rows are null in what is sent
+    df = spark.createDataFrame([("plain",), ("ｆull",), (None,), ("राम",)], "t string")
+    plan = df.select(unicode.nfkc(F.col("t")).alias("n"))._jdf.queryExecution().toString()
+    assert "octet_length" in plan
+    assert column(spark, ["plain", "ｆull", None, "ﬁ"], unicode.nfkc) == ["plain", "full", None, "fi"]
+
+
+def test_address_columns_of_any_name(spark):
+    names = [*addresses.STEPS, "_A_given", "address_given"]
+    df = spark.createDataFrame([("12 main street, pune", "india", *names)], ", ".join(f"`{c}` string" for c in ["address", "country", *names]))
+    row = addresses.with_address(df, "address", "country").first()
+    assert all(row[c] == c for c in names) and row.address == "12 main street, pune" and row.address_city == "pune"
+    own = addresses.with_address(df.withColumnsRenamed({"address": "_p2"}).drop("_p").withColumnsRenamed({"_p2": "_p"}), "_p", "country").first()
+    assert own._p == "12 main street, pune" and own.address_street == "main street"
