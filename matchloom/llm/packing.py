@@ -2,11 +2,14 @@
 
 Only the histogram of piece lengths (at most ``CAPACITY`` numbers) comes to the driver. A
 configuration is a multiset of lengths that fits one sequence; the program covers the histogram by
-as few as it can. Multiplicative weights price the lengths, those least covered so far highest; a
+as few as it can. Multiplicative weights price the lengths, those least covered so far highest; they
+start from the lengths themselves and from the dual prices, of a family of them, with the best bound. A
 knapsack dynamic program over all rooms gives the highest price that a sequence can hold, and with
 it the best configuration around each length. Configurations near that price are taken, rounded
 down, and at most ``SHARE`` of a length's demand in a round, so that all lengths run out together.
-What rounding leaves over is put in best-fit order of decreasing length. The prices also tell a
+What rounding leaves over is put in best-fit order of decreasing length. Later rounds have less
+to choose from, so the plan keeps as many of them as make it shortest; where even the first one does not
+pay, which happens where every length has a few pieces, all is left over. The prices also tell a
 bound that no packing can beat. The plan, runs of like sequences, is as long as the histogram is
 wide; pieces find their places in it by their rank among those of their length.
 """
@@ -54,15 +57,34 @@ def knapsack(price: np.ndarray, capacity: int) -> np.ndarray:
 
     price: one for each length from 0; lengths with price 0 are not used.
     """
-    lengths = np.flatnonzero(price[: capacity + 1] > 0)
-    prices = price[lengths]
     best = np.zeros(capacity + 1)
-    for room, fit in enumerate(np.searchsorted(lengths, np.arange(capacity + 1), side="right").tolist()):
-        if fit:
-            best[room] = max(best[room - 1], (best[room - lengths[:fit]] + prices[:fit]).max())
+    for length in np.flatnonzero(price[: capacity + 1] > 0).tolist():
+        size, worth = length, price[length]
+        while size <= capacity:  # one, two, four ... more copies make any number
+            np.maximum(best[size:], best[:-size] + worth, out=best[size:])
+            size, worth = 2 * size, 2 * worth
     return best
 
 
+def dual_prices(demand: np.ndarray, capacity: int) -> tuple[np.ndarray, float]:
+    """The prices of a family of functions under which no sequence can hold more than 1, with the best bound, and that bound.
+
+    The family mixes the length itself with how many more than kths of a sequence it takes, and with
+    a step that counts long pieces as whole sequences and short ones as nothing.
+    """
+    part = np.arange(capacity + 1) / capacity
+    steps = [np.minimum(1.0, np.floor(np.arange(capacity + 1) * k / (capacity + 1)) / (k - 1)) for k in (2, 3)]
+    steps += [np.where(part > 1 - low, 1.0, np.where(part >= low, part, 0.0)) for low in (0.1, 0.2, 0.3, 0.4)]
+    found = []
+    for price in [part, *[(1 - t) * part + t * u for u in steps for t in (0.5, 1.0)]]:
+        price = np.where(demand > 0, price, 0.0)
+        most = knapsack(price, capacity)[capacity]
+        if most > 0:
+            found.append((float(demand @ price) / most * (1 - 1e-9), price / most))
+    bound, price = max(found, key=lambda f: f[0])
+    return price, bound
+
+
 def configuration(length: int, price: np.ndarray, best: np.ndarray, there: np.ndarray) -> dict[int, int]:
     """The best sequence with ``length`` that lengths with pieces ``there`` give, by the prices of rooms; longer lengths first."""
     counts, room = {length: 1}, len(best) - 1 - length
@@ -79,20 +101,24 @@ def configuration(length: int, price: np.ndarray, best: np.ndarray, there: np.nd
     return counts
 
 
-def program(histogram: np.ndarray, capacity: int = CAPACITY) -> tuple[list[tuple[dict[int, int], int]], int]:
-    """Configurations with the number of sequences of each, within the histogram, and a bound for any packing."""
+def program(histogram: np.ndarray, capacity: int = CAPACITY, start: np.ndarray | None = None) -> tuple[list[list[tuple[dict[int, int], int]]], int]:
+    """For each round, configurations with the number of sequences of each, within the histogram; and a bound for any packing.
+
+    start: the prices that the weights multiply; the lengths by default.
+    """
     demand = histogram.astype(np.int64)
-    left, lengths, found = demand.copy(), np.arange(len(demand)), []
+    left, lengths, rounds = demand.copy(), np.arange(len(demand)), []
+    start = lengths if start is None else start
     bound = int(-(-(demand * lengths).sum() // capacity))
     for _ in range(ROUNDS):
         open_ = left > 0
-        if not open_.any():
+        price = np.where(open_, start * np.exp(STEP * left / np.maximum(demand, 1)), 0.0)
+        if not price.any():
             break
-        price = np.where(open_, lengths * np.exp(STEP * left / np.maximum(demand, 1)), 0.0)
         best = knapsack(price, capacity)
         bound = max(bound, int(np.ceil((demand * price).sum() / best[capacity] * (1 - 1e-9))))
         quota = np.minimum(left, np.ceil(SHARE * demand).astype(np.int64))
-        used = 0
+        found = []
         for length in np.flatnonzero(open_)[::-1].tolist():
             while quota[length]:
                 counts = configuration(length, price, best, quota)
@@ -100,21 +126,38 @@ def program(histogram: np.ndarray, capacity: int = CAPACITY) -> tuple[list[tuple
                     break
                 n = min(int(quota[k]) // c for k, c in counts.items())
                 found.append((counts, n))
-                used += n
                 for k, c in counts.items():
                     quota[k] -= n * c
                     left[k] -= n * c
-        if not used:
+        if not found:
             break
-    return found, bound
+        rounds.append(found)
+    return rounds, bound
 
 
-def plan(histogram: np.ndarray, capacity: int = CAPACITY) -> tuple[np.ndarray, int]:
-    """Runs (length, first rank, ranks, first sequence, offset) and the number of sequences.
+def plan(histogram: np.ndarray, capacity: int = CAPACITY) -> tuple[np.ndarray, int, int]:
+    """Runs (length, first rank, ranks, first sequence, offset), the number of sequences, and a bound for any packing.
 
     Piece ``first rank + k`` of its length goes to sequence ``first sequence + k`` at ``offset``.
     """
-    return _lay(histogram, program(histogram, capacity)[0], capacity)
+    if not histogram.any():
+        return np.zeros((0, 5), np.int64), 0, 0
+    duals, bound = dual_prices(histogram, capacity)
+    bound, best = int(np.ceil(bound)), None
+    # short pieces that cost nothing are put in the rooms that are left
+    for start in (None, duals):
+        if best is not None and best[1] <= bound:
+            break
+        rounds, told = program(histogram, capacity, start)
+        bound, keep = max(bound, told), len(rounds)
+        while best is None or best[1] > bound:
+            laid = _lay(histogram, [c for found in rounds[:keep] for c in found], capacity)
+            if best is None or laid[1] < best[1]:
+                best = laid
+            if not keep:
+                break
+            keep //= 2
+    return *best, bound
 
 
 def _lay(histogram: np.ndarray, chosen: list[tuple[dict[int, int], int]], capacity: int) -> tuple[np.ndarray, int]:
@@ -173,7 +216,7 @@ def pack(docs: DataFrame, scratch: Scratch, path: str | None = None, capacity: i
     histogram = np.zeros(capacity + 1, np.int64)
     for length, n in counts:
         histogram[length] = n
-    runs, _ = plan(histogram, capacity)
+    runs, *_ = plan(histogram, capacity)
     # ranks of like pieces: counts of small slices, summed up, and the rank within a slice
     sliced = cut.withColumn("slice", F.pmod(F.xxhash64("doc_id", "piece"), F.lit(SLICES)))
     sums = sliced.groupBy("length", "slice").agg(F.count("*").alias("n"))
