@@ -5,7 +5,11 @@ sidebars, notices, adverts and comments is left out by its tag, role or class na
 judges every other block by its length, link density and share of stop words: good, bad, or too
 short to say. The second pass gives ambiguous blocks the label of the nearest decided blocks before
 and after them: the label of both, or that of the nearer where they differ. Where a page marks its
-article, or a block stands in a form, the same rules judge, with lower or higher bars.
+article the same rules judge, with a lower bar within it and a higher one beside it.
+
+Class names tell of layout as well as of content, and some pages are one form. So an element that
+its name or a form makes suspect is let off if all that the page marks as article stands in it with
+more than half of the text, or nearly all text where nothing is marked; readers' comments never are.
 """
 
 from __future__ import annotations
@@ -50,6 +54,12 @@ JUNK = re.compile(
     r"(?:^|[\s_-])(?:ads?|adverts?|advertisements?|advertising|banner|breadcrumbs?|captcha|comments?|commentlist|consent|cookies?|disclaimer|disqus|footer|foot|gdpr|header|masthead|menu|modal|nav|navbar|navigation|newsletter|notice|notification|overlay|pager|pagination|paywall|popup|privacy|promo|promoted|related|recommended|replies|reply|respond|search|share|sharing|sidebar|sidebars?|skip|social|sponsor|sponsored|subscribe|subscription|tags|toolbar|tooltip|widgets?|alert|toast|complementary|contentinfo)(?:$|[\s_-])",
     re.I,
 )
+#: those of readers' comments, which may well be longer than the article
+SAID = re.compile(r"(?:^|[\s_-])(?:comments?|commentlist|disqus|replies|reply|respond)(?:$|[\s_-])", re.I)
+#: of elements within a line, only names of adverts count
+INLINE = re.compile(r"(?:^|[\s_-])(?:ads?|adverts?|advertisements?|adsbygoogle|sponsored)(?:$|[\s_-])", re.I)
+#: how much of the page's text an element holds that is let off
+HALF, NEARLY_ALL = 0.5, 0.8
 CAMEL = re.compile(r"(?<=[a-z])(?=[A-Z])")
 ARTICLE = re.compile(r"(?:^|\s)(?:article|articlebody|article-body|article-content|entry-content|post-content|post-body|main-content|story-body)(?:$|\s)", re.I)
 TAG = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|</?([a-zA-Z][a-zA-Z0-9:-]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)(?:>|\Z)", re.S)
@@ -73,37 +83,54 @@ class Block:
     linked: int
     in_article: bool
     heading: bool
-    in_form: bool = False
+    suspects: tuple[int, ...] = ()
+
 
+#: what an element's markup says: nothing, suspect, or out for good
+FINE, SUSPECT, OUT = range(3)
 
-def _junk(attributes: dict[str, str]) -> bool:
+
+def _judge(name: str, attributes: dict[str, str], in_code: bool) -> int:
+    if "hidden" in attributes or attributes.get("aria-hidden") == "true" or "display:none" in attributes.get("style", "").replace(" ", "").lower():
+        return OUT
+    if name in ("html", "body", "article", "main"):
+        return FINE
+    if name == "form":
+        return SUSPECT
     named = WITHOUT.sub(" ", " ".join(CAMEL.sub("-", attributes.get(k, "")) for k in ("class", "id", "role")))
-    hidden = "hidden" in attributes or attributes.get("aria-hidden") == "true" or "display:none" in attributes.get("style", "").replace(" ", "").lower()
-    return hidden or bool(named.strip() and JUNK.search(named))
+    if not named.strip() or in_code:
+        return FINE
+    if name not in BLOCKS:
+        return OUT if INLINE.search(named) else FINE
+    return OUT if SAID.search(named) else SUSPECT if JUNK.search(named) else FINE
 
 
 class _Open:
     """The tags that are open. Each is put on and taken off once, so a page costs as much as it is long."""
 
     def __init__(self) -> None:
-        self.tags: list[tuple[str, bool, bool]] = []  # name, junk, article
+        self.tags: list[tuple[str, int, bool]] = []  # name, verdict, article
         self.places: dict[str, list[int]] = {}
         self.blocks: list[int] = []
-        self.junk = self.article = self.anchors = self.headings = self.forms = 0
+        self.suspects: list[int] = []  # numbers of the open ones
+        self.out = self.article = self.anchors = self.headings = self.code = self.numbered = 0
 
-    def _count(self, name: str, is_junk: bool, is_article: bool, by: int) -> None:
-        self.junk += by * is_junk
+    def _count(self, name: str, verdict: int, is_article: bool, by: int) -> None:
+        self.out += by * (verdict == OUT)
         self.article += by * is_article
         self.anchors += by * (name == "a")
         self.headings += by * (name in HEADINGS)
-        self.forms += by * (name == "form")
+        self.code += by * (name in ("code", "pre"))
 
-    def push(self, name: str, is_junk: bool, is_article: bool) -> None:
+    def push(self, name: str, verdict: int, is_article: bool) -> None:
         self.places.setdefault(name, []).append(len(self.tags))
         if name in BLOCKS:
             self.blocks.append(len(self.tags))
-        self.tags.append((name, is_junk, is_article))
-        self._count(name, is_junk, is_article, 1)
+        if verdict == SUSPECT:
+            self.suspects.append(self.numbered)
+            self.numbered += 1
+        self.tags.append((name, verdict, is_article))
+        self._count(name, verdict, is_article, 1)
 
     def close(self, name: str) -> None:
         """End the last open tag of this name and all within it; without one, nothing."""
@@ -115,6 +142,8 @@ class _Open:
             self.places[tag[0]].pop()
             if tag[0] in BLOCKS:
                 self.blocks.pop()
+            if tag[1] == SUSPECT:
+                self.suspects.pop()
             self._count(*tag, -1)
 
     def start_block(self) -> None:
@@ -125,6 +154,25 @@ class _Open:
 
 def blocks(page: str) -> list[Block]:
     """The page's blocks outside of what its markup says to be no article, in page order."""
+    return _let_off(_blocks(page))
+
+
+def _let_off(found: list[Block]) -> list[Block]:
+    """Blocks without suspects around them but such as hold what the page is about."""
+    held: Counter = Counter()
+    marked: Counter = Counter()
+    for b in found:
+        held.update({k: len(b.text) for k in b.suspects})
+        marked.update(b.suspects if b.in_article else ())
+    if not held:
+        return found
+    of = sum(len(b.text) for b in found)
+    articles = sum(b.in_article for b in found)
+    free = {k for k, n in held.items() if (marked[k] == articles and n > HALF * of if articles else n > NEARLY_ALL * of)}
+    return [b for b in found if free.issuperset(b.suspects)]
+
+
+def _blocks(page: str) -> list[Block]:
     out: list[Block] = []
     now = _Open()
     parts: list[str] = []
@@ -135,12 +183,12 @@ def blocks(page: str) -> list[Block]:
             text = SPACES.sub(" ", html.unescape("".join(parts))).strip()
             if text:
                 linked = len(SPACES.sub(" ", html.unescape("".join(links))).strip())
-                out.append(Block(text, linked, now.article > 0, now.headings > 0, now.forms > 0))
+                out.append(Block(text, linked, now.article > 0, now.headings > 0, tuple(now.suspects)))
             parts.clear()
             links.clear()
 
     def say(text: str) -> None:
-        if not now.junk and text:
+        if not now.out and text:
             parts.append(text)
             if now.anchors:
                 links.append(text)
@@ -175,12 +223,13 @@ def blocks(page: str) -> list[Block]:
             now.start_block()
         is_article = name in ("article", "main") or attributes.get("itemprop") == "articleBody" or bool(ARTICLE.search(attributes.get("class", "") + " " + attributes.get("id", "")))
         # within an article its own header and class names still count, but its heading is text
-        is_junk = (name in SKIPPED and not (name == "header" and now.article)) or name not in ("html", "body", "article", "main", "form") and _junk(attributes)
+        skipped = name in SKIPPED and not (name == "header" and now.article)
+        verdict = OUT if skipped else _judge(name, attributes, now.code > 0)
         if name in RAW:
             end = RAW_END[name].search(page, at)
             at = end.end() if end else size
             continue
-        now.push(name, is_junk, is_article)
+        now.push(name, verdict, is_article)
     flush()
     return out
 
@@ -193,15 +242,15 @@ def stop_share(words: list[str], own: frozenset[str] = frozenset()) -> float:
 def first_pass(b: Block, own: frozenset[str], marked: bool) -> str:
     """good, bad, near (long, but of few stop words; without any links it may have none) or short.
 
-    In a marked article a block needs half the length and stop words; beside one, or in a form, twice the length.
+    In a marked article a block needs half the length and stop words; beside one, twice the length.
     """
     words = WORD.findall(b.text.lower())
     if b.linked > LINKED * len(b.text):
         return "bad"
-    bar = 0.5 if b.in_article and not b.in_form else 2.0 if marked or b.in_form else 1.0
+    bar = 0.5 if b.in_article else 2.0 if marked else 1.0
     wide = 2 if SIGNS.intersection(b.text) else 1  # a sign that is a word takes the room of some letters
     if b.heading or wide * len(b.text) < bar * LONG:
-        return "short" if b.heading or not b.linked and not b.in_form else "bad"
+        return "short" if b.heading or not b.linked else "bad"
     share = stop_share(words, own)
     if share >= min(bar, 1.0) * STOPPED:
         return "good"
@@ -229,7 +278,7 @@ def second_pass(found: list[Block], labels: list[str]) -> list[str]:
             elif len(sides) == 1:
                 label = sides.pop()
             else:
-                label = "good" if label == "near" else labels[before[k] if k - before[k] <= after[k] - k else after[k]]
+                label = labels[before[k] if k - before[k] <= after[k] - k else after[k]]
         out.append(label)
     return out
 

@@ -392,6 +392,22 @@ def test_html_without_marks(spark):
     assert sum(same) >= 0.95 * len(pages)
 
 
+@pytest.mark.parametrize("page, text", [
+    ('<div class="layout sidebar-right"><article>%s%s</article><div class="sidebar">%s</div></div>', 2),
+    ('<div class="layout-sidebar-right"><h1>T</h1>%s%s</div>', "T\n%s\n%s"),
+    ('<article>%s<p><code>x = 1 <span class="comment"># note</span> y</code></p></article>', "%s\nx = 1 # note y"),
+    ('<article>%s</article><form>%s<input></form>', 1),
+    ('<form action=x><article>%s%s</article><input></form>', 2),
+    ('<article>%s</article><div class="comments">%s%s%s%s</div>', 1),
+    ('<article>%s<ins class="ads">Buy now</ins></article><div id="cookie-notice">%s</div>', 1),
+])
+def test_html_names_of_layout(page, text):
+    p = "<p>" + "The first of the paragraphs is long enough to be judged by the words that it has in it. " * 3 + "</p>"
+    plain = p[3:-4].strip()
+    want = "\n".join([plain] * text) if isinstance(text, int) else text.replace("%s", plain)
+    assert html_extract.main_text("<body>" + page.replace("%s", p) + "</body>") == want
+
+
 def test_html_of_two_megabytes():
     begun = time.perf_counter()
     for page in ("<p>x" * 500_000, "<b>x</q>" * 250_000, "<div>" * 200_000 + "</x>" * 200_000, f"<p>{LONG_TEXT}</p><p>x</p>" * 10_000):
