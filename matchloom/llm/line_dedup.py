@@ -49,25 +49,32 @@ def _windows(lines: Column) -> Column:
 
 
 def repeated(docs: DataFrame, scratch: Scratch) -> DataFrame:
-    """(doc, marks): for each doc the marks whose windows an earlier doc has, byte for byte. docs: (doc, text)."""
-    marked = docs.select("doc", F.explode(F.array_distinct(F.transform(windows(F.split("text", "\n")), lambda w: w["mark"]))).alias("mark"))
-    marked = scratch.save(marked, "marks")
-    several = marked.groupBy("mark").agg(F.min("doc").alias("first"), F.max("doc").alias("last")).where("first < last")
-    several = scratch.save(several.select("mark"), "several")
-    # written first on both sides, so that a mark of very many documents is dealt to several tasks
-    places = scratch.save(marked.join(several, "mark"), "places")
-    wanted = places.groupBy("doc").agg(F.collect_set("mark").alias("marks"))
+    """(doc, made, spans): the windows of each text that have a copy at an earlier place, byte for byte.
+
+    docs: (doc, made, text), made being a hash of the text, so that texts under one doc are told
+    apart. An earlier place is one in a lesser doc, or one that ends before in the same text.
+    """
     lines = F.split("text", "\n")
-    met = docs.join(wanted, "doc")
-    found = lambda x: F.filter(_windows(x), lambda w: F.array_contains("marks", w["mark"]))
+    marked = scratch.save(docs.select("doc", "made", F.inline(windows(lines))), "marks")
+    several = scratch.save(marked.groupBy("mark").agg(F.count("*").alias("n")).where("n > 1").select("mark"), "several")
+    # written first on both sides, so that a mark of very many places is dealt to several tasks
+    places = scratch.save(marked.join(several, "mark"), "places")
+    wanted = places.groupBy("doc", "made").agg(F.collect_set(F.struct("mark", "begin", "end")).alias("at"))
     body = lambda x, w: F.array_join(F.slice(x, w["begin"] + 1, w["end"] - w["begin"] + 1), "\n")
-    shown = let(lines, lambda x: F.transform(found(x), lambda w: F.struct(w["mark"].alias("mark"), body(x, w).alias("body"))))
-    bodies = met.select("doc", F.inline(F.array_distinct(shown)))
+    shown = let(lines, lambda x: F.transform("at", lambda w: F.struct(w["mark"].alias("mark"), body(x, w).alias("body"))))
+    bodies = docs.join(wanted, ["doc", "made"]).select("doc", F.inline(shown))
     # grouping by the body beside its mark is the comparison of bytes; equal ones meet in each task first
     same = bodies.groupBy("mark", "body").agg(F.min("doc").alias("first"))
     # a mark that two different bodies share (never seen) names no body, so nothing is removed by it
     sure = scratch.save(same.groupBy("mark").agg(F.count("*").alias("n"), F.min("first").alias("first")).where("n = 1").select("mark", "first"), "sure")
-    return scratch.save(places.join(sure, "mark").where("doc > first").groupBy("doc").agg(F.collect_set("mark").alias("marks")), "lost")
+    # all of a text's places meet in one task, which both groupings below share
+    met = places.join(sure, "mark").repartition("doc", "made")
+    own = met.groupBy("doc", "made", "mark", "first").agg(F.collect_set(F.struct("begin", "end")).alias("at"), F.min_by("end", "begin").alias("own"))
+    gone = F.when(F.col("doc") > F.col("first"), F.col("at")).otherwise(F.filter("at", lambda w: w["begin"] > F.col("own")))
+    lost = own.select("doc", "made", gone.alias("gone")).where(F.size("gone") > 0).groupBy("doc", "made").agg(F.flatten(F.collect_list("gone")).alias("spans"))
+    out = scratch.save(lost, "lost")
+    scratch.drop("marks", "several", "places", "sure")
+    return out
 
 
 def dedup_lines(docs: DataFrame, scratch: Scratch) -> DataFrame:
@@ -77,31 +84,17 @@ def dedup_lines(docs: DataFrame, scratch: Scratch) -> DataFrame:
     whatever their names, but for one named n_removed, which is replaced. Null texts stay null with
     0 removed. Rows are told apart by doc_id: repeated rows with the same doc_id and text keep or
     lose the same lines; a null doc_id counts as the least. Blank lines go only between lines of a
-    passage. An empty table gives an empty result.
+    passage. An empty table gives an empty result. The cost of a text grows with its lines, not with their square.
     """
     keep = [c for c in docs.columns if c != "n_removed"]
-    id_, lost, lines, found, gone, left = unused(docs, "doc", "marks", "lines", "found", "gone", "left")
-    doc = F.coalesce(F.col("doc_id").cast("long"), F.lit(-(1 << 63)))
-    marks = repeated(docs.select(doc.alias("doc"), "text"), scratch).withColumnsRenamed({"doc": id_, "marks": lost})
-    rows = docs.select(*quoted(*keep), doc.alias(id_)).join(marks, id_, "left").withColumn(lines, F.split("text", "\n"))
-
-    def before(w: Column) -> Column:
-        """Whether the first window of w's mark in its own text has the same bytes and ends before w begins."""
-        body = lambda x: F.slice(lines, x["begin"] + 1, x["end"] - x["begin"] + 1)
-        first = F.get(F.col(found), (F.array_position(F.transform(found, lambda x: x["mark"]), w["mark"]) - 1).cast("int"))
-        return (first["end"] < w["begin"]) & (body(first) == body(w))
-
-    # most texts repeat no line of their own but empty ones
-    repeats = let(F.array_remove(lines, ""), lambda x: F.size(F.array_distinct(x)) < F.size(x))
-    all_ = F.when(F.col(lost).isNotNull() | repeats, windows(F.col(lines)))
-    rows = rows.withColumn(found, all_)
-    none = F.filter(found, lambda w: F.lit(False))
-    elsewhere = F.when(F.col(lost).isNotNull(), F.filter(found, lambda w: F.array_contains(lost, w["mark"]))).otherwise(none)
-    twice = F.size(F.array_distinct(F.transform(found, lambda w: w["mark"]))) < F.size(found)
-    own = F.when(twice, F.filter(found, before)).otherwise(none)
-    spans = F.transform(F.concat(elsewhere, own), lambda w: F.sequence(w["begin"], w["end"]))
-    rows = rows.withColumn(gone, F.array_distinct(F.flatten(spans)))
-    rows = rows.withColumn(left, F.when(F.size(gone) > 0, F.filter(lines, lambda line, i: ~F.array_contains(gone, i))))
+    id_, made, spans, lines, left = unused(docs, "doc", "made", "spans", "lines", "left")
+    doc, hashed = F.coalesce(F.col("doc_id").cast("long"), F.lit(-(1 << 63))), F.xxhash64("text")
+    lost = repeated(docs.select(doc.alias("doc"), hashed.alias("made"), "text"), scratch).withColumnsRenamed({"doc": id_, "made": made, "spans": spans})
+    rows = docs.select(*quoted(*keep), doc.alias(id_), hashed.alias(made)).join(lost, [id_, made], "left")
+    rows = rows.withColumn(lines, F.when(F.col(spans).isNotNull(), F.split("text", "\n")))
+    gone = F.array_distinct(F.flatten(F.transform(spans, lambda w: F.sequence(w["begin"], w["end"]))))
+    stay = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), gone)
+    rows = rows.withColumn(left, F.when(F.col(lines).isNotNull(), F.transform(stay, lambda i: F.get(lines, i))))
     text = F.when(F.col(left).isNotNull(), F.array_join(left, "\n")).otherwise(F.col("text"))
     removed = F.when(F.col(left).isNotNull(), F.size(lines) - F.size(left)).otherwise(0).cast("long")
     return rows.select(*[(text.alias("text") if c == "text" else quoted(c)[0]) for c in keep], removed.alias("n_removed"))

@@ -1,4 +1,5 @@
 import hashlib
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -146,6 +147,24 @@ def test_mixing(spark, docs):
     assert mixing.repeated(mixing.mix(df, mixing.word_count(F.col("text")), Scratch(spark, "t"))).count() == sum(r.rounds for r in out)
 
 
+def test_lines_of_one_id_with_two_texts(spark):
+    rows = [(1, "a b c\nd e f\ng"), (2, "x\ny\nz"), (2, "q\na b c\nd e f\nr"), (2, "u v\nw w\nmid\nu v\nw w"), (2, "q\na b c\nd e f\nr")]
+    got = sorted((r.doc_id, r.text, r.n_removed) for r in line_dedup.dedup_lines(spark.createDataFrame(rows, "doc_id long, text string"), Scratch(spark, "t")).collect())
+    assert got == [(1, "a b c\nd e f\ng", 0), (2, "q\nr", 2), (2, "q\nr", 2), (2, "u v\nw w\nmid", 2), (2, "x\ny\nz", 0)]
+
+
+def test_texts_of_very_many_lines(spark):
+    n = 160_000
+    text = "\n".join(f"line {k}" for k in range(n))
+    rows = [(1, text), (2, text), (3, "\n".join(["same here", "and here"] * 50_000)), (4, "own\n" + text + "\nend")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    begun = time.monotonic()
+    got = {r.doc_id: (r.text, r.n_removed) for r in line_dedup.dedup_lines(df, Scratch(spark, "t")).collect()}
+    assert time.monotonic() - begun < 90
+    assert got[1] == (text, 0) and got[2] == ("", n) and got[4] == ("own\nend", n)
+    assert got[3] == ("same here\nand here", 99_998)
+
+
 def test_license_scan(spark, docs):
     out = {(r.doc_id, (r.text or "")[:3]): r for r in licenses.scan(docs.withColumn("score", F.lit("clash"))).collect()}
     r = out[7, "All"]
