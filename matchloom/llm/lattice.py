@@ -7,7 +7,8 @@ that it nearly fell into. Crowded cells are compared in blocks.
 Most vectors that meet do so by chance. Ids and ``BITS`` signs of random projections of the centred
 vector travel first; only vectors whose signs leave a partner possible follow into the block, where
 their cosine is verified in double precision. The number of signs that may differ follows from the
-distance that the limit allows, so it holds for any centre; it costs about one link in ten thousand.
+distance that the limit allows, so it holds for any centre; it costs about one link in ten thousand,
+and none where ``margin`` is None.
 A pair may meet in several cells; it counts in the first of them, which either task finds out from
 the two vectors alone, so links are counted without a list of pairs. What leaves a block is a count
 and one link to a root for each vector.
@@ -102,19 +103,21 @@ def signs(unit: np.ndarray, centre: np.ndarray | None) -> tuple[np.ndarray, np.n
 
 
 @lru_cache(maxsize=8)
-def _widest() -> np.ndarray:
+def _widest(margin: float) -> np.ndarray:
     """For each number of differing signs the cosine of the least angle (seen from the centre) that it speaks for."""
     share = np.linspace(0, 1, 20_001)
-    most = BITS * share + MARGIN * np.sqrt(BITS * share * (1 - share)) + 0.5
+    most = BITS * share + margin * np.sqrt(BITS * share * (1 - share)) + 0.5
     at = np.searchsorted(np.maximum.accumulate(most), np.arange(BITS + 1))
     return np.cos(math.pi * share[np.minimum(at, len(share) - 1)])
 
 
-def may_link(x: np.ndarray, y: np.ndarray, rx: np.ndarray, ry: np.ndarray, limit: float) -> np.ndarray:
-    """Whether signs x, y at distances rx, ry from the centre may belong to vectors with a cosine of ``limit``."""
+def may_link(x: np.ndarray, y: np.ndarray, rx: np.ndarray, ry: np.ndarray, limit: float, margin: float | None = MARGIN) -> np.ndarray:
+    """Whether signs x, y at distances rx, ry from the centre may belong to vectors with a cosine of ``limit``; always so without a margin."""
+    if margin is None:
+        return np.ones(len(x), bool)
     differ = np.bitwise_count((x ^ y).view(np.uint64))
     apart = 2 * (1 - limit) + 1e-3  # squared distance of unit vectors, and what single precision may add
-    return rx * rx + ry * ry - apart <= 2 * rx * ry * _widest()[differ]
+    return rx * rx + ry * ry - apart <= 2 * rx * ry * _widest(margin)[differ]
 
 
 def centres(vectors: DataFrame) -> dict[int, np.ndarray]:
@@ -158,7 +161,7 @@ def deal(vectors: DataFrame, centre: dict[int, np.ndarray]) -> DataFrame:
     return vectors.select("node", "vector").mapInArrow(run, "tab int, cell long, probe int, node long, bits long, radius float")
 
 
-def possible(dealt: DataFrame, limit: float) -> DataFrame:
+def possible(dealt: DataFrame, limit: float, margin: float | None = MARGIN) -> DataFrame:
     """Rows of ``dealt`` (tasks, probe, node, side, signs) that may link with another row of their task, one of them living there."""
 
     def flagged(rows: pa.Table) -> pa.Table:
@@ -173,7 +176,7 @@ def possible(dealt: DataFrame, limit: float) -> DataFrame:
             if not len(i):
                 return rows.filter(pa.array(hit))
             j = i + s
-            near = may_link(col["bits"][i], col["bits"][j], radius[i], radius[j], limit)
+            near = may_link(col["bits"][i], col["bits"][j], radius[i], radius[j], limit, margin)
             x, y = i[near], j[near]
             fine = ((col["probe"][x] == 0) | (col["probe"][y] == 0)) & (col["node"][x] != col["node"][y])
             fine &= (col["b0"][x] == col["b1"][x]) | (col["side"][x] != col["side"][y])
@@ -213,7 +216,7 @@ def _whole_tasks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
         yield held
 
 
-def links(vectors: DataFrame, scratch: Scratch, limit: float = LIMIT) -> DataFrame:
+def links(vectors: DataFrame, scratch: Scratch, limit: float = LIMIT, margin: float | None = MARGIN) -> DataFrame:
     """(node, n, root): links of ``node`` counted in some block, and a vector that it is linked with there.
 
     Cells are dealt out by ids and signs; only where these leave a link possible do the vectors follow.
@@ -227,7 +230,7 @@ def links(vectors: DataFrame, scratch: Scratch, limit: float = LIMIT) -> DataFra
     other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
     paired = placed.withColumn("other", other).select(*key, "probe", "node", "bits", "radius", F.least("mine", "other").alias("b0"), F.greatest("mine", "other").alias("b1"), (F.col("mine") > F.col("other")).cast("int").alias("side"))
     ordered = lambda df: df.repartition(*TASK).sortWithinPartitions(*TASK, "node", "probe")
-    near = scratch.save(possible(ordered(paired), limit), "possible")
+    near = scratch.save(possible(ordered(paired), limit, margin), "possible")
     scratch.drop("cells")
     dealt_out = ordered(near.join(vectors.select("node", "copies", "vector"), "node"))
 
@@ -328,7 +331,7 @@ def _met_before(unit: np.ndarray, i: np.ndarray, j: np.ndarray, table: int, prob
     return met
 
 
-def near_vectors(vectors: DataFrame, scratch: Scratch, limit: float = LIMIT, vector: str = "embedding") -> DataFrame:
+def near_vectors(vectors: DataFrame, scratch: Scratch, limit: float = LIMIT, vector: str = "embedding", margin: float | None = MARGIN) -> DataFrame:
     """(vec_id, n_links, component_id, kept) of every row of vectors; needs vec_id and ``vector``.
 
     n_links: other rows with a cosine of at least ``limit``, equal vectors included; component_id:
@@ -336,6 +339,8 @@ def near_vectors(vectors: DataFrame, scratch: Scratch, limit: float = LIMIT, vec
     vector that is null, empty, zero or has null or non-finite components links with nothing. All
     vectors of one length are compared among themselves. Repeated ids are rows of their own; a
     null vec_id counts as the least and is given back as null. An empty table gives an empty result.
+    ``margin``: by how many deviations more signs than expected may differ in a pair whose cosine is looked
+    at; None looks at every pair that meets in a cell, so that signs lose nothing.
     """
     least = -(1 << 63)
     v = F.transform(vector, lambda x: x.cast("double"))
@@ -348,7 +353,7 @@ def near_vectors(vectors: DataFrame, scratch: Scratch, limit: float = LIMIT, vec
     same = rows.where("vector is not null").groupBy("mark", "vector").agg(F.min("vec_id").alias("node"), F.count("*").alias("copies"))
     same = scratch.save(same, "distinct")
     named = lambda c: F.nullif(F.col(c), F.lit(least))
-    found = links(same, scratch, limit)
+    found = links(same, scratch, limit, margin)
     found = scratch.save(found, "links")
     scratch.drop("possible")
     joined = connected_components(found.select(F.col("node").alias("a"), F.col("root").alias("b")), scratch, "cc")
