@@ -52,7 +52,7 @@ class Blocking:
     s1: DataFrame
     found: DataFrame
     unique: DataFrame
-    store: RunStore
+    store: RunStore | None = None
 
 
 def block(s1: DataFrame, s2: DataFrame, s3: DataFrame, config: Config = Config(), store: RunStore | None = None) -> Blocking:
