@@ -12,7 +12,7 @@ import pyarrow.compute as pc
 #: signs that a word can end with; after a letter, the tokenizer keeps a run of them together
 SIGNS = ".,;:!?#%&*$|()\"-"
 #: words encoded at once, bytes of text looked at together
-AT_ONCE, TOGETHER = 500, 16 << 20
+AT_ONCE, TOGETHER = 500, 8 << 20
 END = 1
 #: letters that stand for themselves in normal form and have one lower case, the library's
 LETTERS = "^[A-Za-zª-ºµÀ-ÖØ-öø-įı-ſ]+"

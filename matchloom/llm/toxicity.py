@@ -191,7 +191,7 @@ def score(docs: DataFrame, model: Severity, reject: float = REJECT) -> DataFrame
         for batch in batches:
             scores = []
             for text in batch.column(at).to_pylist():
-                if len(cache) > 300_000:
+                if len(cache) > 100_000:
                     cache.clear()
                 scores.append(total(distinct_words(text)))
             p = m.chances(np.array(scores, float))
