@@ -90,6 +90,7 @@ class Scratch:
                 raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
             base = _own_folder()
         self.spark, self.base = spark, f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+        self.cataloged: dict[str, str] = {}
 
     def path(self, name: str) -> str:
         return f"{self.base}/{name}"
@@ -99,8 +100,12 @@ class Scratch:
         return self.spark.read.schema(df.schema).parquet(self.path(name))
 
     def save_by(self, df: DataFrame, key: str, name: str) -> DataFrame:
-        """A table in as many buckets of ``key`` as a shuffle has partitions: joins by the key don't move it again."""
+        """A table in as many buckets of ``key`` as a shuffle has partitions: joins by the key don't move it again.
+
+        Spark keeps buckets for tables of the catalog only; ``drop`` takes the entry away with the files.
+        """
         table_name, count = f"{name}_{uuid.uuid4().hex}", partitions(self.spark)
+        self.cataloged[name] = table_name
         df.repartition(count, key).write.bucketBy(count, key).sortBy(key).option("path", self.path(name)).saveAsTable(table_name)
         return self.spark.table(table_name)
 
@@ -108,6 +113,8 @@ class Scratch:
         """Delete tables that no later plan reads."""
         jvm = self.spark.sparkContext._jvm
         for name in names:
+            if name in self.cataloged:
+                self.spark.sql(f"DROP TABLE IF EXISTS {self.cataloged.pop(name)}")
             path = jvm.org.apache.hadoop.fs.Path(self.path(name))
             path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 

@@ -3,9 +3,11 @@
 Every line with words is hashed, and a rolling hash of two neighbours runs over the line hashes. A
 boundary stands between two neighbours whose rolling hash occurs nowhere before, in no earlier
 document and at no earlier place of the same text; it depends on these two lines alone, so it does
-not shift with what is put before them. The chunks between boundaries that have two lines or more
-are the passages that stood somewhere before, from their first line to their last. (Boundaries at
-hashes of a fixed remainder would leave the ends of most passages, and short passages as a whole.)
+not shift with what is put before them. A chunk between boundaries that has two lines or more is
+covered by windows of two lines that each stood somewhere before: a repeated passage, from its first
+line to its last, or several that overlap (after "A B" and "B C", all of "A B C" goes).
+(Boundaries at hashes of a fixed remainder would leave the ends of most passages, and short passages
+as a whole.)
 A line of more than ``LONG`` words is a chunk by itself.
 
 Rolling hashes are counted over the corpus; the texts of those that repeat are then compared by

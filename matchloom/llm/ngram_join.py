@@ -454,6 +454,7 @@ def links(docs: DataFrame, common: np.ndarray, scratch: Scratch) -> DataFrame:
         star = scratch.save(more.select("center", F.when(F.col("center") == F.col("a"), F.col("b")).otherwise(F.col("a")).alias("node")), f"pairs-{step}")
         done = done.unionByName(star)
         cap *= MORE
+    scratch.drop("sets", "posts", *[f"{t}-{k}" for k in range(step) for t in ("pairs", "links", "lost")], f"lost-{step}")
     return joined
 
 

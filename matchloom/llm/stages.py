@@ -43,16 +43,16 @@ def ngram_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     Rows of one id and text are one document, of which one row stays (the least by a hash of all
     its columns); rows of one id with different texts are judged each by its text. Rows without words all stay.
     """
-    key, turn = unused(docs, "key", "turn")
+    key, other, turn = unused(docs, "key", "other", "turn")
     worded = F.coalesce(F.regexp_like(F.col("text"), F.lit(join.HAS_WORDS)), F.lit(False))
-    mine = docs.where(worded).withColumn(key, F.xxhash64("doc_id", "text"))
+    mine = docs.where(worded).withColumn(key, F.xxhash64("doc_id", "text")).withColumn(other, F.xxhash64("text", "doc_id"))
     scratch = Scratch(spark, "join")
     groups = scratch.save(join.components(mine.select(F.col(key).alias("doc_id"), "text"), scratch).distinct(), "groups")
     ids = mine.select(F.col(key).alias("key"), "doc_id").distinct().join(groups.withColumnRenamed("doc_id", "key"), "key")
     best = ids.groupBy("component_id").agg(F.min(F.struct(F.col("doc_id").isNotNull().alias("named"), "doc_id", "key")).alias("best"))
     keep = scratch.save(best.select(F.col("best.key").alias(key)), "keep")
-    # equal rows have equal hashes, so which of them stays does not matter
-    one = F.row_number().over(Window.partitionBy(key).orderBy(F.xxhash64(*quoted(*docs.columns))))
+    # equal rows have equal hashes, so which of them stays does not matter; documents that share a key by chance differ in the other hash
+    one = F.row_number().over(Window.partitionBy(key, other).orderBy(F.xxhash64(*quoted(*docs.columns))))
     kept = mine.join(keep, key, "left_semi").withColumn(turn, one).where(F.col(turn) == 1)
     return kept.select(*quoted(*docs.columns)).unionByName(docs.where(~worded))
 

@@ -1,4 +1,5 @@
 import hashlib
+import random
 import time
 
 import pytest
@@ -147,6 +148,20 @@ def test_mixing(spark, docs):
     assert mixing.repeated(mixing.mix(df, mixing.word_count(F.col("text")), Scratch(spark, "t"))).count() == sum(r.rounds for r in out)
 
 
+def test_taken_words_come_near_their_target(spark):
+    rng = random.Random(5)
+    rows = [(k, "w " * rng.randrange(1, 60), rng.choice("aaaabcd") if k % 11 else None) for k in range(3000)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    out = mixing.mix(df, mixing.word_count(F.col("text")), Scratch(spark, "t")).collect()
+    taken = {}
+    for r in out:
+        taken[r.source, r.target] = taken.get((r.source, r.target), 0) + r.size * r.rounds
+    assert len(taken) == 5
+    for (_, target), words in taken.items():
+        assert abs(words - target) <= 0.01 * target + 120
+    assert all(r.rounds <= 3 for r in out)
+
+
 def test_lines_of_one_id_with_two_texts(spark):
     rows = [(1, "a b c\nd e f\ng"), (2, "x\ny\nz"), (2, "q\na b c\nd e f\nr"), (2, "u v\nw w\nmid\nu v\nw w"), (2, "q\na b c\nd e f\nr")]
     got = sorted((r.doc_id, r.text, r.n_removed) for r in line_dedup.dedup_lines(spark.createDataFrame(rows, "doc_id long, text string"), Scratch(spark, "t")).collect())

@@ -4,6 +4,7 @@ import time
 import zlib
 
 import numpy as np
+import pyarrow.parquet as pq
 import pytest
 import tokenizers
 from pyspark.sql import functions as F
@@ -61,6 +62,7 @@ def test_ngram_join(spark):
     df = spark.createDataFrame([(*r, 0) for r in rows], "doc_id long, text string, node int")
     got = ngram_join.components(df, Scratch(spark, "t")).collect()
     assert sorted(map(tuple, got)) == brute_components(rows)
+    assert not [t.name for t in spark.catalog.listTables() if t.name.startswith("sets_")]
 
 
 def test_ngram_join_of_nothing(spark):
@@ -229,6 +231,31 @@ def test_token_files(spark):
     assert token_io.read_tokens(spark, folder + "-none").collect() == []
 
 
+def test_layout_of_token_files(spark, tmp_path):
+    rng = random.Random(4)
+    df = spark.createDataFrame([(k, " ".join(rng.choice(WORDS) for _ in range(400))) for k in range(4000)], "doc_id long, text string")
+    token_io.write_tokens(df, str(tmp_path / "t"))
+    files = sorted((tmp_path / "t" / "tokens").glob("*.parquet"))
+    for f in files:
+        meta = pq.read_metadata(f)
+        for g in range(meta.num_row_groups):
+            group = meta.row_group(g)
+            columns = {group.column(c).path_in_schema.split(".")[0]: group.column(c) for c in range(group.num_columns)}
+            assert group.total_byte_size <= 40 << 20
+            assert all(c.compression == "ZSTD" and c.has_offset_index and (c.has_column_index or n == "tokens") for n, c in columns.items())
+            assert "DELTA_BINARY_PACKED" in columns["doc_id"].encodings
+            assert {"RLE_DICTIONARY", "PLAIN_DICTIONARY", "DELTA_BINARY_PACKED"} & set(columns["tokens"].encodings)
+            # a reader of everything but the ids leaves nearly all bytes alone
+            light = sum(c.total_compressed_size for n, c in columns.items() if n != "tokens")
+            assert light * 10 < columns["tokens"].total_compressed_size
+    # ids of one file overlap no other's, so a reader of some documents leaves the other files alone
+    spans = sorted((min(ids), max(ids)) for ids in (pq.read_table(f, columns=["doc_id"])["doc_id"].to_pylist() for f in files) if ids)
+    assert all(a[1] < b[0] for a, b in zip(spans, spans[1:]))
+    some = spark.read.parquet(str(tmp_path / "t" / "tokens")).where("doc_id between 100 and 120").select("doc_id", "tokens")
+    plan = some._jdf.queryExecution().explainString(spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted"))
+    assert "GreaterThanOrEqual(doc_id,100)" in plan and some.count() == 21
+
+
 def test_packing(spark):
     rows = [(k, sentence(rng.choice([1, 5, 60, 300])) if k % 11 else None) for k in range(150)] + [(7, "x"), (None, "y"), (999, "word " * 9000)]
     df = spark.createDataFrame(rows, "doc_id long, text string")
