@@ -12,7 +12,7 @@ import pyarrow.compute as pc
 #: signs that a word can end with; after a letter, the tokenizer keeps a run of them together
 SIGNS = ".,;:!?#%&*$|()\"-"
 #: words encoded at once, bytes of text looked at together
-AT_ONCE, TOGETHER = 500, 8 << 20
+AT_ONCE, TOGETHER = 500, 2 << 20
 END = 1
 #: letters that stand for themselves in normal form and have one lower case, the library's
 LETTERS = "^[A-Za-zª-ºµÀ-ÖØ-öø-įı-ſ]+"
@@ -98,12 +98,16 @@ class WordTokenizer:
         return out, ends
 
     def batches(self, texts: pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-        """(first text, ids, ends) of consecutive texts of some megabytes, so that memory stays bounded."""
+        """(first text, ids, ends) of consecutive texts of some megabytes, so that memory stays bounded.
+
+        Workers outlive their tasks, so what Arrow has set by goes back to the system after each array of texts.
+        """
         sizes = np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False)) // TOGETHER
         cuts = [0, *(np.flatnonzero(np.diff(sizes)) + 1).tolist(), len(texts)]
         for a, b in zip(cuts, cuts[1:]):
             if b > a:
                 yield a, *self.ids(texts.slice(a, b - a))
+        pa.default_memory_pool().release_unused()
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """The ids of each text, as little-endian unsigned 32-bit integers."""
