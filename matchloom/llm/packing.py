@@ -16,6 +16,7 @@ wide; pieces find their places in it by their rank among those of their length.
 
 from __future__ import annotations
 
+from bisect import bisect_left, insort
 from collections.abc import Iterator
 from zlib import crc32
 
@@ -85,15 +86,29 @@ def dual_prices(demand: np.ndarray, capacity: int) -> tuple[np.ndarray, float]:
     return price, bound
 
 
-def configuration(length: int, price: np.ndarray, best: np.ndarray, there: np.ndarray) -> dict[int, int]:
-    """The best sequence with ``length`` that lengths with pieces ``there`` give, by the prices of rooms; longer lengths first."""
+def _longest_best(room: int, price: np.ndarray, best: np.ndarray, held: np.ndarray) -> int:
+    """The length within ``room`` that leaves the most to its price and the room beside it, the longest of equal ones; 0 for none."""
+    worth = np.where(held[1 : room + 1] > 0, best[room - 1 :: -1][:room] + price[1 : room + 1], -1.0)
+    one = room - int(worth[::-1].argmax())
+    return one if worth[one - 1] >= 0 else 0
+
+
+def configuration(length: int, price: np.ndarray, best: np.ndarray, there: np.ndarray, known: dict[int, int] | None = None) -> dict[int, int]:
+    """The best sequence with ``length`` that lengths with pieces ``there`` give, by the prices of rooms; longer lengths first.
+
+    ``known`` keeps the best length of each room between calls with the same prices and pieces that only get
+    fewer: as long as it is there, no other need be looked for.
+    """
     counts, room = {length: 1}, len(best) - 1 - length
-    held = there.copy()
+    held, known = there.copy(), {} if known is None else known
     held[length] -= 1
     while room > 0:
-        worth = np.where(held[1 : room + 1] > 0, best[room - 1 :: -1][:room] + price[1 : room + 1], -1.0)
-        one = room - int(worth[::-1].argmax())
-        if worth[one - 1] < 0:
+        one = known.get(room)
+        if one is None or one and there[one] <= 0:
+            one = known[room] = _longest_best(room, price, best, there)
+        if one and held[one] <= 0:
+            one = _longest_best(room, price, best, held)
+        if not one:
             break
         counts[one] = counts.get(one, 0) + 1
         held[one] -= 1
@@ -118,10 +133,12 @@ def program(histogram: np.ndarray, capacity: int = CAPACITY, start: np.ndarray |
         best = knapsack(price, capacity)
         bound = max(bound, int(np.ceil((demand * price).sum() / best[capacity] * (1 - 1e-9))))
         quota = np.minimum(left, np.ceil(SHARE * demand).astype(np.int64))
-        found = []
-        for length in np.flatnonzero(open_)[::-1].tolist():
+        found, known = [], {}
+        # no sequence with a length holds more than its price and the best of the room that it leaves
+        near = price + best[::-1] >= (1 - NEAR) * best[capacity] * (1 - 1e-9)
+        for length in np.flatnonzero(open_ & near)[::-1].tolist():
             while quota[length]:
-                counts = configuration(length, price, best, quota)
+                counts = configuration(length, price, best, quota, known)
                 if sum(c * price[k] for k, c in counts.items()) < (1 - NEAR) * best[capacity]:
                     break
                 n = min(int(quota[k]) // c for k, c in counts.items())
@@ -166,6 +183,7 @@ def _lay(histogram: np.ndarray, chosen: list[tuple[dict[int, int], int]], capaci
     used = np.zeros_like(left)
     runs: list[tuple[int, int, int, int, int]] = []
     open_bins: dict[int, list[tuple[int, int]]] = {}  # room: [(first sequence, sequences)]
+    rooms: list[int] = []  # keys of open_bins, in order
     sequences = 0
 
     def put(length: int, n: int, first: int, room: int) -> None:
@@ -173,6 +191,12 @@ def _lay(histogram: np.ndarray, chosen: list[tuple[dict[int, int], int]], capaci
         used[length] += n
         left[length] -= n
 
+    def leave(room: int, first: int, n: int) -> None:
+        if room not in open_bins:
+            open_bins[room] = []
+            insort(rooms, room)
+        open_bins[room].append((first, n))
+
     for counts, n in chosen:
         room = capacity
         for length, c in counts.items():
@@ -180,27 +204,28 @@ def _lay(histogram: np.ndarray, chosen: list[tuple[dict[int, int], int]], capaci
                 put(length, n, sequences, room)
                 room -= length
         if room:
-            open_bins.setdefault(room, []).append((sequences, n))
+            leave(room, sequences, n)
         sequences += n
     for length in range(capacity, 0, -1):
         while left[length]:
-            room = next((r for r in range(length, capacity) if open_bins.get(r)), None) if open_bins else None
-            if room is None:
+            at = bisect_left(rooms, length)
+            room = rooms[at] if at < len(rooms) else capacity
+            if room == capacity:
                 k = int(left[length])
                 first, per = sequences, capacity // length
                 many = k if per == 1 else -(-k // per)
                 sequences += many
-                bins, room = (first, many), capacity
+                bins = (first, many)
             else:
                 bins = open_bins[room].pop()
                 if not open_bins[room]:
-                    del open_bins[room]
+                    del open_bins[room], rooms[at]
             first, many = bins
             k = min(many, int(left[length]))
             put(length, k, first, room)
             if k < many:
-                open_bins.setdefault(room, []).append((first + k, many - k))
-            open_bins.setdefault(room - length, []).append((first, k))
+                leave(room, first + k, many - k)
+            leave(room - length, first, k)
     kept = np.array(runs, np.int64).reshape(-1, 5)
     return kept, sequences - sum(n for _, n in open_bins.get(capacity, []))
 

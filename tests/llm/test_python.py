@@ -287,6 +287,18 @@ def test_knapsack_against_brute_force():
             assert best[room] == pytest.approx(exact)
 
 
+def test_rooms_are_looked_through_once(monkeypatch):
+    """The plan is that of a search for every room of every sequence, with a small part of its searches."""
+    looks, plain, kept = [], packing._longest_best, packing.configuration
+    monkeypatch.setattr(packing, "_longest_best", lambda *a: looks.append(1) or plain(*a))
+    histogram = np.bincount(np.minimum(np.random.default_rng(3).lognormal(5, 0.6, 20_000).astype(int) + 1, 900), minlength=901)
+    found = packing.plan(histogram, 900)
+    few, looks[:] = len(looks), []
+    monkeypatch.setattr(packing, "configuration", lambda length, price, best, there, known=None: kept(length, price, best, there))
+    again = packing.plan(histogram, 900)
+    assert (found[0] == again[0]).all() and found[1:] == again[1:] and 3 * few < len(looks)
+
+
 def _multisets(lengths, room, size=16):
     if not len(lengths):
         return [np.zeros(size, int)]
