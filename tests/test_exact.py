@@ -46,6 +46,17 @@ def test_recall_without_candidates(spark, made, cap):
     assert plain(union) == plain(evaluate.recall_union(truth, found).select(*union.columns))
 
 
+@pytest.mark.parametrize("cap", [4, 1000])
+def test_recall_of_classes(spark, made, cap):
+    """Classes of ids tell what their pairs tell, also of ids with several rows."""
+    config, plain = Config(block_cap=cap), lambda df: sorted(tuple(r) for r in df.collect())
+    askers = spark.createDataFrame([(f"a{k}", f"{k % 4}") for k in range(12)] + [("nobody", "1")], "source1_entity_id string, class string")
+    members = spark.createDataFrame([(f"{s}{k}", p, f"{k % 4}") for k in range(9) for s, p in (("b", "s1_s2"), ("c", "s1_s3"))] + [("x", "s1_s3", "2")], "candidate_entity_id string, source_pair string, class string")
+    truth = askers.join(members, "class").drop("class")
+    for got, want in zip(blocking.exact_recall_of_classes(askers, members, *made, config), blocking.exact_recall(truth, *made, config)):
+        assert plain(got) == plain(want)
+
+
 @pytest.mark.parametrize("name", ["candidates_dedup", "candidates_dedup_v1", "count_distribution", "unresolved_s1", "recall_union"])
 def test_pairs_stay_in_their_task(spark, name):
     """Where ids stand on one row each, no pair is sent anywhere to find its copies."""
