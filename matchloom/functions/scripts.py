@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import re
 import unicodedata
+from collections.abc import Callable
 from functools import lru_cache
 
 import pyarrow as pa
@@ -28,17 +29,34 @@ def detect_script(text: Column) -> Column:
     A second script of up to two characters doesn't count, nor one of up to five beside nine tenths.
     Characters are counted only where a text has Indic ones at all; else Latin ones tell all.
     """
+    # as the variable of a lambda, a text that has to be made is made once
+    return F.get(F.transform(F.array(text), lambda t: _script(t)), F.lit(0))
+
+
+def _script(text: Column, dominant: Callable[[Column], Column] | None = None) -> Column:
     indic = F.regexp_like(text, F.lit(f"[\\x{{{min(INDIC.values()):04X}}}-\\x{{{max(INDIC.values()) + 0x7F:04X}}}]"))
     empty = text.isNull() | ~F.regexp_like(text, F.lit("(?U)[^\\s\\x1c-\\x1f]"))
-    return F.when(empty, "Empty").when(indic, _dominant(text)).when(F.regexp_like(text, F.lit(PATTERNS["Latin"])), "Latin").otherwise("Other")
+    return F.when(empty, "Empty").when(indic, (dominant or _dominant)(text)).when(F.regexp_like(text, F.lit(PATTERNS["Latin"])), "Latin").otherwise("Other")
+
+
+def _count(text: Column, pattern: str) -> Column:
+    """Characters that match; whole runs go at once, and no list of matches is made."""
+    return F.char_length(text) - F.char_length(F.regexp_replace(text, F.lit(f"{pattern}+"), F.lit("")))
 
 
 def _dominant(text: Column) -> Column:
-    seen = F.filter(
-        F.array(*[F.struct((-F.regexp_count(text, F.lit(p))).alias("n"), F.regexp_instr(text, F.lit(f"({p})"), 0).alias("first"), F.lit(s).alias("script")) for s, p in PATTERNS.items()]),
-        lambda x: x["n"] < 0,
-    )
-    ranked = F.sort_array(seen)
+    # the scripts' own characters are few, so the text is not gone through for each script
+    own = F.regexp_replace(text, F.lit(f"[^\\x{{{min(INDIC.values()):04X}}}-\\x{{{max(INDIC.values()) + 0x7F:04X}}}]+"), F.lit(""))
+    counts = F.get(F.transform(F.array(own), lambda x: F.array(*[_count(x, p) for s, p in PATTERNS.items() if s != "Latin"])), F.lit(0))
+    found = F.array_append(counts, _count(text, PATTERNS["Latin"]))
+    firsts = {s: F.regexp_instr(text, F.lit(f"({p})"), 0) for s, p in PATTERNS.items()}
+    ordered = [*INDIC, "Latin"]
+    told = lambda ns: F.array(*[F.struct((-F.get(ns, F.lit(j))).alias("n"), F.when(F.get(ns, F.lit(j)) > 0, firsts[s]).alias("first"), F.lit(s).alias("script")) for j, s in enumerate(ordered)])
+    seen = F.filter(F.get(F.transform(F.array(found), told), F.lit(0)), lambda x: x["n"] < 0)
+    return F.get(F.transform(F.array(F.sort_array(seen)), _first_of), F.lit(0))
+
+
+def _first_of(ranked: Column) -> Column:
     first, second = F.get(ranked, F.lit(0)), F.get(ranked, F.lit(1))
     total = F.aggregate(ranked, F.lit(0), lambda a, x: a - x["n"])
     return (
@@ -50,6 +68,15 @@ def _dominant(text: Column) -> Column:
     )
 
 
+def _dominant_flat(text: Column) -> Column:
+    """The same without nested lambdas, which Spark can't take out of the argument of a Python function."""
+    seen = F.filter(
+        F.array(*[F.struct((-F.regexp_count(text, F.lit(p))).alias("n"), F.regexp_instr(text, F.lit(f"({p})"), 0).alias("first"), F.lit(s).alias("script")) for s, p in PATTERNS.items()]),
+        lambda x: x["n"] < 0,
+    )
+    return _first_of(F.sort_array(seen))
+
+
 def char_script(ch: str) -> str | None:
     """Indic blocks first, then no script for marks, then Latin by the character's name."""
     code = ord(ch)
@@ -125,9 +152,12 @@ def _romanized():
     return F.arrow_udf(run, StringType())
 
 
-def transliterate(text: Column) -> Column:
-    """Texts in an Indic script as a whole, the Indic runs of mixed ones; all others unchanged, and never sent to Python."""
+def transliterate(text: Column, script: Column | None = None) -> Column:
+    """Texts in an Indic script as a whole, the Indic runs of mixed ones; all others unchanged, and never sent to Python.
+
+    script: what ``detect_script`` gave for the text, if it is there already.
+    """
     _ready()
-    script = detect_script(text)
+    script = _script(text, _dominant_flat) if script is None else script
     indic = script.isin(*sorted(ROMANIZED), "Mixed")
     return F.coalesce(_romanized()(F.when(indic, text), F.when(indic, script)), text)

@@ -123,3 +123,12 @@ def test_address_columns_of_any_name(spark):
     assert all(row[c] == c for c in names) and row.address == "12 main street, pune" and row.address_city == "pune"
     own = addresses.with_address(df.withColumnsRenamed({"address": "_p2"}).drop("_p").withColumnsRenamed({"_p2": "_p"}), "_p", "country").first()
     assert own._p == "12 main street, pune" and own.address_street == "main street"
+
+
+def test_scripts_are_told_in_few_passes(spark):
+    """No list of a text's letters is made, and a script that is known is not looked for again."""
+    df = spark.createDataFrame([("abcde कखग " * 500,), ("क" * 6 + "ab" * 3,), ("ab" * 3 + "ক" * 6,), ("ªº कa",)], "t string")
+    told = df.select(detect_script(F.col("t")).alias("s"), transliterate(F.col("t"), F.lit("Latin")).alias("r"), "t")
+    rows = told.collect()
+    assert [r.s for r in rows] == ["Mixed", "Mixed", "Mixed", "Devanagari"] and all(r.r == r.t for r in rows)
+    assert "regexp_count" not in told._jdf.queryExecution().analyzed().toString().lower() and "regexp_extract_all" not in told._jdf.queryExecution().optimizedPlan().toString().lower()
