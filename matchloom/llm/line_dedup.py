@@ -64,7 +64,8 @@ def repeated(docs: DataFrame, scratch: Scratch) -> DataFrame:
     wanted = places.groupBy("doc", "made").agg(F.collect_set(F.struct("mark", "begin", "end")).alias("at"))
     body = lambda x, w: F.array_join(F.slice(x, w["begin"] + 1, w["end"] - w["begin"] + 1), "\n")
     shown = let(lines, lambda x: F.transform("at", lambda w: F.struct(w["mark"].alias("mark"), body(x, w).alias("body"))))
-    bodies = docs.join(wanted, ["doc", "made"]).select("doc", F.inline(shown))
+    # merged at every size: what is few rows of a small corpus is no broadcast for a large one
+    bodies = docs.join(wanted.hint("merge"), ["doc", "made"]).select("doc", F.inline(shown))
     # grouping by the body beside its mark is the comparison of bytes; equal ones meet in each task first
     same = bodies.groupBy("mark", "body").agg(F.min("doc").alias("first"))
     # a mark that two different bodies share (never seen) names no body, so nothing is removed by it
@@ -92,7 +93,7 @@ def dedup_lines(docs: DataFrame, scratch: Scratch) -> DataFrame:
     id_, made, spans, lines, left = unused(docs, "doc", "made", "spans", "lines", "left")
     doc, hashed = F.coalesce(F.col("doc_id").cast("long"), F.lit(-(1 << 63))), F.xxhash64("text")
     lost = repeated(docs.select(doc.alias("doc"), hashed.alias("made"), "text"), scratch).withColumnsRenamed({"doc": id_, "made": made, "spans": spans})
-    rows = docs.select(*quoted(*keep), doc.alias(id_), hashed.alias(made)).join(lost, [id_, made], "left")
+    rows = docs.select(*quoted(*keep), doc.alias(id_), hashed.alias(made)).join(lost.hint("merge"), [id_, made], "left")
     rows = rows.withColumn(lines, F.when(F.col(spans).isNotNull(), F.split("text", "\n")))
     gone = F.array_distinct(F.flatten(F.transform(spans, lambda w: F.sequence(w["begin"], w["end"]))))
     stay = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), gone)
