@@ -77,6 +77,19 @@ def test_blocks_are_not_joined_in_few_tasks(spark):
         assert "REPARTITION_BY_NUM" in met._jdf.queryExecution().executedPlan().toString(), name
 
 
+def test_sizes_of_coded_blocks(spark, made, monkeypatch):
+    """Codes tell as many pairs as keys do, also where keys are merged; no key is in a shuffle after that."""
+    monkeypatch.setattr(blocking, "FEW_KEYS", 0)
+    config, plain = Config(block_cap=3), lambda df: sorted(tuple(r) for r in df.collect())
+    found = blocking.all_exact_blocks(*made, config)
+    unique = blocking.distinct_candidates(found)
+    coded = blocking.Coded(*made, config)
+    assert plain(coded.sizes().select("source_pair", "strategy", "candidate_rows")) == plain(found.groupBy("source_pair", "strategy").count())
+    assert plain(coded.unique_sizes().select("source_pair", "candidate_rows")) == plain(unique.groupBy("source_pair").count())
+    plan = plans.QUERIES["candidates_dedup"](spark, SF)._jdf.queryExecution().executedPlan().toString()
+    assert not re.search(r"Exchange hashpartitioning\([^)]*key", plan) and plan.count("FileScan") == 2
+
+
 def test_lengths_are_not_broadcast(spark):
     """Weights come from one pass over an entity's n-grams; no table as long as the corpus goes through the driver."""
     _, others = plans.sides(spark, SF)
