@@ -25,6 +25,16 @@ def test_measures_taken_while_writing(spark, tmp_path):
     assert none.result() == {"rows": 0}
 
 
+def test_measures_of_rows_that_stand_for_several(spark, tmp_path):
+    df = spark.createDataFrame([("a", 1, 5), ("", 2, 7), (None, 1, 3_000_000_000)], "t string, k int, n long")
+    m = Measures(["t"], {"k": ["1", "3"]}, weight="n")
+    m.on(df).write.parquet(str(tmp_path / "x"))
+    assert m.result() == {"rows": 3_000_000_012, "filled t": 5, "k=1": 3_000_000_005, "k=other": 7}
+    none = Measures(weight="n")
+    none.on(df.where("false")).write.parquet(str(tmp_path / "y"))
+    assert none.result() == {"rows": 0}
+
+
 def test_one_file_has_the_bytes_of_one_task(spark, tmp_path):
     rows = spark.range(5000).select(F.sha2(F.col("id").cast("string"), 256).alias("a key"), F.when(F.col("id") % 7 > 0, F.concat(F.lit('q "x"\t\n'), "id")).alias("b"))
     tables.write_tsv(rows.repartition(7), str(tmp_path / "out"), single=True, order=["a key"])
