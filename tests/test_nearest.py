@@ -104,3 +104,19 @@ def test_most_frequent_ngrams_without_ranking_buckets(spark, limit):
     turn = F.row_number().over(Window.partitionBy(*tfidf.BUCKET).orderBy(F.desc("all_tf"), "gram"))
     want = sorted(map(tuple, found.withColumn("turn", turn).where(F.col("turn") <= limit).drop("turn").collect()))
     assert sorted(map(tuple, tfidf.most_frequent(found, limit).collect())) == want
+
+
+def test_dense_neighbours_in_blocks(spark):
+    """Equal cosines go by id, odd vectors come last and spoil no others, and no row is made for a pair."""
+    vectors = [(i, [float(i % 7), 1.0, float(i % 3)]) for i in range(300)] + [(900, [0.0, 0.0, 0.0]), (901, None), (902, [1.0, None, 2.0]), (903, [1.0, 2.0, 3.0, 4.0][:2])]
+    corpus = spark.createDataFrame(vectors, "id long, v array<float>").repartition(3)
+    found = nearest.dense_top_k(corpus.where("id % 100 = 0"), corpus, 15)
+    got = {}
+    for r in found.orderBy("source1_entity_id", "rank").collect():
+        got.setdefault(r[0], []).append((r[1], r[2]))
+    norm = lambda v: sum(x * x for x in v) ** 0.5
+    for q in (0, 100, 200):
+        cosine = [(i, round(sum(x * y for x, y in zip(vectors[q][1], v)) / (norm(vectors[q][1]) * norm(v)), 6)) for i, v in vectors[:300] if i != q]
+        assert got[q] == sorted(cosine, key=lambda x: (-x[1], x[0]))[:15]
+    assert got[900] == [(i, None) for i in range(15)]
+    assert "Join" not in found._jdf.queryExecution().optimizedPlan().toString()
