@@ -450,7 +450,9 @@ def links(docs: DataFrame, common: np.ndarray, scratch: Scratch) -> DataFrame:
         heads = lost.withColumn("turn", turn).where(F.col("turn") <= cap)
         more = lost.alias("y").join(heads.alias("x"), "token").where("x.component <> y.component").where(_meets("x", "y"))
         more = more.groupBy(F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b")).agg(F.min("x.node").alias("center"))
-        more = more.join(done.select(F.least("center", "node").alias("a"), F.greatest("center", "node").alias("b")), ["a", "b"], "left_anti")
+        # an anti-join would go below the sum, where a pair still has a row for each shingle that it shares
+        known = done.select(F.least("center", "node").alias("a"), F.greatest("center", "node").alias("b"), F.lit(True).alias("known"))
+        more = more.join(known, ["a", "b"], "left").where("known is null")
         star = scratch.save(more.select("center", F.when(F.col("center") == F.col("a"), F.col("b")).otherwise(F.col("a")).alias("node")), f"pairs-{step}")
         done = done.unionByName(star)
         cap *= MORE
