@@ -96,3 +96,32 @@ def test_lengths_are_not_broadcast(spark):
     counts = tfidf.term_counts(others["s1_s2"], Config())
     plan = tfidf.weights(counts, counts.groupBy(*tfidf.BUCKET, "gram").agg(F.lit(1.0).alias("idf")), Config())._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("Join") == 1 and "Window" in plan
+
+
+def _made_by_joins(df):
+    """The most rows that a join of the plan, which has run, made."""
+
+    def walk(node):
+        name = node.getClass().getSimpleName()
+        if "AdaptiveSparkPlan" in name:
+            return walk(node.executedPlan())
+        if "QueryStage" in name:
+            return walk(node.plan())
+        own = node.metrics().apply("numOutputRows").value() if "Join" in name else 0
+        children = node.children()
+        return max([own, *[walk(children.apply(k)) for k in range(children.size())]])
+
+    return walk(df._jdf.queryExecution().executedPlan())
+
+
+@pytest.mark.parametrize("few", [0, 100_000])
+def test_counts_make_no_pairs(spark, monkeypatch, few):
+    """Blocks of n rows on either side have n * n pairs, which overlap; they are counted by rows that grow with n."""
+    monkeypatch.setattr(blocking, "FEW_KEYS", few)
+    names = list(STRATEGIES.values())
+    side = lambda s, n: spark.range(n).select(F.concat(F.lit(s), "id").alias("entity_id"), *[F.when(F.lit(j < 4), F.concat(F.lit(f"k{j}-"), F.col("id") % (1 + j))).otherwise("").alias(c) for j, c in enumerate(names)])
+    s1, others = side("a", 300), {"s1_s2": side("b", 250), "s1_s3": side("c", 200)}
+    counts = blocking.exact_counts(s1, others)
+    assert {r[1] for r in counts.collect()} == {450} and _made_by_joins(counts) <= 16 * 750
+    sizes = blocking.Coded(s1, others).unique_sizes()
+    assert {(r["source_pair"], r["candidate_rows"]) for r in sizes.collect()} == {("s1_s2", 300 * 250), ("s1_s3", 300 * 200)} and _made_by_joins(sizes) <= 16 * 750
