@@ -31,7 +31,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Observation, Window
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from matchloom.llm.common import Scratch, groups
@@ -42,6 +42,8 @@ SHINGLE, COUNTERS, BLOCK, FAN = 5, 1 << 19, 4096, 128
 AT_ONCE, IN_BUCKET, CROWDED, CALM = 1 << 20, 2_000_000, 4, 256
 #: centers of a shingle in the rounds after the first: so many, and as many times more in each
 MORE = 64
+#: centers of a shingle that are sent as one list
+LIST = 512
 LEAST = -(1 << 63)
 #: what a text with words matches
 HAS_WORDS = "[^\\x20\\x09-\\x0D]"
@@ -374,29 +376,58 @@ def trie_links(center: np.ndarray, sets: list[np.ndarray], n: int | None = None,
     return links
 
 
-def verify(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """pairs (center, node) that link; a center's many sets are verified in blocks of their own."""
-    fans = pairs.groupBy("center").agg(F.ceil(F.count("*") / FAN).cast("int").alias("fan"))
-    members = pairs.join(fans, "center").select("center", "node", F.pmod(F.xxhash64("node"), F.col("fan")).cast("int").alias("salt"), F.lit(1).alias("is_member"))
-    heads = fans.select("center", F.col("center").alias("node"), F.explode(F.sequence(F.lit(0), F.col("fan") - 1)).alias("salt"), F.lit(0).alias("is_member"))
-    both = heads.unionByName(members).join(sets, "node").select("center", "salt", "node", "n", "tokens", "is_member")
-    both = both.repartition("center", "salt").sortWithinPartitions("center", "salt", "is_member")
+def verify(lists: DataFrame, sets: DataFrame) -> DataFrame:
+    """pairs (center, node) that link, of ``lists`` (node, part, centers); no pair has a row before it has been verified.
+
+    Sets whose lists begin with the same center are verified in blocks, which hold each center once.
+    """
+    lists = lists.select("node", "centers", F.xxhash64("part", F.array_min("centers")).alias("block"))
+    fans = lists.groupBy("block").agg(F.ceil(F.count("*") / FAN).cast("int").alias("fan"))
+    members = lists.join(fans, "block").select("block", F.pmod(F.xxhash64("node"), F.col("fan")).cast("int").alias("salt"), "node", "centers")
+    heads = members.groupBy("block", "salt").agg(F.array_distinct(F.flatten(F.collect_list("centers"))).alias("centers"))
+    heads = heads.select("block", "salt", F.explode("centers").alias("node"), F.lit(None).cast("array<long>").alias("centers"))
+    both = heads.unionByName(members).join(sets.hint("merge"), "node").select("block", "salt", "node", "n", "tokens", "centers")
+    both = both.repartition("block", "salt").sortWithinPartitions("block", "salt")
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for g in groups(batches, ["center", "salt"]):
-            tokens = [np.asarray(t)[::-1] for t in g["tokens"]]
-            if len(tokens) > 1 and g["is_member"].iloc[0] == 0:
-                n = g["n"].tolist()
-                rows = g.iloc[1:][trie_links(tokens[0], tokens[1:], n[0], n[1:])]
-                yield rows[["center", "node"]]
+        for g in groups(batches, ["block", "salt"]):
+            tokens, n, nodes = [np.asarray(t)[::-1] for t in g["tokens"]], g["n"].tolist(), g["node"].tolist()
+            at, asked = {}, {}
+            for i, centers in enumerate(g["centers"]):
+                if centers is None:
+                    at[nodes[i]] = i
+                else:
+                    for c in centers.tolist():
+                        asked.setdefault(c, []).append(i)
+            found = []
+            for c, rows in asked.items():
+                links = trie_links(tokens[at[c]], [tokens[i] for i in rows], n[at[c]], [n[i] for i in rows])
+                found += [(c, nodes[rows[k]]) for k in np.flatnonzero(links)]
+            yield pd.DataFrame(found, columns=["center", "node"]).astype("int64")
 
     return both.mapInPandas(run, "center long, node long")
 
 
-def _meets(x: str, y: str) -> str:
-    """The least overlap of the two sets is within reach if this shared shingle is their first."""
-    need = f"-floor(-4 * ({x}.n + {y}.n) / 9)"
-    return f"least({x}.n - {x}.at, {y}.n - {y}.at) >= {need}"
+def _meets(x: Column, y: Column) -> Column:
+    """The least overlap of the two sets, given by ``n`` and ``at``, is within reach if this shared shingle is their first."""
+    return F.least(x["n"] - x["at"], y["n"] - y["at"]) >= -F.floor(-4 * (x["n"] + y["n"]) / 9)
+
+
+def _lists(lost: DataFrame, cap: int) -> DataFrame:
+    """(node, part, centers): the first ``cap`` sets of each shingle that a later one of it, in another component, may link with.
+
+    Centers travel as lists of ``LIST`` or so, so that a set has a row for each list and not for each center.
+    """
+    parts = F.pow(F.lit(2), F.ceil(F.log2(F.greatest(F.least("many", F.lit(cap)) / LIST, F.lit(1))))).cast("int")
+    lost = lost.withColumn("parts", parts)
+    of = F.pmod(F.xxhash64("node"), F.col("parts")).cast("int")
+    heads = lost.where(F.col("turn") <= cap).groupBy("token", of.alias("k")).agg(F.collect_list(F.struct("node", "n", "at", "component", "turn")).alias("heads"))
+    rows = lost.select("token", "parts", F.struct("node", "n", "at", "component", "turn").alias("y"), F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("k"))
+    y = F.col("y")
+    near = F.filter("heads", lambda x: (x["turn"] < y["turn"]) & (x["component"] != y["component"]) & _meets(x, y))
+    # arrays of like values take few bytes in a shuffle, so that they look small enough to be broadcast when they are not
+    met = rows.join(heads.hint("merge"), ["token", "k"]).select("y.node", (F.col("parts") + F.col("k")).alias("part"), F.transform(near, lambda x: x["node"]).alias("centers")).where(F.size("centers") > 0)
+    return met.groupBy("node", "part").agg(F.array_distinct(F.flatten(F.collect_list("centers"))).alias("centers"))
 
 
 def links(docs: DataFrame, common: np.ndarray, scratch: Scratch) -> DataFrame:
@@ -417,11 +448,12 @@ def links(docs: DataFrame, common: np.ndarray, scratch: Scratch) -> DataFrame:
     several = posts.groupBy("token").agg(F.min("node").alias("center"), F.max("node").alias("other")).where("center <> other").select("token", "center")
     posts = scratch.save(posts.join(several, "token"), "posts")
     scratch.drop("posts-0")
-    heads = posts.where("node = center").select("token", "n", "at", "center")
-    star = posts.where("node <> center").alias("y").join(heads.alias("x"), "token").where(_meets("x", "y")).select("x.center", "y.node").distinct()
-    done = star = scratch.save(star, "pairs-0")
+    own = F.struct("n", "at")
+    heads = posts.where("node = center").select("token", "center", own.alias("x"))
+    star = posts.where("node <> center").select("token", "node", own.alias("y")).join(heads, "token").where(_meets(F.col("x"), F.col("y")))
+    star = scratch.save(star.groupBy("node", F.lit(1).alias("part")).agg(F.collect_set("center").alias("centers")), "pairs-0")
     posts = posts.drop("center")
-    joined, cap, step = None, MORE, 0
+    joined, cap, step, longest = None, MORE, 0, None
     while True:
         linked = scratch.save(verify(star, sets), f"links-{step}")
         if joined is None:
@@ -435,28 +467,24 @@ def links(docs: DataFrame, common: np.ndarray, scratch: Scratch) -> DataFrame:
             joined = old.unionByName(moved.join(joined, "node", "left_anti").select("node", "component"))
         joined = scratch.save(joined, f"joined-{step}")
         step += 1
+        if longest is not None and longest <= cap // MORE:
+            break  # every set of every shingle has been a center
         weight = joined.groupBy("component").agg(F.count("*").alias("size"))
         known = joined.join(weight, "component")
         lost = posts.join(known, "node", "left").withColumn("component", F.coalesce("component", "node")).withColumn("size", F.coalesce("size", F.lit(1)))
         split = lost.groupBy("token").agg(F.min("component").alias("a"), F.max("component").alias("b"), F.count("*").alias("many")).where("a < b")
+        # the next centers: the first ``cap`` sets that a shingle leads to, those of large components first
+        turn = F.row_number().over(Window.partitionBy("token").orderBy(F.desc("size"), "component", "node"))
         seen = Observation()
-        lost = scratch.save(lost.join(split.select("token", "many"), "token").observe(seen, F.max("many").alias("longest")), f"lost-{step}")
-        posts = lost.select("token", "node", "n", "at")  # a shingle whose sets are all joined is done with
+        lost = scratch.save(lost.join(split.select("token", "many"), "token").withColumn("turn", turn).observe(seen, F.max("many").alias("longest")), f"lost-{step}")
         longest = seen.get["longest"] or 0
-        if longest <= cap // MORE:
+        if not longest:
             break
-        # the next centers: the first ``cap`` sets that a shingle leads to, those of large components first
-        turn = F.row_number().over(Window.partitionBy("token").orderBy(F.desc("size"), "component", "node"))
-        heads = lost.withColumn("turn", turn).where(F.col("turn") <= cap)
-        more = lost.alias("y").join(heads.alias("x"), "token").where("x.component <> y.component").where(_meets("x", "y"))
-        more = more.groupBy(F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b")).agg(F.min("x.node").alias("center"))
-        # an anti-join would go below the sum, where a pair still has a row for each shingle that it shares
-        known = done.select(F.least("center", "node").alias("a"), F.greatest("center", "node").alias("b"), F.lit(True).alias("known"))
-        more = more.join(known, ["a", "b"], "left").where("known is null")
-        star = scratch.save(more.select("center", F.when(F.col("center") == F.col("a"), F.col("b")).otherwise(F.col("a")).alias("node")), f"pairs-{step}")
-        done = done.unionByName(star)
+        star = scratch.save(_lists(lost, cap), f"pairs-{step}")
+        # a shingle whose sets are all joined is done with, and so is a set that has met all others of its shingle
+        posts = lost.where(F.col("turn") > cap).select("token", "node", "n", "at")
         cap *= MORE
-    scratch.drop("sets", "posts", *[f"{t}-{k}" for k in range(step) for t in ("pairs", "links", "lost")], f"lost-{step}")
+    scratch.drop("sets", "posts", *[f"{t}-{k}" for k in range(step) for t in ("pairs", "links", "lost")], *[f"{t}-{step}" for t in ("pairs", "lost")])
     return joined
 
 

@@ -70,6 +70,21 @@ def test_ngram_join_of_nothing(spark):
     assert ngram_join.components(df, Scratch(spark, "t")).collect() == []
 
 
+def test_pairs_have_no_rows_before_they_link(spark):
+    """Sets that share a shingle without being alike meet as lists: rows grow with the sets, not with their pairs."""
+    g = np.random.default_rng(4)
+    sets = {k: [1, *sorted(g.choice(np.arange(2, 14), 9, replace=False).tolist())] for k in range(40)}
+    table = spark.createDataFrame([(k, len(t), t) for k, t in sets.items()], "node long, n long, tokens array<long>")
+    lost = table.select(F.lit(1).cast("long").alias("token"), "node", "n", F.lit(0).cast("long").alias("at"), F.col("node").alias("component"), F.lit(len(sets)).cast("long").alias("many"), (F.col("node") + 1).cast("int").alias("turn"))
+    for cap in (8, 64):
+        lists = ngram_join._lists(lost, cap)
+        asked = {(r["node"], c) for r in lists.collect() for c in r["centers"]}
+        assert asked == {(k, c) for k in sets for c in range(min(k, cap))} and lists.count() == len(sets) - 1
+        linked = {(r["node"], r["center"]) for r in ngram_join.verify(lists, table).collect()}
+        assert linked == {(k, c) for k, c in asked if 100 * len(set(sets[k]) & set(sets[c])) >= 80 * len(set(sets[k]) | set(sets[c]))}
+        assert 0 < len(linked) < len(asked)
+
+
 def test_trie_against_sets():
     g = np.random.default_rng(2)
     for _ in range(30):
