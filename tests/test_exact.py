@@ -125,3 +125,27 @@ def test_counts_make_no_pairs(spark, monkeypatch, few):
     assert {r[1] for r in counts.collect()} == {450} and _made_by_joins(counts) <= 16 * 750
     sizes = blocking.Coded(s1, others).unique_sizes()
     assert {(r["source_pair"], r["candidate_rows"]) for r in sizes.collect()} == {("s1_s2", 300 * 250), ("s1_s3", 300 * 200)} and _made_by_joins(sizes) <= 16 * 750
+
+
+@pytest.mark.parametrize("pairs", [5, 1_000_000])
+def test_lists_are_made_in_order_where_they_end_up(spark, made, monkeypatch, pairs):
+    """Ids are dealt in ranges and blocks sent to them; no list is shuffled after it is made, and none is sorted."""
+    monkeypatch.setattr(blocking, "RANGE_PAIRS", pairs)
+    lists = blocking.exact_lists(*made)
+    want = evaluate.candidate_lists(made[0], blocking.distinct_candidates(blocking.all_exact_blocks(*made))).collect()
+    assert [tuple(r) for r in lists.collect()] == sorted(map(tuple, want))
+    plan = lists._jdf.queryExecution().executedPlan().toString()
+    assert not re.search(r"Exchange|Sort", plan[: plan.index("_of_range")])
+
+
+def test_lists_from_blocks(monkeypatch):
+    """Batches end where they are long enough; ids of several blocks stand once, and go by their bytes with those of other rows."""
+    import pyarrow as pa
+
+    monkeypatch.setattr(blocking, "BATCH_IDS", 3)
+    known = blocking._Known([7, 9], ["10\0009\000é", "10\000z"])
+    rows = [("a", [7, 9], None), ("b", [], None), ("c", [9], "zz\00010\000b"), ("d", [8], "y")]
+    asked = pa.RecordBatch.from_arrays([pa.nulls(4), pa.nulls(4), pa.nulls(4), *[pa.array(c) for c in zip(*rows)]], names=list("abcdef"))
+    batches = [b.to_pylist() for b in known.lists(asked)]
+    assert [len(b) for b in batches] == [1, 3]
+    assert [tuple(r.values()) for b in batches for r in b] == [("a", "10,9,z,é"), ("b", ""), ("c", "10,b,z,zz"), ("d", "y")]
