@@ -79,6 +79,16 @@ def test_stores_that_concatenate(spark, tmp_path):
     assert store.files == {"hdfs:/all": b"0112223333"}
 
 
+def test_parts_go_as_they_are_copied(spark, tmp_path):
+    """Where bytes are moved, no more than one part of the file lies on disk twice."""
+    parts = [tmp_path / f"p{k}" for k in range(3)]
+    for k, p in enumerate(parts):
+        p.write_text(str(k))
+    with pytest.raises(Exception, match="missing"):
+        publish.join_files(spark, [*map(str, parts), str(tmp_path / "missing")], str(tmp_path / "all"))
+    assert not any(p.exists() for p in parts) and (tmp_path / "all").read_text() == "012"
+
+
 def test_a_failing_write_leaves_what_was_there(spark, tmp_path):
     target = str(tmp_path / "out")
     tables.write_tsv(spark.range(3), target)
